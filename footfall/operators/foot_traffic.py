@@ -44,46 +44,73 @@ def running_visitors(readings: DataFrame, zones=ZONES,
                       first={"first_ts": "ts"}, num_partitions=num_partitions)
 
 
-def _side(running: DataFrame, zone: int, size: str, n_name: str) -> DataFrame:
+def running_by_zone(readings: DataFrame, zones=ZONES) -> dict[int, DataFrame]:
+    """Running counts per zone, one operator per zone (as one keyed reduce
+    per zone topic). Streams need this form: the join sides must not share
+    one stateful operator."""
+    return {z: running_visitors(readings, zones=(z,)) for z in zones}
+
+
+def _zone_rows(running, zone: int) -> DataFrame:
+    if isinstance(running, dict):
+        return running[zone]
+    return running.where(F.col("zone") == F.lit(zone))
+
+
+def _side(running, zone: int, size: str, n_name: str) -> DataFrame:
     """Multiset of (window, first_ts, running count) for one zone."""
-    g = (running.where(F.col("zone") == F.lit(zone))
+    g = (_zone_rows(running, zone)
                 .groupBy(tumble("arrival", size).alias("window"), "first_ts", "visitors")
                 .agg(F.count(F.lit(1)).alias("c")))
-    return g.select(F.col("window.start").alias("ws"), F.col("window.end").alias("we"),
-                    F.col("first_ts").alias("timestamp"), F.col("visitors").alias(n_name),
-                    F.col("c").alias(f"c_{n_name}"))
+    return g.select("window", F.col("first_ts").alias("timestamp"),
+                    F.col("visitors").alias(n_name), F.col("c").alias(f"c_{n_name}"))
 
 
-def foot_traffic_window_join_12(running: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+def foot_traffic_window_join_12(running, settings: Settings = DEFAULTS) -> DataFrame:
     """Zone 1 x zone 2 counts with equal first timestamps, per 10-minute window.
 
-    Columns: window, timestamp, visitors_zone1, visitors_zone2, copies.
+    ``running``: ``running_visitors`` output, or ``running_by_zone`` output
+    (required for streams).
+
+    Columns: window, timestamp, visitors_zone1, visitors_zone2, copies. The
+    join key includes the window struct itself, so on a stream both sides
+    keep their watermark and the join state is evicted.
     """
     a = _side(running, 1, settings.foot_join_first, "visitors_zone1")
-    b = _side(running, 2, settings.foot_join_first, "visitors_zone2").drop("we")
-    j = a.join(b, ["ws", "timestamp"], "inner")
-    return j.select(F.struct(F.col("ws").alias("start"), F.col("we").alias("end")).alias("window"),
-                    "timestamp", "visitors_zone1", "visitors_zone2",
+    b = _side(running, 2, settings.foot_join_first, "visitors_zone2")
+    j = a.join(b, ["window", "timestamp"], "inner")
+    return j.select("window", "timestamp", "visitors_zone1", "visitors_zone2",
                     (F.col("c_visitors_zone1") * F.col("c_visitors_zone2")).alias("copies"))
 
 
-def foot_traffic_as_coded(running: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+def foot_traffic_as_coded(running, settings: Settings = DEFAULTS) -> DataFrame:
     """(zone1 x zone2) x zone3 as the source joins them, as a multiset.
 
     Columns: window (the 20-minute window), timestamp, visitors_zone1..3,
     copies. The first join's rows enter the 20-minute window at the end of
     their 10-minute window.
+
+    Batch: the left side is merged per (20-minute window, key, counts)
+    before the second join. Stream: the second join takes the first join's
+    rows as they come (the right side's window carries the watermark) and
+    one aggregation merges equal rows afterwards.
     """
+    second = settings.foot_join_second
     j1 = foot_traffic_window_join_12(running, settings)
-    left = (j1.groupBy(F.window(F.col("window.end"), settings.foot_join_second).alias("w"),
+    right = _side(running, 3, second, "visitors_zone3")
+    if j1.isStreaming:
+        left = j1.select(F.window(F.col("window.end"), second).alias("lw"),
+                         F.col("timestamp").alias("lts"), "visitors_zone1", "visitors_zone2",
+                         F.col("copies").alias("c12"))
+        j = left.join(right, (F.col("lw") == F.col("window")) & (F.col("lts") == F.col("timestamp")))
+        return j.groupBy(F.window(F.window_time("window"), second).alias("window"), "timestamp",
+                         "visitors_zone1", "visitors_zone2", "visitors_zone3").agg(
+            F.sum(F.col("c12") * F.col("c_visitors_zone3")).alias("copies"))
+    left = (j1.groupBy(F.window(F.col("window.end"), second).alias("window"),
                        "timestamp", "visitors_zone1", "visitors_zone2")
-              .agg(F.sum("copies").alias("c12"))
-              .select(F.col("w.start").alias("ws"), F.col("w.end").alias("we"), "timestamp",
-                      "visitors_zone1", "visitors_zone2", "c12"))
-    right = _side(running, 3, settings.foot_join_second, "visitors_zone3").drop("we")
-    j = left.join(right, ["ws", "timestamp"], "inner")
-    return j.select(F.struct(F.col("ws").alias("start"), F.col("we").alias("end")).alias("window"),
-                    "timestamp", "visitors_zone1", "visitors_zone2", "visitors_zone3",
+              .agg(F.sum("copies").alias("c12")))
+    j = left.join(right, ["window", "timestamp"], "inner")
+    return j.select("window", "timestamp", "visitors_zone1", "visitors_zone2", "visitors_zone3",
                     (F.col("c12") * F.col("c_visitors_zone3")).alias("copies"))
 
 

@@ -20,7 +20,7 @@ from footfall.operators import foot_traffic as ft
 from footfall.operators import instore, journey, proximity
 from footfall.plans import documents as docs
 from footfall.settings import DEFAULTS, Settings
-from footfall.sources.testdata import test_purchases, test_readings
+from footfall.sources.testdata import table_purchases, table_readings
 
 TEST_SETTINGS: Settings = DEFAULTS.with_(crowd_threshold=2)
 
@@ -47,12 +47,12 @@ def _micros(df: DataFrame, *cols: str) -> DataFrame:
 
 def _readings(spark, sf_dir, spread=False):
     prepare(spark)
-    return test_readings(spark, sf_dir, spread_ts=spread)
+    return table_readings(spark, sf_dir, spread_ts=spread)
 
 
 def _purchases(spark, sf_dir):
     prepare(spark)
-    return test_purchases(spark, sf_dir)
+    return table_purchases(spark, sf_dir)
 
 
 # --- foot traffic -----------------------------------------------------------

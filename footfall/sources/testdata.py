@@ -64,9 +64,9 @@ def purchases_from_events(events: DataFrame) -> DataFrame:
     )
 
 
-def test_readings(spark: SparkSession, sf_dir: str, spread_ts: bool = False) -> DataFrame:
+def table_readings(spark: SparkSession, sf_dir: str, spread_ts: bool = False) -> DataFrame:
     return readings_from_events(read_table(spark, sf_dir, "events"), spread_ts)
 
 
-def test_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
+def table_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return purchases_from_events(read_table(spark, sf_dir, "events"))
