@@ -7,8 +7,11 @@ a key into one task; here the rows are range-partitioned on
 ``(key, order)`` instead, so a hot key is cut across many partitions:
 
 1. ``repartitionByRange`` + ``sortWithinPartitions`` on ``(key, order)``.
-2. One Arrow pass per partition computes the values within each
-   (partition, key) run, streaming batch by batch with O(1) state.
+2. The values within each (partition, key) run: by default a JVM window
+   over ``(partition id, key)`` (one more shuffle, but every group is at
+   most one partition's rows, so it stays balanced); or, with
+   ``local_pass="arrow"``, one Arrow pass per partition that streams batch
+   by batch with O(1) state (no second shuffle, but rows cross to Python).
 3. A JVM aggregate summarises each run (count, first and last values).
    A window over the runs of a key (at most one per partition) yields what
    earlier partitions carry into a run. Only the first run of a partition
@@ -96,9 +99,23 @@ def _scan_partition(batches, keys, first_cols, lag_cols, out_schema: pa.Schema):
         )
 
 
+def _arrow_pass(s: DataFrame, keys, first_cols, lag_cols) -> DataFrame:
+    fields = list(s.schema.fields) + [T.StructField("_scan_n", T.LongType())]
+    fields += [T.StructField(f"_scan_f_{c}", s.schema[c].dataType) for c in first_cols]
+    fields += [T.StructField(f"_scan_l_{c}", s.schema[c].dataType) for c in lag_cols]
+    out_struct = T.StructType(fields)
+    from pyspark.sql.pandas.types import to_arrow_schema
+    arrow_schema = to_arrow_schema(out_struct)
+
+    def run(batches):
+        return _scan_partition(batches, keys, first_cols, lag_cols, arrow_schema)
+
+    return s.mapInArrow(run, out_struct)
+
+
 def keyed_scan(df: DataFrame, keys, order, n: str | None = "n",
                first: dict | None = None, lag: dict | None = None,
-               num_partitions: int | None = None) -> DataFrame:
+               num_partitions: int | None = None, local_pass: str = "window") -> DataFrame:
     """Add per-key ordered values to every row of ``df``.
 
     ``n``: name of the 1-based position column (None: omit).
@@ -115,20 +132,17 @@ def keyed_scan(df: DataFrame, keys, order, n: str | None = "n",
     spark = df.sparkSession
     parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     s = (df.repartitionByRange(parts, *sort_cols)
-           .sortWithinPartitions(*sort_cols)
            .withColumn("_scan_pid", F.spark_partition_id()))
 
-    fields = list(s.schema.fields) + [T.StructField("_scan_n", T.LongType())]
-    fields += [T.StructField(f"_scan_f_{c}", s.schema[c].dataType) for c in first_cols]
-    fields += [T.StructField(f"_scan_l_{c}", s.schema[c].dataType) for c in lag_cols]
-    out_struct = T.StructType(fields)
-    from pyspark.sql.pandas.types import to_arrow_schema
-    arrow_schema = to_arrow_schema(out_struct)
-
-    def run(batches):
-        return _scan_partition(batches, keys, first_cols, lag_cols, arrow_schema)
-
-    local = s.mapInArrow(run, out_struct)
+    if local_pass == "arrow":
+        local = _arrow_pass(s.sortWithinPartitions(*sort_cols), keys, first_cols, lag_cols)
+    else:
+        lw = Window.partitionBy("_scan_pid", *keys).orderBy(*order)
+        upto = lw.rowsBetween(Window.unboundedPreceding, 0)
+        local = s.select(
+            "*", F.row_number().over(lw).cast("long").alias("_scan_n"),
+            *[F.first(c).over(upto).alias(f"_scan_f_{c}") for c in first_cols],
+            *[F.lag(c).over(lw).alias(f"_scan_l_{c}") for c in lag_cols])
 
     # Run summary per (partition, key) in the JVM, then what earlier runs carry.
     runs = s.groupBy("_scan_pid", *keys).agg(

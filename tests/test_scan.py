@@ -17,8 +17,9 @@ def brute(df):
                      F.lag("v").over(w).alias("pv"), F.lag("s").over(w).alias("ps"))
 
 
+@pytest.mark.parametrize("local_pass", ["window", "arrow"])
 @pytest.mark.parametrize("parts,hot", [(1, 0.0), (7, 0.6), (16, 0.95)])
-def test_scan_equals_window(spark, parts, hot):
+def test_scan_equals_window(spark, parts, hot, local_pass):
     rnd = random.Random(parts)
     rows = []
     for i in range(600):
@@ -28,7 +29,7 @@ def test_scan_equals_window(spark, parts, hot):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
     try:
         got = keyed_scan(df, ["k"], ["t", "id"], n="n", first={"fv": "v", "fs": "s"},
-                         lag={"pv": "v", "ps": "s"}, num_partitions=parts)
+                         lag={"pv": "v", "ps": "s"}, num_partitions=parts, local_pass=local_pass)
         assert sorted(got.collect()) == sorted(brute(df).select(got.columns).collect())
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
