@@ -4,14 +4,20 @@ As coded, each zone's readings become a running count per sensor that keeps
 the sensor's *first* timestamp forever. Zone 1 and zone 2 counts are
 equi-joined on that timestamp inside 10-minute windows; the result is
 joined with zone 3 inside 20-minute windows, clocked at the end of the
-first window. Every matching pair is a result row there.
-
-Pair lists grow with the product of the matching rows, so we never list
-them. Each side is first aggregated to ``(window, first timestamp,
-running count) -> copies``; joining those multisets and multiplying the
-copies gives the same bag of results, with ``copies`` saying how many
-identical rows the pair list holds. The join work then grows with the
-number of *distinct* running counts per key and window, not with rows.
+first window. Every matching pair is one document there, so the document
+list of a (window, timestamp) key is a cross product.
+
+We never build that product. A sensor's running counts inside one window
+are consecutive, so each zone contributes *ranges* per (window, timestamp,
+sensor), and the source's documents for a key are exactly the cross
+product of its ranges:
+
+* ``foot_traffic_window_join_12`` / ``foot_traffic_as_coded``: one row per
+  key with the readings per zone and ``documents``, the number of documents
+  the source indexes for it. Built from per-key aggregates joined on the
+  key: the work grows with keys, never with pairs.
+* ``foot_traffic_factors``: the ranges behind every key that has documents
+  (lossless: expanding them gives the source's documents one for one).
 """
 
 from __future__ import annotations
@@ -57,61 +63,93 @@ def _zone_rows(running, zone: int) -> DataFrame:
     return running.where(F.col("zone") == F.lit(zone))
 
 
-def _side(running, zone: int, size: str, n_name: str) -> DataFrame:
-    """Multiset of (window, first_ts, running count) for one zone."""
-    g = (_zone_rows(running, zone)
-                .groupBy(tumble("arrival", size).alias("window"), "first_ts", "visitors")
-                .agg(F.count(F.lit(1)).alias("c")))
-    return g.select("window", F.col("first_ts").alias("timestamp"),
-                    F.col("visitors").alias(n_name), F.col("c").alias(f"c_{n_name}"))
+def _key_readings(running, zone: int, size: str, name: str) -> DataFrame:
+    """Readings per (window, first timestamp) of one zone."""
+    return (_zone_rows(running, zone)
+            .groupBy(tumble("arrival", size).alias("window"), F.col("first_ts").alias("timestamp"))
+            .agg(F.count(F.lit(1)).alias(name)))
 
 
 def foot_traffic_window_join_12(running, settings: Settings = DEFAULTS) -> DataFrame:
-    """Zone 1 x zone 2 counts with equal first timestamps, per 10-minute window.
+    """Zone 1 x zone 2 on equal first timestamps within 10-minute windows.
 
+    One row per (window, timestamp) present in both zones: readings of each
+    zone and ``documents`` = their product (the source's pair count).
     ``running``: ``running_visitors`` output, or ``running_by_zone`` output
-    (required for streams).
-
-    Columns: window, timestamp, visitors_zone1, visitors_zone2, copies. The
-    join key includes the window struct itself, so on a stream both sides
-    keep their watermark and the join state is evicted.
+    (required for streams). The join key includes the window struct, so on
+    a stream both sides keep their watermark and the join state is evicted.
     """
-    a = _side(running, 1, settings.foot_join_first, "visitors_zone1")
-    b = _side(running, 2, settings.foot_join_first, "visitors_zone2")
+    a = _key_readings(running, 1, settings.foot_join_first, "readings_zone1")
+    b = _key_readings(running, 2, settings.foot_join_first, "readings_zone2")
     j = a.join(b, ["window", "timestamp"], "inner")
-    return j.select("window", "timestamp", "visitors_zone1", "visitors_zone2",
-                    (F.col("c_visitors_zone1") * F.col("c_visitors_zone2")).alias("copies"))
+    return j.select("window", "timestamp", "readings_zone1", "readings_zone2",
+                    (F.col("readings_zone1") * F.col("readings_zone2")).alias("documents"))
 
 
 def foot_traffic_as_coded(running, settings: Settings = DEFAULTS) -> DataFrame:
-    """(zone1 x zone2) x zone3 as the source joins them, as a multiset.
-
-    Columns: window (the 20-minute window), timestamp, visitors_zone1..3,
-    copies. The first join's rows enter the 20-minute window at the end of
-    their 10-minute window.
+    """(zone1 x zone2) x zone3 per 20-minute window and timestamp.
 
-    Batch: the left side is merged per (20-minute window, key, counts)
-    before the second join. Stream: the second join takes the first join's
-    rows as they come (the right side's window carries the watermark) and
-    one aggregation merges equal rows afterwards.
+    Rows of the first join enter the 20-minute window at the end of their
+    10-minute window. Columns: window, timestamp, pairs_12 (first-join
+    documents entering the window), readings_zone3, documents.
     """
     second = settings.foot_join_second
     j1 = foot_traffic_window_join_12(running, settings)
-    right = _side(running, 3, second, "visitors_zone3")
+    right = _key_readings(running, 3, second, "readings_zone3")
     if j1.isStreaming:
         left = j1.select(F.window(F.col("window.end"), second).alias("lw"),
-                         F.col("timestamp").alias("lts"), "visitors_zone1", "visitors_zone2",
-                         F.col("copies").alias("c12"))
+                         F.col("timestamp").alias("lts"), F.col("documents").alias("d12"))
         j = left.join(right, (F.col("lw") == F.col("window")) & (F.col("lts") == F.col("timestamp")))
-        return j.groupBy(F.window(F.window_time("window"), second).alias("window"), "timestamp",
-                         "visitors_zone1", "visitors_zone2", "visitors_zone3").agg(
-            F.sum(F.col("c12") * F.col("c_visitors_zone3")).alias("copies"))
-    left = (j1.groupBy(F.window(F.col("window.end"), second).alias("window"),
-                       "timestamp", "visitors_zone1", "visitors_zone2")
-              .agg(F.sum("copies").alias("c12")))
+        return j.groupBy(F.window(F.window_time("window"), second).alias("window"), "timestamp").agg(
+            F.sum("d12").alias("pairs_12"), F.max("readings_zone3").alias("readings_zone3"),
+            F.sum(F.col("d12") * F.col("readings_zone3")).alias("documents"))
+    left = (j1.groupBy(F.window(F.col("window.end"), second).alias("window"), "timestamp")
+              .agg(F.sum("documents").alias("pairs_12")))
     j = left.join(right, ["window", "timestamp"], "inner")
-    return j.select("window", "timestamp", "visitors_zone1", "visitors_zone2", "visitors_zone3",
-                    (F.col("c12") * F.col("c_visitors_zone3")).alias("copies"))
+    return j.select("window", "timestamp", "pairs_12", "readings_zone3",
+                    (F.col("pairs_12") * F.col("readings_zone3")).alias("documents"))
+
+
+def _ranges(running, zone: int, size: str) -> DataFrame:
+    """Consecutive running counts per (window, first timestamp, sensor)."""
+    return (_zone_rows(running, zone)
+            .groupBy(tumble("arrival", size).alias("join_window"),
+                     F.col("first_ts").alias("timestamp"), "sensor_uid")
+            .agg(F.min("visitors").alias("visitors_from"), F.max("visitors").alias("visitors_to"))
+            .withColumn("zone", F.lit(zone)))
+
+
+def foot_traffic_factors(running, settings: Settings = DEFAULTS) -> DataFrame:
+    """The ranges whose cross product is the source's document list (batch).
+
+    Columns: window (20 minutes), timestamp, zone, join_window (the window
+    the zone was joined in: 10 minutes for zones 1 and 2, the 20-minute
+    window for zone 3), sensor_uid, visitors_from, visitors_to. For a
+    (window, timestamp) key the source's documents are, for each 10-minute
+    join window, (zone-1 ranges x zone-2 ranges of that join window) x
+    zone-3 ranges. Keys are matched with semi joins against the per-key
+    tables, so no pair is ever formed.
+    """
+    second = settings.foot_join_second
+    docs = foot_traffic_as_coded(running, settings).select(
+        F.col("window").alias("w20"), F.col("timestamp").alias("k"))
+    j1 = foot_traffic_window_join_12(running, settings).select(
+        F.col("window").alias("w10"), F.col("timestamp").alias("k"),
+        F.window(F.col("window.end"), second).alias("w20"))
+    live12 = j1.join(docs, ["w20", "k"], "left_semi")
+    out = []
+    for zone in (1, 2):
+        r = _ranges(running, zone, settings.foot_join_first)
+        m = r.join(live12, (F.col("join_window") == F.col("w10")) & (F.col("timestamp") == F.col("k")),
+                   "inner").select(F.col("w20").alias("window"), "timestamp", "zone", "join_window",
+                                   "sensor_uid", "visitors_from", "visitors_to")
+        out.append(m)
+    r3 = _ranges(running, 3, second)
+    m3 = r3.join(docs, (F.col("join_window") == F.col("w20")) & (F.col("timestamp") == F.col("k")),
+                 "left_semi").select(F.col("join_window").alias("window"), "timestamp", "zone",
+                                     "join_window", "sensor_uid", "visitors_from", "visitors_to")
+    out.append(m3)
+    return out[0].unionByName(out[1]).unionByName(out[2])
 
 
 def foot_traffic_intended(readings: DataFrame, settings: Settings = DEFAULTS,

@@ -70,6 +70,11 @@ def q_foot_traffic_as_coded(spark, sf_dir):
     return flat(ft.foot_traffic_as_coded(ft.running_visitors(_readings(spark, sf_dir))))
 
 
+def q_foot_traffic_factors(spark, sf_dir):
+    f = ft.foot_traffic_factors(ft.running_visitors(_readings(spark, sf_dir)))
+    return flat(flat(f), "join_window", "join_window")
+
+
 def q_foot_traffic_intended(spark, sf_dir):
     return flat(ft.foot_traffic_intended(_readings(spark, sf_dir)))
 
@@ -174,6 +179,11 @@ def q_docs_foot_traffic(spark, sf_dir):
     return docs.foot_traffic_docs(ft.foot_traffic_as_coded(ft.running_visitors(_readings(spark, sf_dir))))
 
 
+def q_docs_foot_traffic_factors(spark, sf_dir):
+    return docs.foot_traffic_factor_docs(
+        ft.foot_traffic_factors(ft.running_visitors(_readings(spark, sf_dir))))
+
+
 def q_docs_proximity(spark, sf_dir):
     return docs.proximity_docs(_prox(spark, sf_dir))
 
@@ -202,6 +212,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "running_visitors": q_running_visitors,
     "foot_traffic_window_join_12": q_foot_traffic_window_join_12,
     "foot_traffic_as_coded": q_foot_traffic_as_coded,
+    "foot_traffic_factors": q_foot_traffic_factors,
     "foot_traffic_intended": q_foot_traffic_intended,
     "classify_area": q_classify_area,
     "proximity_traffic_as_coded": q_proximity_traffic_as_coded,
@@ -223,6 +234,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "visit_history": q_visit_history,
     "sales_conversion": q_sales_conversion,
     "docs_foot_traffic": q_docs_foot_traffic,
+    "docs_foot_traffic_factors": q_docs_foot_traffic_factors,
     "docs_proximity": q_docs_proximity,
     "docs_traffic_jam": q_docs_traffic_jam,
     "docs_categories": q_docs_categories,

@@ -3,8 +3,8 @@
 Each function maps an operator's output to the index's document fields and
 adds ``doc_id``: a SHA-256 of the index name, the window start and the
 row's key. A replayed micro-batch therefore rewrites the same documents
-instead of appending duplicates. ``flink-streams`` documents also carry
-``copies``: how many identical documents the pair-listing join holds.
+instead of appending duplicates. ``flink-streams`` documents describe the pair-listing join per key
+(count of its documents) and, separately, by the ranges that generate them.
 """
 
 from __future__ import annotations
@@ -28,14 +28,25 @@ def _ws() -> Column:
 
 
 def foot_traffic_docs(df: DataFrame) -> DataFrame:
+    """One document per (20-minute window, timestamp): how many documents the
+    pair-listing join holds for the key, and the readings behind them."""
     return df.select(
-        doc_id(S.INDEX_FOOT_TRAFFIC, _ws(), "timestamp", "visitors_zone1",
-               "visitors_zone2", "visitors_zone3").alias("doc_id"),
+        doc_id(S.INDEX_FOOT_TRAFFIC, _ws(), "timestamp").alias("doc_id"),
         F.col("timestamp"),
-        F.col("visitors_zone1").alias("visitors_Zone1"),
-        F.col("visitors_zone2").alias("visitors_Zone2"),
-        F.col("visitors_zone3").alias("visitors_Zone3"),
-        F.col("copies"),
+        F.col("pairs_12").alias("pairs_Zone1_Zone2"),
+        F.col("readings_zone3").alias("visitors_Zone3"),
+        F.col("documents"),
+    )
+
+
+def foot_traffic_factor_docs(df: DataFrame) -> DataFrame:
+    """The running-count ranges per zone whose cross product per key is the
+    pair-listing join's document list."""
+    return df.select(
+        doc_id(S.INDEX_FOOT_TRAFFIC, _ws(), "timestamp", "zone",
+               F.unix_seconds(F.col("join_window.start")), "sensor_uid").alias("doc_id"),
+        "timestamp", "zone", "sensor_uid",
+        F.col("visitors_from").alias("visitors_from"), F.col("visitors_to").alias("visitors_to"),
     )
 
 

@@ -72,37 +72,54 @@ running AS (
          row_number() OVER (PARTITION BY zone, sensor_uid ORDER BY arrival, id) AS visitors
   FROM readings WHERE zone IN (1, 2, 3))"""
 
-SIDES = f""",
-side AS (
-  SELECT zone, arrival_us // {{size}} * {{size}} AS ws, first_ts, visitors, count(*) AS c
-  FROM running GROUP BY zone, ws, first_ts, visitors)"""
 
 
 def _j12_cte() -> str:
     return RUNNING + f""",
-side10 AS (
-  SELECT zone, arrival_us // {M10} * {M10} AS ws, first_ts, visitors, count(*) AS c
-  FROM running GROUP BY ALL),
+k10 AS (SELECT zone, arrival_us // {M10} * {M10} AS ws, first_ts, count(*) AS n
+        FROM running WHERE zone IN (1, 2) GROUP BY ALL),
 j12 AS (
-  SELECT a.ws, a.first_ts AS timestamp, a.visitors AS visitors_zone1, b.visitors AS visitors_zone2,
-         a.c * b.c AS copies
-  FROM side10 a JOIN side10 b ON a.ws = b.ws AND a.first_ts = b.first_ts
+  SELECT a.ws, a.first_ts AS timestamp, a.n AS readings_zone1, b.n AS readings_zone2,
+         a.n * b.n AS documents
+  FROM k10 a JOIN k10 b ON a.ws = b.ws AND a.first_ts = b.first_ts
   WHERE a.zone = 1 AND b.zone = 2)"""
 
 
 def _j123_cte() -> str:
     return _j12_cte() + f""",
 left20 AS (
-  SELECT (ws + {M10}) // {M20} * {M20} AS ws, timestamp, visitors_zone1, visitors_zone2,
-         CAST(sum(copies) AS BIGINT) AS c12
+  SELECT (ws + {M10}) // {M20} * {M20} AS ws, timestamp, CAST(sum(documents) AS BIGINT) AS pairs_12
   FROM j12 GROUP BY ALL),
-side20 AS (
-  SELECT arrival_us // {M20} * {M20} AS ws, first_ts, visitors, count(*) AS c
-  FROM running WHERE zone = 3 GROUP BY ALL),
+k20 AS (SELECT arrival_us // {M20} * {M20} AS ws, first_ts, count(*) AS n
+        FROM running WHERE zone = 3 GROUP BY ALL),
 j123 AS (
-  SELECT l.ws, l.timestamp, l.visitors_zone1, l.visitors_zone2, r.visitors AS visitors_zone3,
-         l.c12 * r.c AS copies
-  FROM left20 l JOIN side20 r ON l.ws = r.ws AND l.timestamp = r.first_ts)"""
+  SELECT l.ws, l.timestamp, l.pairs_12, r.n AS readings_zone3, l.pairs_12 * r.n AS documents
+  FROM left20 l JOIN k20 r ON l.ws = r.ws AND l.timestamp = r.first_ts)"""
+
+
+def _factors_cte() -> str:
+    return _j123_cte() + f""",
+rng10 AS (
+  SELECT zone, arrival_us // {M10} * {M10} AS jws, first_ts AS timestamp, sensor_uid,
+         min(visitors) AS visitors_from, max(visitors) AS visitors_to
+  FROM running WHERE zone IN (1, 2) GROUP BY ALL),
+rng20 AS (
+  SELECT zone, arrival_us // {M20} * {M20} AS jws, first_ts AS timestamp, sensor_uid,
+         min(visitors) AS visitors_from, max(visitors) AS visitors_to
+  FROM running WHERE zone = 3 GROUP BY ALL),
+live12 AS (
+  SELECT j.ws AS w10, j.timestamp, (j.ws + {M10}) // {M20} * {M20} AS w20 FROM j12 j
+  WHERE EXISTS (SELECT 1 FROM j123 d
+                WHERE d.ws = (j.ws + {M10}) // {M20} * {M20} AND d.timestamp = j.timestamp)),
+factors AS (
+  SELECT l.w20 AS ws, r.timestamp, r.zone, r.jws, r.jws + {M10} AS jwe, r.sensor_uid,
+         r.visitors_from, r.visitors_to
+  FROM rng10 r JOIN live12 l ON r.jws = l.w10 AND r.timestamp = l.timestamp
+  UNION ALL
+  SELECT r.jws AS ws, r.timestamp, r.zone, r.jws, r.jws + {M20} AS jwe, r.sensor_uid,
+         r.visitors_from, r.visitors_to
+  FROM rng20 r
+  WHERE EXISTS (SELECT 1 FROM j123 d WHERE d.ws = r.jws AND d.timestamp = r.timestamp))"""
 
 
 # --- proximity -------------------------------------------------------------------
@@ -174,10 +191,15 @@ ORACLE: dict[str, str] = {
 SELECT id, zone, sensor_uid, ts, first_ts, visitors FROM running""",
 
     "foot_traffic_window_join_12": _j12_cte() + f"""
-SELECT {_win(M10)}, timestamp, visitors_zone1, visitors_zone2, copies FROM j12""",
+SELECT {_win(M10)}, timestamp, readings_zone1, readings_zone2, documents FROM j12""",
 
     "foot_traffic_as_coded": _j123_cte() + f"""
-SELECT {_win(M20)}, timestamp, visitors_zone1, visitors_zone2, visitors_zone3, copies FROM j123""",
+SELECT {_win(M20)}, timestamp, pairs_12, readings_zone3, documents FROM j123""",
+
+    "foot_traffic_factors": _factors_cte() + f"""
+SELECT {_win(M20)}, timestamp, zone, jws // {US} AS join_window_start, jwe // {US} AS join_window_end,
+       sensor_uid, visitors_from, visitors_to
+FROM factors""",
 
     "foot_traffic_intended": f"""WITH {_readings()},
 dev AS (
@@ -295,12 +317,15 @@ SELECT {_win(H2)}, coalesce(visitors, 0) AS visitors, coalesce(purchases, 0) AS
 FROM j""",
 
     "docs_foot_traffic": _j123_cte() + f"""
-SELECT {_doc_id(S.INDEX_FOOT_TRAFFIC, f'ws // {US}', 'timestamp', 'visitors_zone1',
-                'visitors_zone2', 'visitors_zone3')} AS doc_id,
-       timestamp, visitors_zone1 AS "visitors_Zone1", visitors_zone2 AS "visitors_Zone2",
-       visitors_zone3 AS "visitors_Zone3", copies
+SELECT {_doc_id(S.INDEX_FOOT_TRAFFIC, f'ws // {US}', 'timestamp')} AS doc_id, timestamp,
+       pairs_12 AS "pairs_Zone1_Zone2", readings_zone3 AS "visitors_Zone3", documents
 FROM j123""",
 
+    "docs_foot_traffic_factors": _factors_cte() + f"""
+SELECT {_doc_id(S.INDEX_FOOT_TRAFFIC, f'ws // {US}', 'timestamp', 'zone', f'jws // {US}', 'sensor_uid')}
+       AS doc_id, timestamp, zone, sensor_uid, visitors_from, visitors_to
+FROM factors""",
+
     "docs_proximity": PROX + f"""
 SELECT {_doc_id(S.INDEX_PROXIMITY, f'ws // {US}', 'ts')} AS doc_id, area AS "Area", visitors FROM prox""",
 

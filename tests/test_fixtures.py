@@ -77,25 +77,47 @@ def test_running_count_keeps_first_timestamp(spark):
     assert got == {1: (100, 1), 2: (100, 2), 3: (100, 1), 8: (100, 1), 9: (999, 1), 10: (999, 2)}
 
 
-def test_window_join_12_all_pairs_as_multiset(spark):
-    j = ft.foot_traffic_window_join_12(ft.running_visitors(foot_readings(spark)))
-    rows = j.collect()
-    assert sum(r.copies for r in rows) == 12
-    w0010 = {(r.visitors_zone1, r.visitors_zone2): r.copies for r in rows
-             if r.window.start == at(0, 10)}
-    assert w0010 == {(1, 1): 4, (1, 2): 2, (2, 1): 2, (2, 2): 1}
+def test_window_join_12_counts_pairs(spark):
+    j = ft.foot_traffic_window_join_12(ft.running_visitors(foot_readings(spark))).collect()
+    got = {(r.window.start, r.timestamp): (r.readings_zone1, r.readings_zone2, r.documents) for r in j}
+    assert got == {(at(0, 10), 100): (3, 3, 9), (at(0, 20), 100): (1, 1, 1),
+                   (at(5, 0), 999): (1, 1, 1), (at(6, 0), 999): (1, 1, 1)}
 
 
 def test_second_join_hands_over_at_window_end(spark):
     out = ft.foot_traffic_as_coded(ft.running_visitors(foot_readings(spark))).collect()
-    assert sum(r.copies for r in out) == 12  # end - 1us hand-over would give 30
-    got = {(r.window.start, r.timestamp, r.visitors_zone1, r.visitors_zone2, r.visitors_zone3): r.copies
-           for r in out}
-    assert got == {
-        (at(0, 20), 100, 1, 1, 1): 5, (at(0, 20), 100, 1, 2, 1): 2,
-        (at(0, 20), 100, 2, 1, 1): 2, (at(0, 20), 100, 2, 2, 1): 1,
-        (at(5, 0), 999, 1, 1, 1): 1, (at(6, 0), 999, 2, 2, 2): 1,
-    }
+    assert sum(r.documents for r in out) == 12  # end - 1us hand-over would give 30
+    got = {(r.window.start, r.timestamp): (r.pairs_12, r.readings_zone3, r.documents) for r in out}
+    assert got == {(at(0, 20), 100): (10, 1, 10), (at(5, 0), 999): (1, 1, 1),
+                   (at(6, 0), 999): (1, 1, 1)}
+
+
+def expand(factors):
+    """The pair list the factors stand for: (w20, ts, n1, n2, n3) per document."""
+    from collections import Counter, defaultdict
+    by_key = defaultdict(lambda: {1: defaultdict(list), 2: defaultdict(list), 3: []})
+    for r in factors:
+        k = (r.window.start, r.timestamp)
+        vals = range(r.visitors_from, r.visitors_to + 1)
+        if r.zone == 3:
+            by_key[k][3].extend(vals)
+        else:
+            by_key[k][r.zone][r.join_window.start].extend(vals)
+    docs = Counter()
+    for k, z in by_key.items():
+        for w10, ones in z[1].items():
+            for n1 in ones:
+                for n2 in z[2].get(w10, []):
+                    for n3 in z[3]:
+                        docs[(k[0], k[1], n1, n2, n3)] += 1
+    return docs
+
+
+def test_factors_expand_to_the_pair_list(spark):
+    f = ft.foot_traffic_factors(ft.running_visitors(foot_readings(spark))).collect()
+    docs = expand(f)
+    assert sum(docs.values()) == 12
+    assert docs[(at(0, 20), 100, 1, 1, 1)] == 5 and docs[(at(0, 20), 100, 2, 2, 1)] == 1
 
 
 A1, A2, A3, NONE = (40.4195, -3.7058), (40.4197, -3.7055), (40.41995, -3.7054), (40.4201, -3.7)

@@ -104,7 +104,7 @@ def test_foot_traffic_stream_equals_batch(spark, scratch):
     _run(jobs.start_foot_traffic, stream, f"{scratch}/out", f"{scratch}/ck")
     got = read_documents(spark, f"{scratch}/out", S.INDEX_FOOT_TRAFFIC).drop("batch")
     batch = jobs.foot_traffic_documents(r, NOW)[S.INDEX_FOOT_TRAFFIC]
-    assert batch.agg(F.sum("copies")).first()[0] == 12
+    assert batch.agg(F.sum("documents")).first()[0] == 12
     _same(got, batch)
 
 
