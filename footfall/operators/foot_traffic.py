@@ -64,21 +64,48 @@ def _zone_rows(running, zone: int) -> DataFrame:
 
 
 def _key_readings(running, zone: int, size: str, name: str) -> DataFrame:
-    """Readings per (window, first timestamp) of one zone."""
+    """Readings per (window, first timestamp) of one zone (stream path)."""
     return (_zone_rows(running, zone)
             .groupBy(tumble("arrival", size).alias("window"), F.col("first_ts").alias("timestamp"))
             .agg(F.count(F.lit(1)).alias(name)))
 
 
+def _fine(running: DataFrame, settings: Settings) -> DataFrame:
+    """Batch: one aggregate of the running counts at the finest grain,
+    (zone, first-join window, first timestamp, sensor) -> count range and
+    readings. Every foot-traffic result is derived from this small table, so
+    the running counts are read once."""
+    return (running.where(F.col("zone").isin(list(ZONES)))
+            .groupBy("zone", tumble("arrival", settings.foot_join_first).alias("w1"),
+                     F.col("first_ts").alias("timestamp"), "sensor_uid")
+            .agg(F.min("visitors").alias("visitors_from"), F.max("visitors").alias("visitors_to"),
+                 F.count(F.lit(1)).alias("readings")))
+
+
+def _nested(settings: Settings) -> bool:
+    from footfall.functions.timewin import _micros
+    return _micros(settings.foot_join_second) % _micros(settings.foot_join_first) == 0
+
+
+def _batch_fine(running, settings: Settings):
+    if isinstance(running, dict) or running.isStreaming or not _nested(settings):
+        return None
+    return _fine(running, settings)
+
+
 def foot_traffic_window_join_12(running, settings: Settings = DEFAULTS) -> DataFrame:
     """Zone 1 x zone 2 on equal first timestamps within 10-minute windows.
 
     One row per (window, timestamp) present in both zones: readings of each
     zone and ``documents`` = their product (the source's pair count).
     ``running``: ``running_visitors`` output, or ``running_by_zone`` output
-    (required for streams). The join key includes the window struct, so on
-    a stream both sides keep their watermark and the join state is evicted.
+    (required for streams). Batch: a conditional aggregation per key (no
+    join). Stream: a join of per-key aggregates whose key includes the window
+    struct, so both sides keep their watermark and the join state is evicted.
     """
+    fine = _batch_fine(running, settings)
+    if fine is not None:
+        return _j12_from_fine(fine)
     a = _key_readings(running, 1, settings.foot_join_first, "readings_zone1")
     b = _key_readings(running, 2, settings.foot_join_first, "readings_zone2")
     j = a.join(b, ["window", "timestamp"], "inner")
@@ -86,6 +113,28 @@ def foot_traffic_window_join_12(running, settings: Settings = DEFAULTS) -> DataF
                     (F.col("readings_zone1") * F.col("readings_zone2")).alias("documents"))
 
 
+def _j12_from_fine(fine: DataFrame) -> DataFrame:
+    k = fine.where(F.col("zone").isin(1, 2)).groupBy(F.col("w1").alias("window"), "timestamp").agg(
+        F.sum(F.when(F.col("zone") == 1, F.col("readings"))).alias("readings_zone1"),
+        F.sum(F.when(F.col("zone") == 2, F.col("readings"))).alias("readings_zone2"))
+    return (k.where(F.col("readings_zone1").isNotNull() & F.col("readings_zone2").isNotNull())
+             .withColumn("documents", F.col("readings_zone1") * F.col("readings_zone2")))
+
+
+def _j123_from_fine(fine: DataFrame, settings: Settings) -> DataFrame:
+    second = settings.foot_join_second
+    left = _j12_from_fine(fine).select(
+        F.window(F.col("window.end"), second).alias("window"), "timestamp",
+        F.col("documents").alias("pairs"), F.lit(None).cast("long").alias("r3"))
+    right = fine.where(F.col("zone") == 3).select(
+        F.window(F.col("w1.start"), second).alias("window"), "timestamp",
+        F.lit(None).cast("long").alias("pairs"), F.col("readings").alias("r3"))
+    k = left.unionByName(right).groupBy("window", "timestamp").agg(
+        F.sum("pairs").alias("pairs_12"), F.sum("r3").alias("readings_zone3"))
+    return (k.where(F.col("pairs_12").isNotNull() & F.col("readings_zone3").isNotNull())
+             .withColumn("documents", F.col("pairs_12") * F.col("readings_zone3")))
+
+
 def foot_traffic_as_coded(running, settings: Settings = DEFAULTS) -> DataFrame:
     """(zone1 x zone2) x zone3 per 20-minute window and timestamp.
 
@@ -93,6 +142,9 @@ def foot_traffic_as_coded(running, settings: Settings = DEFAULTS) -> DataFrame:
     10-minute window. Columns: window, timestamp, pairs_12 (first-join
     documents entering the window), readings_zone3, documents.
     """
+    fine = _batch_fine(running, settings)
+    if fine is not None:
+        return _j123_from_fine(fine, settings)
     second = settings.foot_join_second
     j1 = foot_traffic_window_join_12(running, settings)
     right = _key_readings(running, 3, second, "readings_zone3")
@@ -110,15 +162,6 @@ def foot_traffic_as_coded(running, settings: Settings = DEFAULTS) -> DataFrame:
                     (F.col("pairs_12") * F.col("readings_zone3")).alias("documents"))
 
 
-def _ranges(running, zone: int, size: str) -> DataFrame:
-    """Consecutive running counts per (window, first timestamp, sensor)."""
-    return (_zone_rows(running, zone)
-            .groupBy(tumble("arrival", size).alias("join_window"),
-                     F.col("first_ts").alias("timestamp"), "sensor_uid")
-            .agg(F.min("visitors").alias("visitors_from"), F.max("visitors").alias("visitors_to"))
-            .withColumn("zone", F.lit(zone)))
-
-
 def foot_traffic_factors(running, settings: Settings = DEFAULTS) -> DataFrame:
     """The ranges whose cross product is the source's document list (batch).
 
@@ -127,29 +170,31 @@ def foot_traffic_factors(running, settings: Settings = DEFAULTS) -> DataFrame:
     window for zone 3), sensor_uid, visitors_from, visitors_to. For a
     (window, timestamp) key the source's documents are, for each 10-minute
     join window, (zone-1 ranges x zone-2 ranges of that join window) x
-    zone-3 ranges. Keys are matched with semi joins against the per-key
-    tables, so no pair is ever formed.
+    zone-3 ranges. Ranges are matched to keys with semi joins against the
+    per-key tables, so no pair is ever formed.
     """
+    if not _nested(settings):
+        raise ValueError("the second join window must be a multiple of the first")
     second = settings.foot_join_second
-    docs = foot_traffic_as_coded(running, settings).select(
-        F.col("window").alias("w20"), F.col("timestamp").alias("k"))
-    j1 = foot_traffic_window_join_12(running, settings).select(
-        F.col("window").alias("w10"), F.col("timestamp").alias("k"),
-        F.window(F.col("window.end"), second).alias("w20"))
-    live12 = j1.join(docs, ["w20", "k"], "left_semi")
-    out = []
-    for zone in (1, 2):
-        r = _ranges(running, zone, settings.foot_join_first)
-        m = r.join(live12, (F.col("join_window") == F.col("w10")) & (F.col("timestamp") == F.col("k")),
-                   "inner").select(F.col("w20").alias("window"), "timestamp", "zone", "join_window",
-                                   "sensor_uid", "visitors_from", "visitors_to")
-        out.append(m)
-    r3 = _ranges(running, 3, second)
-    m3 = r3.join(docs, (F.col("join_window") == F.col("w20")) & (F.col("timestamp") == F.col("k")),
-                 "left_semi").select(F.col("join_window").alias("window"), "timestamp", "zone",
-                                     "join_window", "sensor_uid", "visitors_from", "visitors_to")
-    out.append(m3)
-    return out[0].unionByName(out[1]).unionByName(out[2])
+    fine = _fine(running, settings)
+    keys = _j123_from_fine(fine, settings).select(
+        F.col("window.start").alias("_w"), F.col("timestamp").alias("_k"))
+    j1 = _j12_from_fine(fine).select(F.col("window.start").alias("_w1"), F.col("timestamp").alias("_k1"))
+    z12 = (fine.where(F.col("zone").isin(1, 2))
+               .join(j1, (F.col("w1.start") == F.col("_w1")) & (F.col("timestamp") == F.col("_k1")),
+                     "left_semi")
+               .select(F.window(F.col("w1.end"), second).alias("window"), "timestamp", "zone",
+                       F.col("w1").alias("join_window"), "sensor_uid", "visitors_from", "visitors_to"))
+    z3 = (fine.where(F.col("zone") == 3)
+              .groupBy(F.window(F.col("w1.start"), second).alias("window"), "timestamp", "zone",
+                       "sensor_uid")
+              .agg(F.min("visitors_from").alias("visitors_from"),
+                   F.max("visitors_to").alias("visitors_to"))
+              .select("window", "timestamp", "zone", F.col("window").alias("join_window"),
+                      "sensor_uid", "visitors_from", "visitors_to"))
+    both = z12.unionByName(z3)
+    return both.join(keys, (F.col("window.start") == F.col("_w")) & (F.col("timestamp") == F.col("_k")),
+                     "left_semi")
 
 
 def foot_traffic_intended(readings: DataFrame, settings: Settings = DEFAULTS,

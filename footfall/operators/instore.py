@@ -131,15 +131,34 @@ def underperforming_categories(purchases: DataFrame, settings: Settings = DEFAUL
 
 def sale_sessions(purchases: DataFrame, settings: Settings = DEFAULTS,
                   pos: str | None = None) -> DataFrame:
-    """Purchase sessions per seller: purchases closer than the gap in arrival
-    time form one session. Native ``session_window`` (batch and stream)."""
-    g = _pos(purchases, pos).groupBy(
-        F.session_window("arrival", settings.sale_session_gap).alias("session"), "seller_name"
-    ).agg(F.count(F.lit(1)).alias("purchases"),
-          F.sum("amount").cast("long").alias("amount"),
-          F.min("arrival").alias("first_arrival"),
-          F.max("arrival").alias("last_arrival"))
-    return g
+    """Purchase sessions per seller: a purchase more than the gap after the
+    seller's previous purchase (by arrival) starts a new session.
+
+    Stream: native ``session_window``. Batch: the same sessions without
+    putting a seller in one task: a keyed scan gives each purchase its
+    predecessor, a second one numbers sessions by a running count of starts,
+    and sessions are an ordinary partial aggregation.
+    """
+    from footfall.functions.timewin import _micros
+    from footfall.operators.scan import keyed_scan
+
+    df = _pos(purchases, pos)
+    aggs = [F.count(F.lit(1)).alias("purchases"), F.sum("amount").cast("long").alias("amount"),
+            F.min("arrival").alias("first_arrival"), F.max("arrival").alias("last_arrival")]
+    if df.isStreaming:
+        return df.groupBy(F.session_window("arrival", settings.sale_session_gap).alias("session"),
+                          "seller_name").agg(*aggs)
+    gap = _micros(settings.sale_session_gap)
+    p = keyed_scan(df.select("seller_name", "arrival", "id", "amount"), ["seller_name"],
+                   ["arrival", "id"], n=None, lag={"prev_arrival": "arrival"})
+    p = p.withColumn("starts", (F.col("prev_arrival").isNull()
+                                | (F.unix_micros("arrival") - F.unix_micros("prev_arrival") > F.lit(gap))
+                                ).cast("long"))
+    p = keyed_scan(p, ["seller_name"], ["arrival", "id"], n=None, sums={"session_no": "starts"})
+    g = p.groupBy("seller_name", "session_no").agg(*aggs)
+    end = F.timestamp_micros(F.unix_micros("last_arrival") + F.lit(gap))
+    return g.select(F.struct(F.col("first_arrival").alias("start"), end.alias("end")).alias("session"),
+                    "seller_name", "purchases", "amount", "first_arrival", "last_arrival")
 
 
 def items_by_shop(purchases: DataFrame) -> DataFrame:

@@ -6,7 +6,8 @@ row's value of others. A window ``partitionBy(key)`` would put every row of
 a key into one task; here the rows are range-partitioned on
 ``(key, order)`` instead, so a hot key is cut across many partitions:
 
-1. ``repartitionByRange`` + ``sortWithinPartitions`` on ``(key, order)``.
+1. ``repartitionByRange`` + ``sortWithinPartitions`` on ``(key, order)``,
+   partition id kept as a column, checkpointed once (see below).
 2. The values within each (partition, key) run: by default a JVM window
    over ``(partition id, key)`` (one more shuffle, but every group is at
    most one partition's rows, so it stays balanced); or, with
@@ -32,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from footfall.functions.ordering import first_by, last_by
+from footfall.session import ensure_checkpoint_dir
 
 
 def _same(a: pa.Array, b: pa.Array) -> np.ndarray:
@@ -115,13 +117,19 @@ def _arrow_pass(s: DataFrame, keys, first_cols, lag_cols) -> DataFrame:
 
 def keyed_scan(df: DataFrame, keys, order, n: str | None = "n",
                first: dict | None = None, lag: dict | None = None,
+               sums: dict | None = None,
                num_partitions: int | None = None, local_pass: str = "window") -> DataFrame:
     """Add per-key ordered values to every row of ``df``.
 
     ``n``: name of the 1-based position column (None: omit).
     ``first``: {output name: column} first row's value within the key.
     ``lag``: {output name: column} previous row's value (null on the first row).
+    ``sums``: {output name: column} running sum of a long column up to the row
+    (window pass only).
     """
+    sums = dict(sums or {})
+    if sums and local_pass != "window":
+        raise ValueError("running sums need the window pass")
     keys, order = list(keys), list(order)
     first = dict(first or {})
     lag = dict(lag or {})
@@ -131,24 +139,37 @@ def keyed_scan(df: DataFrame, keys, order, n: str | None = "n",
 
     spark = df.sparkSession
     parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Range bounds come from a sample seeded per execution, so two reads of
+    # one repartitionByRange may cut the data differently. The partition id
+    # is therefore stored as a column and the partitioned rows are
+    # checkpointed once (reliable storage, lineage cut): the local pass and
+    # the run summary read the very same partitions, also after a lost
+    # executor.
+    ensure_checkpoint_dir(spark)
     s = (df.repartitionByRange(parts, *sort_cols)
-           .withColumn("_scan_pid", F.spark_partition_id()))
+           .sortWithinPartitions(*sort_cols)
+           .withColumn("_scan_pid", F.spark_partition_id())
+           .checkpoint(eager=True))
 
     if local_pass == "arrow":
-        local = _arrow_pass(s.sortWithinPartitions(*sort_cols), keys, first_cols, lag_cols)
+        local = _arrow_pass(s, keys, first_cols, lag_cols)
     else:
         lw = Window.partitionBy("_scan_pid", *keys).orderBy(*order)
         upto = lw.rowsBetween(Window.unboundedPreceding, 0)
         local = s.select(
             "*", F.row_number().over(lw).cast("long").alias("_scan_n"),
             *[F.first(c).over(upto).alias(f"_scan_f_{c}") for c in first_cols],
-            *[F.lag(c).over(lw).alias(f"_scan_l_{c}") for c in lag_cols])
+            *[F.lag(c).over(lw).alias(f"_scan_l_{c}") for c in lag_cols],
+            *[F.sum(F.coalesce(F.col(c).cast("long"), F.lit(0))).over(upto).alias(f"_scan_s_{name}")
+              for name, c in sums.items()])
 
     # Run summary per (partition, key) in the JVM, then what earlier runs carry.
     runs = s.groupBy("_scan_pid", *keys).agg(
         F.count(F.lit(1)).alias("_rc"),
         *[first_by(c, *order).alias(f"_rf_{c}") for c in first_cols],
         *[last_by(c, *order).alias(f"_rl_{c}") for c in lag_cols],
+        *[F.sum(F.coalesce(F.col(c).cast("long"), F.lit(0))).alias(f"_rs_{name}")
+          for name, c in sums.items()],
     )
     w = Window.partitionBy(*keys).orderBy("_scan_pid")
     before = w.rowsBetween(Window.unboundedPreceding, -1)
@@ -159,6 +180,7 @@ def keyed_scan(df: DataFrame, keys, order, n: str | None = "n",
         F.sum("_rc").over(before).alias("_c_n"),
         *[F.first(f"_rf_{c}").over(whole).alias(f"_c_f_{c}") for c in first_cols],
         *[F.lag(f"_rl_{c}").over(w).alias(f"_c_l_{c}") for c in lag_cols],
+        *[F.sum(f"_rs_{name}").over(before).alias(f"_c_s_{name}") for name in sums],
     ).where(F.col("_c_n").isNotNull())
 
     cond = F.col("_scan_pid") == F.col("_c_pid")
@@ -175,4 +197,7 @@ def keyed_scan(df: DataFrame, keys, order, n: str | None = "n",
     for name, c in lag.items():
         out_cols.append(F.when(F.col("_scan_n") == 1, F.col(f"_c_l_{c}"))
                         .otherwise(F.col(f"_scan_l_{c}")).alias(name))
+    for name in sums:
+        out_cols.append((F.col(f"_scan_s_{name}") + F.coalesce(F.col(f"_c_s_{name}"), F.lit(0)))
+                        .alias(name))
     return joined.select(*out_cols)

@@ -1,0 +1,22 @@
+"""Session helpers: the shared checkpoint folder."""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The reliable checkpoint folder of the cluster (``spark.checkpoint.dir``).
+
+    Uses the one the context already has; otherwise the session setting.
+    Never invents a machine-local folder.
+    """
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        raise ValueError("set spark.checkpoint.dir to a shared folder")
+    sc.setCheckpointDir(d)
+    return sc.getCheckpointDir()

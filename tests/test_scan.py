@@ -42,3 +42,22 @@ def test_hot_key_is_split_across_partitions(spark):
     assert len(parts) >= 4  # one key, several tasks
     assert got.agg(F.max("n")).first()[0] == 2000
     assert got.where("n = id + 1").count() == 2000
+
+
+@pytest.mark.parametrize("local_pass", ["window", "arrow"])
+def test_scan_stable_on_a_table(spark, local_pass):
+    """Range bounds are sampled per execution; the scan must not depend on
+    two reads agreeing (regression: carry and local pass disagreed)."""
+    from conftest import SF001
+    from footfall.sources.testdata import table_purchases
+
+    df = table_purchases(spark, SF001).select("seller_name", "arrival", "id")
+    w = Window.partitionBy("seller_name").orderBy("arrival", "id")
+    ref = df.select("*", F.lag("arrival").over(w).alias("ref_prev"),
+                    F.row_number().over(w).cast("long").alias("rn"))
+    for _ in range(2):
+        got = keyed_scan(df, ["seller_name"], ["arrival", "id"], n="n",
+                         lag={"prev": "arrival"}, num_partitions=8, local_pass=local_pass)
+        j = got.join(ref, ["seller_name", "id"])
+        assert j.count() == df.count()
+        assert j.where(~F.col("prev").eqNullSafe(F.col("ref_prev")) | (F.col("n") != F.col("rn"))).count() == 0
