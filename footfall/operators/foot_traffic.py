@@ -22,9 +22,11 @@ product of its ranges:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from footfall.functions.ordering import first_by
+
 from footfall.functions.timewin import tumble
 from footfall.operators.scan import keyed_scan
 from footfall.settings import DEFAULTS, Settings
@@ -71,15 +73,32 @@ def _key_readings(running, zone: int, size: str, name: str) -> DataFrame:
 
 
 def _fine(running: DataFrame, settings: Settings) -> DataFrame:
-    """Batch: one aggregate of the running counts at the finest grain,
+    """Batch: the foot-traffic facts at the finest grain,
     (zone, first-join window, first timestamp, sensor) -> count range and
-    readings. Every foot-traffic result is derived from this small table, so
-    the running counts are read once."""
-    return (running.where(F.col("zone").isin(list(ZONES)))
-            .groupBy("zone", tumble("arrival", settings.foot_join_first).alias("w1"),
-                     F.col("first_ts").alias("timestamp"), "sensor_uid")
-            .agg(F.min("visitors").alias("visitors_from"), F.max("visitors").alias("visitors_to"),
-                 F.count(F.lit(1)).alias("readings")))
+    readings. Every foot-traffic result is derived from this small table.
+
+    From readings (no ``visitors`` column) no per-row running count is
+    needed: the counts of a sensor inside a window run from 1 + its readings
+    in earlier windows, and its first timestamp is that of its first window.
+    That is one aggregate per (zone, sensor, window) and a window function
+    over those aggregated rows (one per active window of a sensor, however
+    busy the sensor is).
+    """
+    rows = running.where(F.col("zone").isin(list(ZONES)))
+    win = tumble("arrival", settings.foot_join_first).alias("w1")
+    if "visitors" in running.columns:
+        return (rows.groupBy("zone", win, F.col("first_ts").alias("timestamp"), "sensor_uid")
+                .agg(F.min("visitors").alias("visitors_from"), F.max("visitors").alias("visitors_to"),
+                     F.count(F.lit(1)).alias("readings")))
+    per_w = rows.groupBy("zone", "sensor_uid", win).agg(
+        F.count(F.lit(1)).alias("readings"), first_by("ts").alias("_ts0"))
+    w = Window.partitionBy("zone", "sensor_uid").orderBy(F.col("w1.start"))
+    earlier = F.coalesce(F.sum("readings").over(w.rowsBetween(Window.unboundedPreceding, -1)),
+                         F.lit(0))
+    first_ts = F.first("_ts0").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    return per_w.select("zone", "w1", first_ts.alias("timestamp"), "sensor_uid",
+                        (earlier + 1).alias("visitors_from"),
+                        (earlier + F.col("readings")).alias("visitors_to"), "readings")
 
 
 def _nested(settings: Settings) -> bool:
@@ -98,8 +117,8 @@ def foot_traffic_window_join_12(running, settings: Settings = DEFAULTS) -> DataF
 
     One row per (window, timestamp) present in both zones: readings of each
     zone and ``documents`` = their product (the source's pair count).
-    ``running``: ``running_visitors`` output, or ``running_by_zone`` output
-    (required for streams). Batch: a conditional aggregation per key (no
+    ``running``: batch readings (zone 1..3), ``running_visitors`` output, or
+    ``running_by_zone`` output (required for streams). Batch: a conditional aggregation per key (no
     join). Stream: a join of per-key aggregates whose key includes the window
     struct, so both sides keep their watermark and the join state is evicted.
     """

@@ -83,17 +83,21 @@ def offer_alerts(proximity: DataFrame, settings: Settings = DEFAULTS,
 def offer_recipients(readings: DataFrame, alerts: DataFrame, settings: Settings = DEFAULTS,
                      zone: int | None = 1, areas=ZONE1_AREAS) -> DataFrame:
     """Devices to notify: distinct MACs seen in the alert's area, window and
-    timestamp. The loyalty flag lives only on purchases, which share no
-    customer id with readings, so it cannot filter here."""
+    timestamp. Readings are first reduced to distinct devices per key (a
+    partial aggregate), then matched to the alert keys, so a crowded key
+    sends one row per device and map task to the join, not its readings.
+    The loyalty flag lives only on purchases, which share no customer id
+    with readings, so it cannot filter here."""
     seen = (classify_area(_zone(readings, zone), areas)
             .where(F.col("area").isNotNull())
-            .select(tumble("arrival", settings.proximity_window).alias("window"),
-                    "ts", "area", "mac"))
+            .groupBy(tumble("arrival", settings.proximity_window).alias("window"),
+                     "ts", "area", "mac")
+            .agg(F.count(F.lit(1)).alias("readings")))
     keys = alerts.select(F.col("window.start").alias("_ws"), F.col("ts").alias("_ts"),
                          F.col("area").alias("_area"), "message")
     j = seen.join(keys, (F.col("window.start") == F.col("_ws")) & (F.col("ts") == F.col("_ts"))
                   & (F.col("area") == F.col("_area")), "inner")
-    return j.groupBy("window", "ts", "area", "mac").agg(F.first("message").alias("message"))
+    return j.select("window", "ts", "area", "mac", "message")
 
 
 def capture_rate(readings: DataFrame, settings: Settings = DEFAULTS,

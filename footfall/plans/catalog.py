@@ -63,15 +63,15 @@ def q_running_visitors(spark, sf_dir):
 
 
 def q_foot_traffic_window_join_12(spark, sf_dir):
-    return flat(ft.foot_traffic_window_join_12(ft.running_visitors(_readings(spark, sf_dir))))
+    return flat(ft.foot_traffic_window_join_12(_readings(spark, sf_dir)))
 
 
 def q_foot_traffic_as_coded(spark, sf_dir):
-    return flat(ft.foot_traffic_as_coded(ft.running_visitors(_readings(spark, sf_dir))))
+    return flat(ft.foot_traffic_as_coded(_readings(spark, sf_dir)))
 
 
 def q_foot_traffic_factors(spark, sf_dir):
-    f = ft.foot_traffic_factors(ft.running_visitors(_readings(spark, sf_dir)))
+    f = ft.foot_traffic_factors(_readings(spark, sf_dir))
     return flat(flat(f), "join_window", "join_window")
 
 
@@ -176,12 +176,11 @@ def q_sales_conversion(spark, sf_dir):
 # --- documents of the seven indexes ---------------------------------------------
 
 def q_docs_foot_traffic(spark, sf_dir):
-    return docs.foot_traffic_docs(ft.foot_traffic_as_coded(ft.running_visitors(_readings(spark, sf_dir))))
+    return docs.foot_traffic_docs(ft.foot_traffic_as_coded(_readings(spark, sf_dir)))
 
 
 def q_docs_foot_traffic_factors(spark, sf_dir):
-    return docs.foot_traffic_factor_docs(
-        ft.foot_traffic_factors(ft.running_visitors(_readings(spark, sf_dir))))
+    return docs.foot_traffic_factor_docs(ft.foot_traffic_factors(_readings(spark, sf_dir)))
 
 
 def q_docs_proximity(spark, sf_dir):

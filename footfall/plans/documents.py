@@ -80,6 +80,12 @@ def sales_docs(df: DataFrame) -> DataFrame:
                      "date", F.col("total_sales").alias("total_Sales"))
 
 
+def alert_docs(df: DataFrame) -> DataFrame:
+    """Crowd alerts (one per proximity result at or above the threshold)."""
+    return df.select(doc_id("offer-alerts", _ws(), "ts").alias("doc_id"),
+                     "ts", "area", "visitors", "message", "sender")
+
+
 DOCUMENTS = {
     S.INDEX_FOOT_TRAFFIC: foot_traffic_docs,
     S.INDEX_PROXIMITY: proximity_docs,

@@ -27,7 +27,7 @@ def with_clock(df: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
 
 def foot_traffic_documents(readings: DataFrame, settings: Settings = DEFAULTS) -> dict[str, DataFrame]:
     clocked = with_clock(readings, settings)
-    running = ft.running_by_zone(clocked) if clocked.isStreaming else ft.running_visitors(clocked)
+    running = ft.running_by_zone(clocked) if clocked.isStreaming else clocked
     return {S.INDEX_FOOT_TRAFFIC: docs.foot_traffic_docs(ft.foot_traffic_as_coded(running, settings))}
 
 
@@ -38,7 +38,7 @@ def proximity_documents(readings: DataFrame, settings: Settings = DEFAULTS,
         S.INDEX_PROXIMITY: docs.proximity_docs(prox),
         S.INDEX_TRAFFIC_JAM: docs.traffic_jam_docs(
             proximity.traffic_jam_as_coded(prox, settings, threshold)),
-        "offer-alerts": proximity.offer_alerts(prox, settings, threshold),
+        "offer-alerts": docs.alert_docs(proximity.offer_alerts(prox, settings, threshold)),
     }
 
 

@@ -48,6 +48,22 @@ def search_index_writer(index: str, options: dict | None = None) -> Callable[[Da
     return write
 
 
+def kafka_writer(topic: str, bootstrap_servers: str,
+                 options: dict | None = None) -> Callable[[DataFrame, int], None]:
+    """Documents back to a Kafka topic: key = ``doc_id``, value = the document
+    as JSON (needs the Kafka data source package on the classpath)."""
+    from pyspark.sql import functions as F
+
+    opts = {"kafka.bootstrap.servers": bootstrap_servers, "topic": topic}
+    opts.update(options or {})
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        out = batch.select(F.col("doc_id").cast("string").alias("key"),
+                           F.to_json(F.struct(*[F.col(c) for c in batch.columns])).alias("value"))
+        out.write.format("kafka").options(**opts).save()
+    return write
+
+
 def write_documents(docs: DataFrame, index: str, root: str | None = None,
                     checkpoint: str | None = None, writer=None,
                     trigger: dict | None = None, query_name: str | None = None) -> StreamingQuery:

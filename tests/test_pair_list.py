@@ -25,12 +25,15 @@ JOIN running c ON c.zone = 3 AND c.first_ts = a.first_ts
 WHERE a.zone = 1"""
 
 
+@pytest.mark.parametrize("source", ["readings", "running"])
 @pytest.mark.parametrize("sf,expected", [(SF0001, 4), (SF001, 2680)])
-def test_factors_equal_brute_force_pairs(spark, sf, expected):
+def test_factors_equal_brute_force_pairs(spark, sf, expected, source):
     want = Counter(duck(sf).sql(PAIRS).fetchall())
     assert sum(want.values()) == expected
     prepare(spark)
-    running = ft.running_visitors(table_readings(spark, sf))
+    running = table_readings(spark, sf)
+    if source == "running":
+        running = ft.running_visitors(running)
     got = expand(ft.foot_traffic_factors(running).collect())
     as_us = Counter({(int(k[0].replace(tzinfo=timezone.utc).timestamp() * 1_000_000)
                       if isinstance(k[0], datetime) else k[0], *k[1:]): v for k, v in got.items()})
