@@ -26,13 +26,25 @@ NOW = DEFAULTS.with_(watermark_delay="0 seconds", crowd_threshold=2)
 FLUSH = datetime(2030, 1, 1)
 
 
+def _append(df, path):
+    """Append one parquet file and give it a later mtime than every file
+    already there: the file source reads files in mtime order, and files
+    written within one clock tick would otherwise come in random order."""
+    before = set(Path(path).glob("*.parquet")) if Path(path).exists() else set()
+    df.coalesce(1).write.mode("append").parquet(path)
+    latest = max((p.stat().st_mtime for p in before), default=0.0)
+    for i, f in enumerate(sorted(set(Path(path).glob("*.parquet")) - before)):
+        t = max(latest + 10 + i, f.stat().st_mtime)
+        os.utime(f, (t, t))
+
+
 def _write_in_chunks(df, path, n_files=4):
     """Write rows ordered by arrival as n_files separate parquet files."""
     lo, hi = df.agg(F.min("id"), F.max("id")).first()
     step = (hi - lo) // n_files + 1
     for k in range(n_files):
         part = df.where((F.col("id") >= lo + k * step) & (F.col("id") < lo + (k + 1) * step))
-        part.coalesce(1).write.mode("append").parquet(path)
+        _append(part, path)
 
 
 def _flush_rows(spark, schema, template: dict, n=1):
@@ -65,7 +77,7 @@ def test_instore_stream_equals_batch(spark, scratch):
     src = f"{scratch}/in"
     _write_in_chunks(p, src)
     flush = _flush_rows(spark, PURCHASE, {"pos": "POS1", "product_category": "Men", "ts": 0})
-    flush.union(flush.withColumn("pos", F.lit("POS2"))).coalesce(1).write.mode("append").parquet(src)
+    _append(flush.union(flush.withColumn("pos", F.lit("POS2"))), src)
     stream = stream_files(spark, src, PURCHASE, max_files_per_trigger=1)
     _run(jobs.start_instore, stream, f"{scratch}/out", f"{scratch}/ck")
     batch = jobs.instore_documents(p, NOW)
@@ -79,8 +91,7 @@ def test_proximity_chain_stream_equals_batch(spark, scratch):
         [f.name for f in READING.fields])
     src = f"{scratch}/in"
     _write_in_chunks(r, src)
-    _flush_rows(spark, READING, {"zone": 1, "ts": 0, "latitude": 0.0, "longitude": 0.0}) \
-        .coalesce(1).write.mode("append").parquet(src)
+    _append(_flush_rows(spark, READING, {"zone": 1, "ts": 0, "latitude": 0.0, "longitude": 0.0}), src)
     stream = stream_files(spark, src, READING, max_files_per_trigger=1)
     _run(jobs.start_proximity, stream, f"{scratch}/out", f"{scratch}/ck", threshold=2)
     batch = jobs.proximity_documents(r, NOW, threshold=2)
@@ -92,14 +103,14 @@ def test_proximity_chain_stream_equals_batch(spark, scratch):
 def test_foot_traffic_stream_equals_batch(spark, scratch):
     r = foot_readings(spark)
     src = f"{scratch}/in"
-    r.where("arrival < '2024-01-01 01:00:00'").coalesce(1).write.parquet(src)
-    r.where("arrival >= '2024-01-01 01:00:00'").coalesce(1).write.mode("append").parquet(src)
+    _append(r.where("arrival < '2024-01-01 01:00:00'"), src)
+    _append(r.where("arrival >= '2024-01-01 01:00:00'"), src)
     flush = None
     for z in (1, 2, 3):
         f = _flush_rows(spark, READING, {"zone": z, "sensor_uid": "late", "ts": 5, "latitude": 0.0,
                                          "longitude": 0.0}).withColumn("id", F.col("id") + z)
         flush = f if flush is None else flush.union(f)
-    flush.coalesce(1).write.mode("append").parquet(src)
+    _append(flush, src)
     stream = stream_files(spark, src, READING, max_files_per_trigger=1)
     _run(jobs.start_foot_traffic, stream, f"{scratch}/out", f"{scratch}/ck")
     got = read_documents(spark, f"{scratch}/out", S.INDEX_FOOT_TRAFFIC).drop("batch")
@@ -113,7 +124,7 @@ def test_replayed_batch_does_not_duplicate(spark, scratch):
     src = f"{scratch}/in"
     _write_in_chunks(p, src, n_files=2)
     flush = _flush_rows(spark, PURCHASE, {"pos": "POS1", "product_category": "Men", "ts": 0})
-    flush.coalesce(1).write.mode("append").parquet(src)
+    _append(flush, src)
     out, ck = f"{scratch}/out", f"{scratch}/ck"
 
     def run():
@@ -139,3 +150,64 @@ def test_replayed_batch_does_not_duplicate(spark, scratch):
     again = read_documents(spark, out, S.INDEX_PAYMENT).drop("batch")
     assert again.count() == n
     assert again.select("doc_id").distinct().count() == n
+
+
+def _stream_vs_batch(spark, scratch, name, table, schema, op, flush_templates):
+    """Run ``op`` on a file stream of ``table`` (plus late flush rows) and on
+    the batch table; the stream's output must equal the batch output.
+
+    Spark pushes an operator's filters below the watermark, so a flush row
+    only moves the clock if it passes them: give one per filtered branch."""
+    src = f"{scratch}/in"
+    _write_in_chunks(table, src)
+    flush = None
+    for i, t in enumerate(flush_templates):
+        f = _flush_rows(spark, schema, t).withColumn("id", F.col("id") + i)
+        flush = f if flush is None else flush.union(f)
+    _append(flush, src)
+    stream = jobs.with_clock(stream_files(spark, src, schema, max_files_per_trigger=1), NOW)
+    q = (op(stream).writeStream.format("memory").queryName(name).outputMode("append")
+         .option("checkpointLocation", f"{scratch}/ck").trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    assert q.exception() is None, q.exception()
+    got = spark.table(name)
+    want = op(table)
+    assert got.count() > 0
+    _same(got, want)
+
+
+def test_intended_instore_streams(spark, scratch):
+    from footfall.operators import instore
+
+    p = table_purchases(spark, SF0001).select([f.name for f in PURCHASE.fields])
+    flush = [{"pos": pos, "product_category": "Men", "ts": 0, "seller_name": "Seller_1"}
+             for pos in ("POS1", "POS2")]
+    ops = {
+        "s_total_sales": lambda d: instore.total_sales_intended(d, NOW),
+        "s_most_used": lambda d: instore.most_used_payment_method(d, NOW),
+        "s_under": lambda d: instore.underperforming_categories(d, NOW, k=1),
+    }
+    for i, (name, op) in enumerate(ops.items()):
+        _stream_vs_batch(spark, f"{scratch}/{i}", name, p, PURCHASE, op, flush)
+
+
+def test_sessions_stream_equals_balanced_batch(spark, scratch):
+    from footfall.operators import instore
+
+    p = table_purchases(spark, SF0001).select([f.name for f in PURCHASE.fields])
+    flush = [{"pos": "POS1", "product_category": "Men", "ts": 0, "seller_name": "nobody"}]
+    _stream_vs_batch(spark, scratch, "s_sessions", p, PURCHASE,
+                     lambda d: instore.sale_sessions(d, NOW), flush)
+
+
+def test_intended_foot_traffic_stream(spark, scratch):
+    from footfall.operators import foot_traffic as ft
+    from footfall.operators import proximity
+
+    r = table_readings(spark, SF0001).select([f.name for f in READING.fields])
+    # inside Area 1, so it passes the area filter pushed below the watermark
+    flush = [{"zone": 1, "ts": 0, "latitude": 40.4195, "longitude": -3.7058, "mac": "late"}]
+    _stream_vs_batch(spark, f"{scratch}/a", "s_unique", r, READING,
+                     lambda d: ft.foot_traffic_intended(d, NOW), flush)
+    _stream_vs_batch(spark, f"{scratch}/b", "s_prox_area", r, READING,
+                     lambda d: proximity.proximity_traffic_intended(d, NOW), flush)
