@@ -50,11 +50,3 @@ def fix_next_window(df: DataFrame, source_is_streaming: bool, col: str = "window
         (F.col(f"{col}.start") + F.expr("INTERVAL 1 MICROSECOND")).alias("start"),
         (F.col(f"{col}.end") + F.expr("INTERVAL 1 MICROSECOND")).alias("end"),
     ))
-
-
-def flatten_window(df: DataFrame, col: str = "window",
-                   prefix: str = "window") -> DataFrame:
-    """Replace a window struct by ``<prefix>_start``/``<prefix>_end`` columns."""
-    return (df.withColumn(f"{prefix}_start", F.col(f"{col}.start"))
-              .withColumn(f"{prefix}_end", F.col(f"{col}.end"))
-              .drop(col))

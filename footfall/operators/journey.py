@@ -21,10 +21,16 @@ def customer_journey(readings: DataFrame, zone: int | None = 1, areas=ZONE1_AREA
                      num_partitions: int | None = None) -> DataFrame:
     """Entries into shop areas per device: one row each time a device's
     reading is in an area other than the area of its previous in-area
-    reading. ``visit_no`` numbers the entries per device."""
+    reading. ``visit_no`` numbers the entries per device.
+
+    Batch: two keyed scans (balanced under a busy device). Stream: a state
+    processor per device keeps its last area and entry count."""
     df = readings if zone is None else readings.where(F.col("zone") == F.lit(zone))
     inside = classify_area(df, areas).where(F.col("area").isNotNull()).select(
         "mac", "arrival", "id", "area")
+    if inside.isStreaming:
+        from footfall.streaming.stateful import journey_stream
+        return journey_stream(inside)
     with_prev = keyed_scan(inside, ["mac"], ["arrival", "id"], n=None,
                            lag={"prev_area": "area"}, num_partitions=num_partitions)
     entries = with_prev.where(F.col("prev_area").isNull() | (F.col("prev_area") != F.col("area")))

@@ -70,7 +70,6 @@ class Settings:
     visit_window: str = "2 hours"        # unique-MAC foot traffic
     sale_session_gap: str = "10 minutes"  # purchase sessions per seller
     bottom_k: int = 1                     # under-performing categories per window
-    journey_window: str = "1 day"         # visit history / journey grain
 
     def with_(self, **changes) -> "Settings":
         return replace(self, **changes)

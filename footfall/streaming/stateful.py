@@ -84,3 +84,65 @@ def running_visitors_stream(readings: DataFrame, ttl_ms: int | None = None) -> D
         timeMode="None",
         eventTimeColumnName="arrival",
     )
+
+
+JOURNEY_SCHEMA = T.StructType([
+    T.StructField("mac", T.StringType()),
+    T.StructField("visit_no", T.LongType()),
+    T.StructField("area", T.StringType()),
+    T.StructField("prev_area", T.StringType()),
+    T.StructField("entered_at", T.TimestampType()),
+    T.StructField("id", T.LongType()),
+])
+
+JOURNEY_STATE = T.StructType([
+    T.StructField("last_area", T.StringType()),
+    T.StructField("visits", T.LongType()),
+])
+
+
+class JourneyTracker(StatefulProcessor):
+    """Per device: the area of its last in-area reading and its entry count.
+    Emits one row per entry into an area other than the last one."""
+
+    def __init__(self, ttl_ms: int | None = None):
+        self.ttl_ms = ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("last_area_and_visits", JOURNEY_STATE, self.ttl_ms)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["arrival", "id"], kind="stable")
+        last, visits = self.state.get() if self.state.exists() else (None, 0)
+        areas = pdf["area"].tolist()
+        prev = [last] + areas[:-1]
+        entry = np.array([a != p for a, p in zip(areas, prev)], dtype=bool)
+        k = int(entry.sum())
+        self.state.update((areas[-1], visits + k))
+        if k == 0:
+            return
+        yield pd.DataFrame({
+            "mac": [key[0]] * k,
+            "visit_no": np.arange(visits + 1, visits + 1 + k, dtype=np.int64),
+            "area": [a for a, e in zip(areas, entry) if e],
+            "prev_area": [p for p, e in zip(prev, entry) if e],
+            "entered_at": pdf["arrival"].to_numpy()[entry],
+            "id": pdf["id"].to_numpy()[entry],
+        })
+
+    def close(self) -> None:
+        pass
+
+
+def journey_stream(inside: DataFrame, ttl_ms: int | None = None) -> DataFrame:
+    """``inside``: in-area readings (mac, arrival, id, area) of a stream."""
+    spark = inside.sparkSession
+    if "RocksDB" not in (spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") or ""):
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    return inside.groupBy("mac").transformWithStateInPandas(
+        statefulProcessor=JourneyTracker(ttl_ms),
+        outputStructType=JOURNEY_SCHEMA,
+        outputMode="Append",
+        timeMode="None",
+        eventTimeColumnName="entered_at",
+    )

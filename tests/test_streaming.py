@@ -211,3 +211,20 @@ def test_intended_foot_traffic_stream(spark, scratch):
                      lambda d: ft.foot_traffic_intended(d, NOW), flush)
     _stream_vs_batch(spark, f"{scratch}/b", "s_prox_area", r, READING,
                      lambda d: proximity.proximity_traffic_intended(d, NOW), flush)
+
+
+def test_journey_stream_equals_batch(spark, scratch):
+    from footfall.operators import journey
+
+    r = table_readings(spark, SF0001).select([f.name for f in READING.fields])
+    src = f"{scratch}/in"
+    _write_in_chunks(r, src)
+    stream = jobs.with_clock(stream_files(spark, src, READING, max_files_per_trigger=1), NOW)
+    q = (journey.customer_journey(stream).writeStream.format("memory").queryName("s_journey")
+         .outputMode("append").option("checkpointLocation", f"{scratch}/ck")
+         .trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    assert q.exception() is None, q.exception()
+    got = spark.table("s_journey")
+    assert got.count() > 0
+    _same(got, journey.customer_journey(r))
