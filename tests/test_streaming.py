@@ -228,3 +228,19 @@ def test_journey_stream_equals_batch(spark, scratch):
     got = spark.table("s_journey")
     assert got.count() > 0
     _same(got, journey.customer_journey(r))
+
+
+def test_command_line_runs_instore(spark, scratch):
+    from footfall import cli
+
+    p = table_purchases(spark, SF0001).select([f.name for f in PURCHASE.fields])
+    src = f"{scratch}/in"
+    _write_in_chunks(p, src)
+    flush = _flush_rows(spark, PURCHASE, {"pos": "POS1", "product_category": "Men", "ts": 0})
+    _append(flush.union(flush.withColumn("pos", F.lit("POS2"))), src)
+    qs = cli.main(["instore", "--files", src, "--out", f"{scratch}/out", "--checkpoint",
+                   f"{scratch}/ck", "--watermark", "0 seconds", "--available-now",
+                   "--max-files-per-trigger", "1"], spark=spark)
+    assert set(qs) == {S.INDEX_CATEGORIES, S.INDEX_PAYMENT, S.INDEX_STOCK, S.INDEX_SALES}
+    got = read_documents(spark, f"{scratch}/out", S.INDEX_PAYMENT).drop("batch")
+    _same(got, jobs.instore_documents(p, NOW)[S.INDEX_PAYMENT])
