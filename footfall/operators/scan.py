@@ -36,6 +36,11 @@ from footfall.functions.ordering import first_by, last_by
 from footfall.session import ensure_checkpoint_dir
 
 
+# Largest partition count for which the carry table (<= one row per
+# partition, a few dozen bytes each) is broadcast.
+MAX_BROADCAST_CARRY = 200_000
+
+
 def _same(a: pa.Array, b: pa.Array) -> np.ndarray:
     """Null-safe element-wise equality of two equal-length arrays."""
     eq = pc.fill_null(pc.equal(a, b), False)
@@ -186,7 +191,11 @@ def keyed_scan(df: DataFrame, keys, order, n: str | None = "n",
     cond = F.col("_scan_pid") == F.col("_c_pid")
     for i, k in enumerate(keys):
         cond = cond & F.col(k).eqNullSafe(F.col(f"_c_k{i}"))
-    joined = local.join(F.broadcast(carry), cond, "left")
+    # At most one carry row per partition: broadcast while that bound is
+    # small; beyond it, an ordinary shuffle join on (partition, key), which
+    # is balanced because every (partition, key) run is at most one partition.
+    right = F.broadcast(carry) if parts <= MAX_BROADCAST_CARRY else carry
+    joined = local.join(right, cond, "left")
 
     out_cols = [F.col(c) for c in df.columns]
     if n:

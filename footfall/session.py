@@ -20,3 +20,34 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         raise ValueError("set spark.checkpoint.dir to a shared folder")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir()
+
+
+def tune_for_input(spark: SparkSession, input_bytes: int,
+                   partition_bytes: int = 256 * 1024 * 1024,
+                   min_partitions: int | None = None) -> int:
+    """Size shuffles for an input of ``input_bytes``: one shuffle partition
+    per ``partition_bytes`` (so a partition fits an executor's memory), the
+    same target for AQE's coalescing and skew splitting, and for scan splits.
+    Returns the shuffle partition count (also the default for keyed scans).
+    """
+    cores = spark.sparkContext.defaultParallelism
+    parts = max(min_partitions or cores, -(-input_bytes // partition_bytes))
+    conf = {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(min(partition_bytes, 512 * 1024 * 1024)),
+    }
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return parts
+
+
+def input_size(spark: SparkSession, path: str) -> int:
+    """Bytes under a path, from the file system (no data is read)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(hpath).getLength())
