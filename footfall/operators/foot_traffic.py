@@ -14,8 +14,10 @@ product of its ranges:
 
 * ``foot_traffic_window_join_12`` / ``foot_traffic_as_coded``: one row per
   key with the readings per zone and ``documents``, the number of documents
-  the source indexes for it. Built from per-key aggregates joined on the
-  key: the work grows with keys, never with pairs.
+  the source indexes for it. Batch: derived from one aggregate per
+  (zone, sensor, window) with a conditional aggregation per key; stream:
+  per-key aggregates joined on the key. The work grows with keys, never
+  with pairs.
 * ``foot_traffic_factors``: the ranges behind every key that has documents
   (lossless: expanding them gives the source's documents one for one).
 """
@@ -26,7 +28,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.functions.ordering import first_by
-
 from footfall.functions.timewin import tumble
 from footfall.operators.scan import keyed_scan
 from footfall.settings import DEFAULTS, Settings

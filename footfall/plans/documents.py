@@ -3,8 +3,9 @@
 Each function maps an operator's output to the index's document fields and
 adds ``doc_id``: a SHA-256 of the index name, the window start and the
 row's key. A replayed micro-batch therefore rewrites the same documents
-instead of appending duplicates. ``flink-streams`` documents describe the pair-listing join per key
-(count of its documents) and, separately, by the ranges that generate them.
+instead of appending duplicates. Foot-traffic documents describe the
+pair-listing join per key (count of its documents) and, separately, by the
+ranges that generate them.
 """
 
 from __future__ import annotations
