@@ -135,9 +135,9 @@ def sale_sessions(purchases: DataFrame, settings: Settings = DEFAULTS,
     seller's previous purchase (by arrival) starts a new session.
 
     Stream: native ``session_window``. Batch: the same sessions without
-    putting a seller in one task: a keyed scan gives each purchase its
-    predecessor, a second one numbers sessions by a running count of starts,
-    and sessions are an ordinary partial aggregation.
+    putting a seller in one task: one keyed scan numbers sessions by a
+    running count of session starts (a purchase more than the gap after its
+    predecessor), and sessions are an ordinary partial aggregation.
     """
     from footfall.functions.timewin import _micros
     from footfall.operators.scan import keyed_scan
@@ -149,12 +149,13 @@ def sale_sessions(purchases: DataFrame, settings: Settings = DEFAULTS,
         return df.groupBy(F.session_window("arrival", settings.sale_session_gap).alias("session"),
                           "seller_name").agg(*aggs)
     gap = _micros(settings.sale_session_gap)
+
+    def starts_session(cur, prev):
+        return prev["arrival"].isNull() | (
+            F.unix_micros(cur["arrival"]) - F.unix_micros(prev["arrival"]) > F.lit(gap))
+
     p = keyed_scan(df.select("seller_name", "arrival", "id", "amount"), ["seller_name"],
-                   ["arrival", "id"], n=None, lag={"prev_arrival": "arrival"})
-    p = p.withColumn("starts", (F.col("prev_arrival").isNull()
-                                | (F.unix_micros("arrival") - F.unix_micros("prev_arrival") > F.lit(gap))
-                                ).cast("long"))
-    p = keyed_scan(p, ["seller_name"], ["arrival", "id"], n=None, sums={"session_no": "starts"})
+                   ["arrival", "id"], n=None, flags={"session_no": (starts_session, ["arrival"])})
     g = p.groupBy("seller_name", "session_no").agg(*aggs)
     end = F.timestamp_micros(F.unix_micros("last_arrival") + F.lit(gap))
     return g.select(F.struct(F.col("first_arrival").alias("start"), end.alias("end")).alias("session"),

@@ -23,21 +23,24 @@ def customer_journey(readings: DataFrame, zone: int | None = 1, areas=ZONE1_AREA
     reading is in an area other than the area of its previous in-area
     reading. ``visit_no`` numbers the entries per device.
 
-    Batch: two keyed scans (balanced under a busy device). Stream: a state
-    processor per device keeps its last area and entry count."""
+    Batch: one keyed scan (balanced under a busy device) gives the previous
+    area and numbers entries. Stream: a state processor per device keeps its
+    last area and entry count."""
     df = readings if zone is None else readings.where(F.col("zone") == F.lit(zone))
     inside = classify_area(df, areas).where(F.col("area").isNotNull()).select(
         "mac", "arrival", "id", "area")
     if inside.isStreaming:
         from footfall.streaming.stateful import journey_stream
         return journey_stream(inside)
-    with_prev = keyed_scan(inside, ["mac"], ["arrival", "id"], n=None,
-                           lag={"prev_area": "area"}, num_partitions=num_partitions)
-    entries = with_prev.where(F.col("prev_area").isNull() | (F.col("prev_area") != F.col("area")))
-    numbered = keyed_scan(entries, ["mac"], ["arrival", "id"], n="visit_no",
-                          num_partitions=num_partitions)
-    return numbered.select("mac", "visit_no", "area", "prev_area",
-                           F.col("arrival").alias("entered_at"), "id")
+    def enters(cur, prev):
+        return prev["area"].isNull() | (cur["area"] != prev["area"])
+
+    scanned = keyed_scan(inside, ["mac"], ["arrival", "id"], n=None,
+                         lag={"prev_area": "area"}, flags={"visit_no": (enters, ["area"])},
+                         num_partitions=num_partitions)
+    entries = scanned.where(F.col("prev_area").isNull() | (F.col("prev_area") != F.col("area")))
+    return entries.select("mac", "visit_no", "area", "prev_area",
+                          F.col("arrival").alias("entered_at"), "id")
 
 
 def visit_history(readings: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:

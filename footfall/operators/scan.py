@@ -122,19 +122,26 @@ def _arrow_pass(s: DataFrame, keys, first_cols, lag_cols) -> DataFrame:
 
 def keyed_scan(df: DataFrame, keys, order, n: str | None = "n",
                first: dict | None = None, lag: dict | None = None,
-               sums: dict | None = None,
+               sums: dict | None = None, flags: dict | None = None,
                num_partitions: int | None = None, local_pass: str = "window") -> DataFrame:
     """Add per-key ordered values to every row of ``df``.
 
     ``n``: name of the 1-based position column (None: omit).
     ``first``: {output name: column} first row's value within the key.
     ``lag``: {output name: column} previous row's value (null on the first row).
-    ``sums``: {output name: column} running sum of a long column up to the row
-    (window pass only).
+    ``sums``: {output name: column} running sum of a long column up to the row.
+    ``flags``: {output name: (predicate, columns)} running count of rows for
+    which ``predicate(cur, prev)`` holds, where ``cur``/``prev`` map each of
+    ``columns`` to the row's and the previous row's value (prev is null on
+    the key's first row). The first row of every partition run is judged
+    again against the row carried in from the earlier partition.
+    ``sums`` and ``flags`` need the window pass.
     """
     sums = dict(sums or {})
-    if sums and local_pass != "window":
-        raise ValueError("running sums need the window pass")
+    flags = dict(flags or {})
+    if (sums or flags) and local_pass != "window":
+        raise ValueError("running sums and flags need the window pass")
+    flag_cols = list(dict.fromkeys(c for _, cols in flags.values() for c in cols))
     keys, order = list(keys), list(order)
     first = dict(first or {})
     lag = dict(lag or {})
@@ -166,27 +173,59 @@ def keyed_scan(df: DataFrame, keys, order, n: str | None = "n",
             *[F.first(c).over(upto).alias(f"_scan_f_{c}") for c in first_cols],
             *[F.lag(c).over(lw).alias(f"_scan_l_{c}") for c in lag_cols],
             *[F.sum(F.coalesce(F.col(c).cast("long"), F.lit(0))).over(upto).alias(f"_scan_s_{name}")
-              for name, c in sums.items()])
-
-    # Run summary per (partition, key) in the JVM, then what earlier runs carry.
-    runs = s.groupBy("_scan_pid", *keys).agg(
+              for name, c in sums.items()],
+            *[F.lag(c).over(lw).alias(f"_scan_p_{c}") for c in flag_cols])
+        for name, (fn, cols) in flags.items():
+            hit = fn({c: F.col(c) for c in cols}, {c: F.col(f"_scan_p_{c}") for c in cols})
+            local = local.withColumn(f"_scan_h_{name}", F.coalesce(hit, F.lit(False)).cast("long"))
+        if flags:
+            local = local.select("*", *[F.sum(f"_scan_h_{name}").over(upto).alias(f"_scan_g_{name}")
+                                        for name in flags])
+
+    # Run summary per (partition, key), then what earlier runs carry. The
+    # rows are checkpointed, so reading them (or the local pass) again is
+    # deterministic.
+    runs = (local if flags else s).groupBy("_scan_pid", *keys).agg(
         F.count(F.lit(1)).alias("_rc"),
         *[first_by(c, *order).alias(f"_rf_{c}") for c in first_cols],
         *[last_by(c, *order).alias(f"_rl_{c}") for c in lag_cols],
         *[F.sum(F.coalesce(F.col(c).cast("long"), F.lit(0))).alias(f"_rs_{name}")
           for name, c in sums.items()],
+        *[first_by(c, *order).alias(f"_rff_{c}") for c in flag_cols],
+        *[last_by(c, *order).alias(f"_rlf_{c}") for c in flag_cols],
+        *[F.max(f"_scan_g_{name}").alias(f"_rg_{name}") for name in flags],
+        *[first_by(f"_scan_h_{name}", *order).alias(f"_rh_{name}") for name in flags],
     )
     w = Window.partitionBy(*keys).orderBy("_scan_pid")
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    carry = runs.select(
-        F.col("_scan_pid").alias("_c_pid"),
-        *[F.col(k).alias(f"_c_k{i}") for i, k in enumerate(keys)],
+    cw = runs.select(
+        "*",
         F.sum("_rc").over(before).alias("_c_n"),
         *[F.first(f"_rf_{c}").over(whole).alias(f"_c_f_{c}") for c in first_cols],
         *[F.lag(f"_rl_{c}").over(w).alias(f"_c_l_{c}") for c in lag_cols],
         *[F.sum(f"_rs_{name}").over(before).alias(f"_c_s_{name}") for name in sums],
-    ).where(F.col("_c_n").isNotNull())
+        *[F.lag(f"_rlf_{c}").over(w).alias(f"_pl_{c}") for c in flag_cols])
+    for name, (fn, cols) in flags.items():
+        # the run's first row judged against the last row of the run before
+        true_first = F.coalesce(fn({c: F.col(f"_rff_{c}") for c in cols},
+                                   {c: F.col(f"_pl_{c}") for c in cols}), F.lit(False)).cast("long")
+        cw = (cw.withColumn(f"_tf_{name}", true_first)
+                .withColumn(f"_fix_{name}", F.col(f"_rg_{name}") - F.col(f"_rh_{name}")
+                            + F.col(f"_tf_{name}")))
+    if flags:
+        cw = cw.select("*", *[
+            (F.coalesce(F.sum(f"_fix_{name}").over(before), F.lit(0))
+             + F.col(f"_tf_{name}") - F.col(f"_rh_{name}")).alias(f"_c_g_{name}")
+            for name in flags])
+    carry = cw.where(F.col("_c_n").isNotNull()).select(
+        F.col("_scan_pid").alias("_c_pid"),
+        *[F.col(k).alias(f"_c_k{i}") for i, k in enumerate(keys)],
+        "_c_n",
+        *[f"_c_f_{c}" for c in first_cols],
+        *[f"_c_l_{c}" for c in lag_cols],
+        *[f"_c_s_{name}" for name in sums],
+        *[f"_c_g_{name}" for name in flags])
 
     cond = F.col("_scan_pid") == F.col("_c_pid")
     for i, k in enumerate(keys):
@@ -209,4 +248,7 @@ def keyed_scan(df: DataFrame, keys, order, n: str | None = "n",
     for name in sums:
         out_cols.append((F.col(f"_scan_s_{name}") + F.coalesce(F.col(f"_c_s_{name}"), F.lit(0)))
                         .alias(name))
+    for name in flags:
+        out_cols.append((F.col(f"_scan_g_{name}") + F.coalesce(F.col(f"_c_g_{name}"), F.lit(0)))
+                        .alias(name))
     return joined.select(*out_cols)

@@ -61,3 +61,29 @@ def test_scan_stable_on_a_table(spark, local_pass):
         j = got.join(ref, ["seller_name", "id"])
         assert j.count() == df.count()
         assert j.where(~F.col("prev").eqNullSafe(F.col("ref_prev")) | (F.col("n") != F.col("rn"))).count() == 0
+
+
+@pytest.mark.parametrize("parts,hot", [(1, 0.0), (7, 0.6), (16, 0.95)])
+def test_flags_count_predicate_hits_across_partitions(spark, parts, hot):
+    rnd = random.Random(100 + parts)
+    rows = [(i, "hot" if rnd.random() < hot else rnd.choice(["a", "b", None]),
+             rnd.randint(0, 300), rnd.choice(["x", "y", None]))
+            for i in range(700)]
+    df = spark.createDataFrame(rows, "id long, k string, t int, s string")
+
+    def gap(cur, prev):  # a new "session" after a gap of more than 5
+        return prev["t"].isNull() | (cur["t"] - prev["t"] > 5)
+
+    def change(cur, prev):  # value differs from the previous row's
+        return ~cur["s"].eqNullSafe(prev["s"])
+
+    got = keyed_scan(df, ["k"], ["t", "id"], n=None,
+                     flags={"sess": (gap, ["t"]), "chg": (change, ["s"])}, num_partitions=parts)
+    w = Window.partitionBy("k").orderBy("t", "id")
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    ref = (df.withColumn("pt", F.lag("t").over(w)).withColumn("ps", F.lag("s").over(w))
+             .withColumn("hs", (F.col("pt").isNull() | (F.col("t") - F.col("pt") > 5)).cast("long"))
+             .withColumn("hc", F.coalesce(~F.col("s").eqNullSafe(F.col("ps")), F.lit(False)).cast("long"))
+             .select("id", "k", "t", "s", F.sum("hs").over(upto).alias("sess"),
+                     F.sum("hc").over(upto).alias("chg")))
+    assert sorted(got.collect()) == sorted(ref.select(got.columns).collect())
