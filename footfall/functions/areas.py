@@ -77,6 +77,30 @@ def area_of(lat: str | Column = "latitude", lon: str | Column = "longitude",
     return expr
 
 
+def area_index_of(lat: str | Column = "latitude", lon: str | Column = "longitude",
+                  areas=ZONE1_AREAS) -> Column:
+    """1-based position of the area containing the point (null if none):
+    a fixed-width stand-in for the name inside aggregations."""
+    lat_c = F.col(lat) if isinstance(lat, str) else lat
+    lon_c = F.col(lon) if isinstance(lon, str) else lon
+    expr = None
+    for i in reversed(range(len(areas))):
+        cond = areas[i].contains(lat_c, lon_c)
+        expr = F.when(cond, F.lit(i + 1)) if expr is None else expr.when(cond, F.lit(i + 1))
+    return expr
+
+
+def area_name(index: Column, areas=ZONE1_AREAS) -> Column:
+    """Area name for a 1-based position from ``area_index_of`` (null stays
+    null). An explicit CASE: ``element_at`` over a literal array was seen to
+    return names for a null position once the optimizer folded the CASE."""
+    expr = None
+    for i, a in enumerate(areas):
+        cond = index == F.lit(i + 1)
+        expr = F.when(cond, F.lit(a.name)) if expr is None else expr.when(cond, F.lit(a.name))
+    return expr
+
+
 def area_case_sql(lat: str = "latitude", lon: str = "longitude", areas=ZONE1_AREAS) -> str:
     """The same classification as ANSI SQL text (used by the DuckDB oracle)."""
     def bound(col, op, v):

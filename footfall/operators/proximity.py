@@ -13,9 +13,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.functions.areas import ZONE1_AREAS, area_of
+from footfall.functions.areas import ZONE1_AREAS, area_index_of, area_name, area_of
 from footfall.functions.labels import is_crowded, jam_label
-from footfall.functions.ordering import last_by
+from footfall.functions.ordering import last_by, time_long_key
 from footfall.functions.timewin import fix_next_window, next_window, tumble
 from footfall.settings import DEFAULTS, Settings
 
@@ -31,14 +31,20 @@ def _zone(readings: DataFrame, zone: int | None) -> DataFrame:
 
 def proximity_traffic_as_coded(readings: DataFrame, settings: Settings = DEFAULTS,
                                zone: int | None = 1, areas=ZONE1_AREAS) -> DataFrame:
-    """Per (30-minute window, timestamp): readings in any area, last area hit."""
-    df = classify_area(_zone(readings, zone), areas)
-    in_area = F.col("area").isNotNull()
+    """Per (30-minute window, timestamp): readings in any area, last area hit.
+
+    The aggregate carries the area's position (an int) instead of its name,
+    so it stays a hash aggregate; the name is looked up afterwards.
+    """
+    df = _zone(readings, zone).withColumn("_area_i", area_index_of("latitude", "longitude", areas))
+    in_area = F.col("_area_i").isNotNull()
     g = df.groupBy(tumble("arrival", settings.proximity_window).alias("window"), "ts").agg(
-        F.count("area").alias("visitors"),
-        F.coalesce(last_by("area", when=in_area), F.lit("")).alias("area"),
+        F.count("_area_i").alias("visitors"),
+        last_by("_area_i", when=in_area).alias("_last_i"),
     )
-    return g.select("window", "ts", "area", "visitors")
+    return g.select("window", "ts",
+                    F.coalesce(area_name(F.col("_last_i"), areas), F.lit("")).alias("area"),
+                    "visitors")
 
 
 def proximity_traffic_intended(readings: DataFrame, settings: Settings = DEFAULTS,
@@ -57,7 +63,7 @@ def traffic_jam_as_coded(proximity: DataFrame, settings: Settings = DEFAULTS,
     its end, so ties are broken by timestamp."""
     threshold = settings.crowd_threshold if threshold is None else threshold
     streaming = proximity.isStreaming
-    order = F.struct(F.col("window.end").alias("e"), F.col("ts").alias("t"))
+    order = time_long_key(F.col("window.end"), F.col("ts"))
     g = proximity.groupBy(next_window(proximity, settings.jam_window).alias("window"), "area").agg(
         F.max_by("visitors", order).alias("visitors"))
     g = fix_next_window(g, streaming)

@@ -61,3 +61,23 @@ def test_partitioning_does_not_change_results(spark):
     x = ft.foot_traffic_factors(r)
     y = ft.foot_traffic_factors(r.repartition(7, "sensor_uid"))
     assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0
+
+
+def test_area_position_round_trips_to_name(spark):
+    from footfall.functions.areas import area_index_of, area_name, area_of
+
+    r = table_readings(spark, SF001)
+    d = r.select(area_of().alias("a"), area_name(area_index_of()).alias("n"))
+    assert d.where(~F.col("a").eqNullSafe(F.col("n"))).count() == 0
+
+
+@settings(max_examples=1, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.integers(-2 * 10**9, 4 * 10**9), st.integers(-2**63, 2**63 - 1)),
+                min_size=200, max_size=200, unique=True))
+def test_time_long_key_orders_like_the_pair(spark, pairs):
+    from footfall.functions.ordering import time_long_key
+
+    df = spark.createDataFrame([(s, i) for s, i in pairs], "sec long, id long").select(
+        F.timestamp_seconds("sec").alias("t"), "sec", "id")
+    got = [(r.sec, r.id) for r in df.orderBy(time_long_key("t", "id")).collect()]
+    assert got == sorted(pairs)
