@@ -1,24 +1,31 @@
 """Ordered per-key scans that stay balanced when one key holds most rows.
 
-``keyed_scan`` gives each row, within its key and in a total order:
-its 1-based position, the first row's value of some columns and the previous
-row's value of others. A window ``partitionBy(key)`` would put every row of
-a key into one task; here the rows are range-partitioned on
-``(key, order)`` instead, so a hot key is cut across many partitions:
+``keyed_scan`` gives each row, within its key and in a total order: its
+1-based position, the first row's value of some columns, the previous row's
+value of others, running sums, and running counts of a predicate on (row,
+previous row). A window ``partitionBy(key)`` would put every row of a key
+into one task; here the rows are range-partitioned on ``(key, order)``
+instead, so a hot key is cut across many partitions:
 
 1. ``repartitionByRange`` + ``sortWithinPartitions`` on ``(key, order)``,
-   partition id kept as a column, checkpointed once (see below).
+   the partition id kept as a column and the rows checkpointed once to the
+   cluster's checkpoint folder. Range bounds are sampled per execution, so
+   two reads of an uncheckpointed range shuffle may cut the data
+   differently; the checkpoint makes every later read see the same
+   partitions (also after a lost executor) and cuts the lineage.
 2. The values within each (partition, key) run: by default a JVM window
    over ``(partition id, key)`` (one more shuffle, but every group is at
    most one partition's rows, so it stays balanced); or, with
    ``local_pass="arrow"``, one Arrow pass per partition that streams batch
    by batch with O(1) state (no second shuffle, but rows cross to Python).
-3. A JVM aggregate summarises each run (count, first and last values).
-   A window over the runs of a key (at most one per partition) yields what
-   earlier partitions carry into a run. Only the first run of a partition
-   can continue a key, so the carry table has at most one row per
-   partition: a proven bound, hence broadcast.
-4. The carry is added back with a broadcast left join.
+3. An aggregate summarises each run (count, first and last values, sums,
+   predicate hits). A window over the runs of a key (at most one per
+   partition) yields what earlier partitions carry into a run, and
+   re-judges a run's first row against the previous run's last row. Only
+   the first run of a partition can continue a key, so the carry table has
+   at most one row per partition: a proven bound.
+4. The carry is added back with a left join: broadcast up to
+   ``MAX_BROADCAST_CARRY`` partitions, a balanced shuffle join beyond.
 
 The order columns must make the order total (end with a unique id).
 """
