@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.functions.areas import ZONE1_AREAS
+from footfall.functions.areas import ZONE1_AREAS, area_index_of, area_name
 from footfall.functions.timewin import tumble
 from footfall.operators.proximity import classify_area
 from footfall.operators.scan import keyed_scan
@@ -27,19 +27,27 @@ def customer_journey(readings: DataFrame, zone: int | None = 1, areas=ZONE1_AREA
     area and numbers entries. Stream: a state processor per device keeps its
     last area and entry count."""
     df = readings if zone is None else readings.where(F.col("zone") == F.lit(zone))
-    inside = classify_area(df, areas).where(F.col("area").isNotNull()).select(
-        "mac", "arrival", "id", "area")
-    if inside.isStreaming:
+    if df.isStreaming:
+        inside = classify_area(df, areas).where(F.col("area").isNotNull()).select(
+            "mac", "arrival", "id", "area")
         from footfall.streaming.stateful import journey_stream
         return journey_stream(inside)
+
+    # The scan carries the area's position (an int) so its run summaries
+    # stay hash aggregates; names are looked up at the end.
+    inside = (df.select("mac", "arrival", "id",
+                        area_index_of("latitude", "longitude", areas).alias("area_i"))
+                .where(F.col("area_i").isNotNull()))
+
     def enters(cur, prev):
-        return prev["area"].isNull() | (cur["area"] != prev["area"])
+        return prev["area_i"].isNull() | (cur["area_i"] != prev["area_i"])
 
     scanned = keyed_scan(inside, ["mac"], ["arrival", "id"], n=None,
-                         lag={"prev_area": "area"}, flags={"visit_no": (enters, ["area"])},
+                         lag={"prev_i": "area_i"}, flags={"visit_no": (enters, ["area_i"])},
                          num_partitions=num_partitions)
-    entries = scanned.where(F.col("prev_area").isNull() | (F.col("prev_area") != F.col("area")))
-    return entries.select("mac", "visit_no", "area", "prev_area",
+    entries = scanned.where(F.col("prev_i").isNull() | (F.col("prev_i") != F.col("area_i")))
+    return entries.select("mac", "visit_no", area_name(F.col("area_i"), areas).alias("area"),
+                          area_name(F.col("prev_i"), areas).alias("prev_area"),
                           F.col("arrival").alias("entered_at"), "id")
 
 
