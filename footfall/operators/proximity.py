@@ -110,15 +110,24 @@ def capture_rate(readings: DataFrame, settings: Settings = DEFAULTS,
                  zone: int | None = 1, areas=ZONE1_AREAS) -> DataFrame:
     """Share of the zone's distinct devices that entered each area, per window.
 
-    Distinct counts are exact: devices are first deduplicated per
-    (window, device, area) by an aggregate, then counted.
+    Distinct counts are exact and stream-safe: devices are first reduced to
+    one row per (window, device) and per (window, area, device) by
+    aggregates, which are then counted per window (regrouped on
+    ``window_time`` in a stream) and joined on the window.
     """
-    df = classify_area(_zone(readings, zone), areas).select(
-        tumble("arrival", settings.visit_window).alias("window"), "mac", "area")
-    dev = df.groupBy("window", "mac", "area").agg(F.count(F.lit(1)).alias("_n"))
-    zone_dev = dev.groupBy("window").agg(F.countDistinct("mac").alias("zone_devices"))
-    area_dev = (dev.where(F.col("area").isNotNull())
-                   .groupBy("window", "area").agg(F.count("mac").alias("area_devices")))
+    size = settings.visit_window
+    df = classify_area(_zone(readings, zone), areas)
+    win = tumble("arrival", size).alias("window")
+    by_zone = df.groupBy(win, "mac").agg(F.count(F.lit(1)).alias("_n"))
+    by_area = df.where(F.col("area").isNotNull()).groupBy(win, "area", "mac").agg(
+        F.count(F.lit(1)).alias("_n"))
+
+    def regroup(d: DataFrame):
+        return (F.window(F.window_time("window"), size) if d.isStreaming
+                else F.col("window")).alias("window")
+
+    zone_dev = by_zone.groupBy(regroup(by_zone)).agg(F.count("mac").alias("zone_devices"))
+    area_dev = by_area.groupBy(regroup(by_area), "area").agg(F.count("mac").alias("area_devices"))
     j = area_dev.join(zone_dev, "window")
     return j.select("window", "area", "area_devices", "zone_devices",
                     (F.col("area_devices") / F.col("zone_devices")).alias("capture_rate"))

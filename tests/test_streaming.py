@@ -244,3 +244,12 @@ def test_command_line_runs_instore(spark, scratch):
     assert set(qs) == {S.INDEX_CATEGORIES, S.INDEX_PAYMENT, S.INDEX_STOCK, S.INDEX_SALES}
     got = read_documents(spark, f"{scratch}/out", S.INDEX_PAYMENT).drop("batch")
     _same(got, jobs.instore_documents(p, NOW)[S.INDEX_PAYMENT])
+
+
+def test_capture_rate_stream(spark, scratch):
+    from footfall.operators import proximity
+
+    r = table_readings(spark, SF0001).select([f.name for f in READING.fields])
+    flush = [{"zone": 1, "ts": 0, "latitude": 40.4195, "longitude": -3.7058, "mac": "late"}]
+    _stream_vs_batch(spark, scratch, "s_capture", r, READING,
+                     lambda d: proximity.capture_rate(d, NOW), flush)
