@@ -68,12 +68,17 @@ def sales_conversion(readings: DataFrame, purchases: DataFrame,
     """Purchases per distinct visiting device, per visit window.
 
     The two streams share no customer id, so this is a ratio of window
-    totals. Devices are deduplicated by an aggregate first (exact).
+    totals. Devices are deduplicated by an aggregate first (exact); on
+    streams the two windowed aggregates meet in a full outer join on the
+    window, whose state the watermark evicts.
     """
     size = settings.visit_window
-    dev = (readings.where(F.col("mac").isNotNull())
-                   .groupBy(tumble("arrival", size).alias("window"), "mac").agg(F.count(F.lit(1)).alias("_n"))
-                   .groupBy("window").agg(F.count(F.lit(1)).alias("visitors")))
+    by_dev = (readings.where(F.col("mac").isNotNull())
+                      .groupBy(tumble("arrival", size).alias("window"), "mac")
+                      .agg(F.count(F.lit(1)).alias("_n")))
+    regroup = (F.window(F.window_time("window"), size) if by_dev.isStreaming
+               else F.col("window")).alias("window")
+    dev = by_dev.groupBy(regroup).agg(F.count(F.lit(1)).alias("visitors"))
     buys = purchases.groupBy(tumble("arrival", size).alias("window")).agg(
         F.count(F.lit(1)).alias("purchases"), F.sum("amount").cast("long").alias("amount"))
     j = dev.join(buys, "window", "full")

@@ -253,3 +253,24 @@ def test_capture_rate_stream(spark, scratch):
     flush = [{"zone": 1, "ts": 0, "latitude": 40.4195, "longitude": -3.7058, "mac": "late"}]
     _stream_vs_batch(spark, scratch, "s_capture", r, READING,
                      lambda d: proximity.capture_rate(d, NOW), flush)
+
+
+def test_sales_conversion_stream(spark, scratch):
+    from footfall.operators import journey
+
+    r = table_readings(spark, SF0001).select([f.name for f in READING.fields])
+    p = table_purchases(spark, SF0001).select([f.name for f in PURCHASE.fields])
+    _write_in_chunks(r, f"{scratch}/r")
+    _append(_flush_rows(spark, READING, {"zone": 1, "ts": 0, "mac": "late"}), f"{scratch}/r")
+    _write_in_chunks(p, f"{scratch}/p")
+    _append(_flush_rows(spark, PURCHASE, {"pos": "POS1", "ts": 0, "amount": 1}), f"{scratch}/p")
+    rs = jobs.with_clock(stream_files(spark, f"{scratch}/r", READING, max_files_per_trigger=1), NOW)
+    ps = jobs.with_clock(stream_files(spark, f"{scratch}/p", PURCHASE, max_files_per_trigger=1), NOW)
+    q = (journey.sales_conversion(rs, ps, NOW).writeStream.format("memory").queryName("s_conv")
+         .outputMode("append").option("checkpointLocation", f"{scratch}/ck")
+         .trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    assert q.exception() is None, q.exception()
+    got = spark.table("s_conv")
+    assert got.count() > 0
+    _same(got, journey.sales_conversion(r, p, NOW))
