@@ -99,9 +99,11 @@ def offer_recipients(readings: DataFrame, alerts: DataFrame, settings: Settings
             .groupBy(tumble("arrival", settings.proximity_window).alias("window"),
                      "ts", "area", "mac")
             .agg(F.count(F.lit(1)).alias("readings")))
-    keys = alerts.select(F.col("window.start").alias("_ws"), F.col("ts").alias("_ts"),
+    keys = alerts.select(F.col("window").alias("_w"), F.col("ts").alias("_ts"),
                          F.col("area").alias("_area"), "message")
-    j = seen.join(keys, (F.col("window.start") == F.col("_ws")) & (F.col("ts") == F.col("_ts"))
+    # keyed on the window struct itself: on streams both sides keep their
+    # watermark, so the join state is evicted
+    j = seen.join(keys, (F.col("window") == F.col("_w")) & (F.col("ts") == F.col("_ts"))
                   & (F.col("area") == F.col("_area")), "inner")
     return j.select("window", "ts", "area", "mac", "message")
 

@@ -274,3 +274,17 @@ def test_sales_conversion_stream(spark, scratch):
     got = spark.table("s_conv")
     assert got.count() > 0
     _same(got, journey.sales_conversion(r, p, NOW))
+
+
+def test_offer_recipients_stream(spark, scratch):
+    from footfall.operators import proximity
+
+    def op(d):
+        alerts = proximity.offer_alerts(proximity.proximity_traffic_as_coded(d, NOW), NOW)
+        return proximity.offer_recipients(d, alerts, NOW)
+
+    from conftest import SF001  # sf0.001 has no crowded group at threshold 2
+
+    r = table_readings(spark, SF001, spread_ts=True).select([f.name for f in READING.fields])
+    flush = [{"zone": 1, "ts": 0, "latitude": 40.4195, "longitude": -3.7058, "mac": "late"}]
+    _stream_vs_batch(spark, scratch, "s_recipients", r, READING, op, flush)
