@@ -38,3 +38,15 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert df.columns == ["window_start", "window_end", "category", "date", "total_sales"]
+
+
+def test_outputs_carry_no_timestamps(spark):
+    """Instants leave as epoch numbers, so Spark and DuckDB values compare
+    exactly whatever the session time zone."""
+    from pyspark.sql import types as T
+
+    for name, q in QUERIES.items():
+        df = q(spark, SF0001)
+        bad = [f.name for f in df.schema.fields
+               if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType, T.StructType))]
+        assert not bad, (name, bad)
