@@ -52,14 +52,20 @@ def customer_journey(readings: DataFrame, zone: int | None = 1, areas=ZONE1_AREA
 
 
 def visit_history(readings: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """Per device: readings, distinct visit days, zones seen, first/last seen."""
-    day = F.date_trunc("day", F.col("arrival"))
-    return readings.groupBy("mac").agg(
-        F.count(F.lit(1)).alias("readings"),
-        F.countDistinct(day).alias("days_seen"),
+    """Per device: readings, distinct visit days, zones seen, first/last seen.
+
+    Readings are first reduced to one row per (device, day, zone) by a
+    partial aggregate; the two distinct counts (which Spark plans by
+    duplicating rows) then run on that much smaller table.
+    """
+    per = readings.groupBy("mac", F.date_trunc("day", F.col("arrival")).alias("day"), "zone").agg(
+        F.count(F.lit(1)).alias("n"), F.min("arrival").alias("lo"), F.max("arrival").alias("hi"))
+    return per.groupBy("mac").agg(
+        F.sum("n").alias("readings"),
+        F.countDistinct("day").alias("days_seen"),
         F.countDistinct("zone").alias("zones_seen"),
-        F.min("arrival").alias("first_seen"),
-        F.max("arrival").alias("last_seen"),
+        F.min("lo").alias("first_seen"),
+        F.max("hi").alias("last_seen"),
     )
 
 
