@@ -20,8 +20,9 @@ How one corpus becomes many small indexes:
   other positions follow by streaming the text, one less per byte, and windows
   that reach ``length`` are repeated (``repeated_windows``);
 * an anchor with more than ``GROUP`` distinct contexts does not fit one block:
-  its windows are counted by 128-bit hash in an aggregate instead, exactly and
-  without a bound.
+  its contexts are cut into stretches of 8 windows that meet by their common
+  bytes, and what still differs is counted window by window, by 128-bit hashes
+  in map-side combined aggregates: exactly and without a bound.
 
 Rows: one result per input row; null texts are empty. Rows are told apart by
 doc_id and text, and every row counts: repeated rows (also with a null
@@ -45,7 +46,8 @@ from footfall.llm.textkit import Block, RollingHash, U, blocks, mix64
 LENGTH = 200
 GRAM = 48
 GROUP = 2048  # distinct contexts of an anchor that one block takes
-INDEX_BYTES = 1 << 21  # contexts indexed together
+INDEX_BYTES = 1 << 20  # contexts indexed together
+_DEPTH = 512  # suffixes are sorted by at least so many bytes: more than two contexts of 200-byte windows share
 _PIECE = 1 << 22  # windows of one text handled at once
 _ANCHOR, _CONTEXT, _WINDOW = RollingHash(21), RollingHash(22), RollingHash(23)
 
@@ -61,10 +63,10 @@ def _pieces(block: Block, length: int) -> Iterator[tuple[int, np.ndarray, np.nda
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """Runs of windows with one anchor: text number, first window, number of windows, anchor and context hashes."""
+    """Runs of windows with one anchor: text number, first window, number of windows, the anchor's place in the first, anchor and context hashes."""
     none = np.zeros(0, dtype=np.int64)
     if len(data) < length:
-        return none, none, none, none, none
+        return none, none, none, none, none, none
     sums = _ANCHOR.prefix(data)
     at = np.arange(len(data) - gram + 1)
     hashes = RollingHash.ranges(sums, at, at + gram)
@@ -90,7 +92,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tu
     context = mix64(RollingHash.ranges(_CONTEXT.prefix(data), start, end + length - 1)
                     + U(1024) * (place[start] - start).astype(U) + (end - start).astype(U))
     owner = np.searchsorted(offsets, start, side="right") - 1
-    return owner, start - offsets[owner], end - start, hashes[place[start]], context
+    return owner, start - offsets[owner], end - start, place[start] - start, hashes[place[start]], context
 
 
 def _find(length: int, gram: int, brief: bool) -> Callable:
@@ -100,7 +102,7 @@ def _find(length: int, gram: int, brief: bool) -> Callable:
             keys = None if brief else batch.column(2)
             for block in blocks(batch.column(0)):
                 for base, data, offsets in _pieces(block, length):
-                    owner, start, count, anchor, context = anchors(data, offsets, length, gram)
+                    owner, start, count, off, anchor, context = anchors(data, offsets, length, gram)
                     anchor = pa.array(anchor.view(np.int64))
                     if brief:
                         yield pa.RecordBatch.from_arrays([anchor], names=["anchor"])
@@ -108,38 +110,42 @@ def _find(length: int, gram: int, brief: bool) -> Callable:
                     rows = pa.array(owner + block.lo)
                     yield pa.RecordBatch.from_arrays(
                         [ids.take(rows), keys.take(rows), pa.array((start + base).astype(np.int32)), pa.array(count.astype(np.int16)),
-                         anchor, pa.array(context.view(np.int64))], names=["id", "key", "at", "n", "anchor", "context"])
+                         pa.array(off.astype(np.int16)), anchor, pa.array(context.view(np.int64))], names=["id", "key", "at", "n", "off", "anchor", "context"])
     return run
 
 
 def repeated_windows(texts: list[bytes], length: int) -> list[np.ndarray]:
     """Which windows of each text also start elsewhere among the texts; texts are at most 512 bytes.
 
-    Sorts all suffixes by their first 512 bytes (rank doubling), takes the
+    Sorts all suffixes by their first 640 bytes (rank doubling), takes the
     run-length form of the transform, samples position and neighbour's match
     length at the run ends, and streams the lengths of all other positions
     from them. Position 0 of a text always ends runs, so no length is streamed
     from one text into the next.
     """
-    joined = b"\xff".join(texts) + b"\xff" * 512  # \xff is in no UTF-8 text
+    joined = b"\xff".join(texts) + b"\xff" * _DEPTH  # \xff is in no UTF-8 text
     data = np.frombuffer(joined, dtype=np.uint8)
-    n = len(data) - 512
+    n = len(data) - _DEPTH
+    if n >= 1 << 21:
+        raise ValueError("a block holds less than 2 MiB")
     starts = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])]).astype(np.int64)
+    # A sort key holds two ranks and the position in 21 bits each, so plain sorting orders the positions.
+    at, low = np.arange(n, dtype=U), U((1 << 21) - 1)
     packed = np.zeros(n, dtype=U)
-    for k in range(8):
+    for k in range(5):
         packed = (packed << U(8)) | data[k:k + n]
-    levels, depth = [], 8
+    levels, depth = [], 5
     while True:
-        order = np.argsort(packed, kind="stable")
-        ordered = packed[order]
-        rank = np.empty(n, dtype=np.int64)
-        rank[order] = np.cumsum(np.concatenate([[0], ordered[1:] != ordered[:-1]]))
+        ordered = np.sort((packed << U(21)) | at)
+        order = (ordered & low).astype(np.int64)
+        ordered >>= U(21)
+        rank = np.empty(n, dtype=np.int32)
+        rank[order] = np.cumsum(np.concatenate([[False], ordered[1:] != ordered[:-1]]), dtype=np.int32)
         levels.append((depth, rank))
-        if depth >= 512 or rank[order[-1]] == n - 1:
+        if depth >= _DEPTH or rank[order[-1]] == n - 1:
             break
-        follow = np.full(n, n, dtype=np.int64)
-        follow[:max(n - depth, 0)] = rank[depth:]
-        packed = (rank.astype(U) << U(32)) | follow.astype(U)
+        packed = rank.astype(U) << U(21)
+        packed[:max(n - depth, 0)] |= rank[depth:].astype(U) + U(1)
         depth *= 2
     before = np.empty(n, dtype=np.int64)
     before[1:] = data[:n - 1]
@@ -149,13 +155,13 @@ def repeated_windows(texts: list[bytes], length: int) -> list[np.ndarray]:
     a, b = order[head - 1], order[head]
     match = np.zeros(len(head), dtype=np.int64)
     for depth, rank in reversed(levels):
-        x, y = a + match, b + match
-        inside = (x < n) & (y < n)
-        same = np.zeros(len(head), dtype=bool)
-        same[inside] = rank[x[inside]] == rank[y[inside]]
-        match[same] += depth
-    for _ in range(8):
-        match += data[np.minimum(a + match, n)] == data[np.minimum(b + match, n)]
+        x, y = np.minimum(a + match, n - 1), np.minimum(b + match, n - 1)
+        match[(rank[x] == rank[y]) & (a + match < n) & (b + match < n)] += depth
+    for _ in range(4):
+        more = data[np.minimum(a + match, n)] == data[np.minimum(b + match, n)]
+        if not more.any():
+            break
+        match += more
     reach = np.zeros(n, dtype=np.int64)
     np.maximum.at(reach, a, a + match)
     np.maximum.at(reach, b, b + match)
@@ -196,32 +202,64 @@ def _index(length: int) -> Callable:
 def _cut(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """The bytes of the wanted contexts, cut from the texts that hold them."""
     for batch in batches:
-        texts, cols = batch.column(0), {k: [] for k in ("anchor", "context", "copies", "wide", "id", "key", "at", "piece")}
+        texts, cols = batch.column(0), {k: [] for k in ("anchor", "context", "copies", "wide", "id", "key", "at", "off", "piece")}
         for text, wanted in zip(texts, batch.column(1).to_pylist(), strict=True):
             raw = text.as_buffer() if text.is_valid else b""
             view = memoryview(raw)
             for w in wanted:
-                for k in ("anchor", "context", "copies", "wide", "id", "key", "at"):
+                for k in ("anchor", "context", "copies", "wide", "id", "key", "at", "off"):
                     cols[k].append(w[k])
                 cols["piece"].append(bytes(view[w["at"]:w["at"] + w["n"] + length - 1]))
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.int16(), pa.binary()]
         yield pa.RecordBatch.from_arrays([pa.array(cols[k], t) for k, t in zip(cols, kinds, strict=True)], names=list(cols))
 
 
+def _stretches(length: int, width: int) -> Callable:
+    """Cut contexts into stretches of at most ``width`` windows, at anchor-relative places.
+
+    ``core`` hashes the bytes that all windows of a stretch share, so equal
+    windows lie in stretches of equal core; ``whole`` hashes the stretch.
+    """
+    names = ["core", "whole", "place", "id", "key", "at", "n", "copies", "piece"]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                raw = np.frombuffer(row["piece"], dtype=np.uint8)
+                n = len(raw) - length + 1
+                rel = row["off"] - np.arange(n)  # the anchor's place in each window
+                first = np.flatnonzero(np.concatenate([[True], rel[1:] // width != rel[:-1] // width]))
+                count = np.diff(np.concatenate([first, [n]]))
+                begin = row["off"] - rel[first] // width * width
+                core = RollingHash.ranges(_ANCHOR.prefix(raw), begin, begin + length - width + 1)
+                whole = RollingHash.ranges(_WINDOW.prefix(raw), first, first + count + length - 1)
+                for k, (s, c) in enumerate(zip(first.tolist(), count.tolist(), strict=True)):
+                    out.append((core[k], whole[k], rel[s], row["id"], row["key"], row["at"] + s, c, row["copies"], row["piece"][s:s + c + length - 1]))
+            cols = list(zip(*out, strict=True)) or [[]] * len(names)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.array(c, dtype=U).view(np.int64)) if k < 2 else pa.array(c, t) for k, (c, t) in enumerate(zip(cols, kinds, strict=True))], names=names)
+    return run
+
+
 def _each_window(length: int) -> Callable:
+    """Single windows of stretches, as 128-bit hashes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in range(batch.num_rows):
-                piece = np.frombuffer(batch.column("piece")[row].as_py(), dtype=np.uint8)
-                at = np.arange(len(piece) - length + 1)
-                one, two = (RollingHash.ranges(h.prefix(piece), at, at + length).view(np.int64) for h in (_ANCHOR, _WINDOW))
-                n = len(at)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(one), pa.array(two), pa.array([batch.column("id")[row].as_py()] * n, pa.int64()),
-                     pa.array([batch.column("key")[row].as_py()] * n, pa.int64()),
-                     pa.array((at + batch.column("at")[row].as_py()).astype(np.int32)),
-                     pa.array([batch.column("copies")[row].as_py()] * n, pa.int64())],
-                    names=["one", "two", "id", "key", "start", "copies"])
+            rows = batch.to_pylist()
+            count = [len(r["piece"]) - length + 1 for r in rows]
+            hashes = [[np.zeros(0, dtype=U)], [np.zeros(0, dtype=U)]]
+            for row, n in zip(rows, count, strict=True):
+                raw, at = np.frombuffer(row["piece"], dtype=np.uint8), np.arange(n)
+                for k, h in enumerate((_ANCHOR, _WINDOW)):
+                    hashes[k].append(RollingHash.ranges(h.prefix(raw), at, at + length))
+            spread = lambda name: np.repeat(np.array([r[name] for r in rows], dtype=np.int64), count)
+            start = spread("at") + np.concatenate([np.arange(n) for n in [0, *count]])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(hashes[0]).view(np.int64)), pa.array(np.concatenate(hashes[1]).view(np.int64)),
+                 pa.array([r["id"] for r, n in zip(rows, count, strict=True) for _ in range(n)], pa.int64()), pa.array(spread("key")),
+                 pa.array(start.astype(np.int32)), pa.array(spread("copies"))], names=["one", "two", "id", "key", "start", "copies"])
     return run
 
 
@@ -257,28 +295,47 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, grou
     often = staged(docs.select("text").mapInArrow(_find(length, gram, brief=True), "anchor bigint")
                    .groupBy("anchor").count().where("count > 1").select("anchor"))
     found = staged(docs.select("text", "id", "key")
-                   .mapInArrow(_find(length, gram, brief=False), "id bigint, key bigint, at int, n smallint, anchor bigint, context bigint")
+                   .mapInArrow(_find(length, gram, brief=False), "id bigint, key bigint, at int, n smallint, off smallint, anchor bigint, context bigint")
                    .join(often, "anchor", "left_semi"))
     distinct = staged(found.groupBy("anchor", "context").agg(
-        F.count(F.lit(1)).alias("copies"), F.min(F.struct("id", "key", "at", "n")).alias("x")).select("anchor", "context", "copies", "x.*"))
+        F.count(F.lit(1)).alias("copies"), F.min(F.struct("id", "key", "at", "n", "off")).alias("x")).select("anchor", "context", "copies", "x.*"))
     whole = (found.join(distinct.where("copies > 1").select("anchor", "context"), ["anchor", "context"], "left_semi")
              .select("id", "key", F.col("at").alias("start"), (F.col("at") + F.col("n") + F.lit(length - 1)).cast("int").alias("end")))
     # Anchors with contexts that differ, one of which at least is not settled.
     mixed = (distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("contexts"), F.min("copies").alias("least"))
              .where("contexts > 1 and least = 1").select("anchor", (F.col("contexts") > group).alias("wide")))
     wanted = (distinct.join(mixed, "anchor").groupBy("id", "key")
-              .agg(F.collect_list(F.struct("anchor", "context", "copies", "wide", "id", "key", "at", "n")).alias("wanted")))
+              .agg(F.collect_list(F.struct("anchor", "context", "copies", "wide", "id", "key", "at", "n", "off")).alias("wanted")))
     pieces = staged(docs.join(wanted.withColumnsRenamed({"id": "w_id", "key": "w_key"}),
                               F.col("id").eqNullSafe(F.col("w_id")) & (F.col("key") == F.col("w_key")))
                     .select("text", "wanted")
-                    .mapInArrow(lambda b: _cut(b, length), "anchor bigint, context bigint, copies bigint, wide boolean, id bigint, key bigint, at int, piece binary"))
+                    .mapInArrow(lambda b: _cut(b, length), "anchor bigint, context bigint, copies bigint, wide boolean, id bigint, key bigint, at int, off smallint, piece binary"))
     narrow = (pieces.where("not wide").repartition("anchor").sortWithinPartitions("anchor")
               .mapInArrow(_index(length), "id bigint, key bigint, start int, end int"))
-    windows = pieces.where("wide").mapInArrow(_each_window(length), "one bigint, two bigint, id bigint, key bigint, start int, copies bigint")
+    return whole.unionByName(narrow).unionByName(_wide_spans(pieces.where("wide"), length))
+
+
+def _wide_spans(pieces: DataFrame, length: int, width: int = 8) -> DataFrame:
+    """The same for anchors with many contexts: stretches of a few windows meet by what all their windows share.
+
+    As with anchors and contexts, equal stretches are repeated as a whole, and
+    only stretches that differ around an equal core are counted window by window.
+    """
+    stretches = staged(pieces.mapInArrow(_stretches(length, width),
+                                         "core bigint, whole bigint, place int, id bigint, key bigint, at int, n int, copies bigint, piece binary"))
+    form = ["core", "whole", "place"]
+    forms = staged(stretches.groupBy(*form).agg(F.sum("copies").alias("copies"), F.min(F.struct("id", "key", "at", "piece")).alias("x"))
+                   .select(*form, "copies", "x.*"))
+    end = (F.col("at") + F.col("n") + F.lit(length - 1)).cast("int")
+    whole = (stretches.where("copies = 1").join(forms.where("copies > 1").select(*form), form, "left_semi")
+             .select("id", "key", F.col("at").alias("start"), end.alias("end")))
+    mixed = forms.groupBy("core").agg(F.count(F.lit(1)).alias("forms"), F.min("copies").alias("least")).where("forms > 1 and least = 1").select("core")
+    windows = staged(forms.join(mixed, "core").select("id", "key", "at", "copies", "piece").mapInArrow(
+        _each_window(length), "one bigint, two bigint, id bigint, key bigint, start int, copies bigint"))
     again = windows.groupBy("one", "two").agg(F.sum("copies").alias("c")).where("c > 1").select("one", "two")
     broad = (windows.where("copies = 1").join(again, ["one", "two"], "left_semi")
              .select("id", "key", "start", (F.col("start") + length).alias("end")))
-    return whole.unionByName(narrow).unionByName(broad)
+    return whole.unionByName(broad)
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int = GROUP) -> DataFrame:
