@@ -13,8 +13,11 @@ How the work is spread:
   so copies are never paired;
 * each band bucket names a leader per random order, by a map-side combined
   aggregate. Members are verified against leaders, not against each other.
-  What then still stands in different components of one bucket is compared
-  in a second pass, so no link between different texts is lost;
+  Members of buckets that then still hold different components go to a second
+  pass, so no link between different texts is lost: similar sets must share
+  one of their rarest shingles, and sets of different components that do are
+  verified. An edited copy's rarest shingles are its own, so the many distant
+  copies of one text do not meet;
 * verification reads full sets, of the texts in question only.
 
 Rows: one result per input row. Rows with a null ``doc_id`` take no part in
@@ -37,8 +40,9 @@ from footfall.llm.common import staged
 from footfall.llm.components import components
 from footfall.llm.textkit import LOWER, Block, RollingHash, U, blocks, grams, mix64, words
 
-BANDS, ROWS = 24, 4  # a pair of similarity 0.8 shares no band with probability 3e-6
-ORDERS = 3  # random orders by which buckets choose leaders
+BANDS, ROWS = 40, 6  # a pair of similarity 0.8 shares no band with probability 5e-6, one of 0.2 some with 3e-3
+FREQUENCIES = 1 << 19
+ORDERS = 8  # random orders by which buckets choose leaders
 _HASH = RollingHash(11)
 _CHUNK = 1 << 17  # elements whose permutations are held at once
 
@@ -76,7 +80,7 @@ def superminhash(sets: list[np.ndarray], m: int) -> np.ndarray:
     for at in range(0, len(every), _CHUNK):
         h, doc = every[at:at + _CHUNK], owner[at:at + _CHUNK]
         rows = np.arange(len(h))
-        perm = np.tile(np.arange(m, dtype=np.uint16), (len(h), 1))
+        perm = np.tile(np.arange(m, dtype=np.uint8 if m <= 256 else np.uint16), (len(h), 1))
         for j in range(m):
             x = mix64(h + U(0x9E3779B97F4A7C15 * (j + 1) % (1 << 64)))
             k = j + (((x >> U(32)) * U(m - j)) >> U(32)).astype(np.int64)
@@ -136,6 +140,43 @@ def _similar(percent: int) -> Callable:
     return run
 
 
+def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(FREQUENCIES, dtype=np.int64)
+    for batch in batches:
+        for raw in batch.column(0).to_pylist():
+            np.add.at(counts, (np.frombuffer(raw, dtype=U) % U(FREQUENCIES)).astype(np.int64), 1)
+    at = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["slot", "n"])
+
+
+def _frequencies(sets: DataFrame) -> np.ndarray:
+    """How many sets hold a shingle, counted in ``FREQUENCIES`` hashed slots (all that comes to the driver)."""
+    out = np.zeros(FREQUENCIES, dtype=np.int32)
+    for r in sets.select("members").mapInArrow(_tally, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).collect():
+        out[r.slot] = min(r.n, np.iinfo(np.int32).max)
+    return out
+
+
+def _rarest(percent: int, counts: np.ndarray) -> Callable:
+    """Each set's rarest shingles, so many that two similar sets must share one of them.
+
+    Any common order of shingles is right; the counts only make it a good one.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tokens = []
+            for raw in batch.column("members").to_pylist():
+                s = np.frombuffer(raw, dtype=U)
+                order = np.lexsort((s, counts[(s % U(FREQUENCIES)).astype(np.int64)]))
+                tokens.append(s[order[:len(s) - (percent * len(s) + 99) // 100 + 1]])
+            rows = pa.array(np.repeat(np.arange(len(tokens)), [len(x) for x in tokens]))
+            place = pa.array(np.concatenate([np.arange(len(x)) for x in [[], *tokens]]).astype(np.int64))
+            flat = np.concatenate([*tokens, np.zeros(0, dtype=U)]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(flat), *(batch.column(c).take(rows) for c in ("node", "size", "part")), place],
+                                             names=["token", "node", "size", "part", "place"])
+    return run
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``(u, v)`` whose full sets are similar enough."""
     return (pairs.join(sets.select(F.col("node").alias("u"), F.col("members").alias("a")), "u")
@@ -171,14 +212,17 @@ def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 80, bands:
     links = staged(_verified(first, sets, percent))
     found = components(links)
 
-    # Second pass: what one bucket still holds in different components.
+    # Second pass: members of buckets that still hold different components, by their rarest shingles.
     told = (shared.join(found, "node", "left").select("bucket", "node", "size", F.coalesce("component", "node").alias("part")))
     split = told.groupBy("bucket").agg(F.min("part").alias("a"), F.max("part").alias("z")).where("a <> z").select("bucket")
-    open_ = staged(told.join(split, "bucket", "left_semi"))
-    rest = (open_.select("bucket", F.col("node").alias("u"), F.col("size").alias("u_size"), F.col("part").alias("u_part"))
-            .join(open_.select("bucket", F.col("node").alias("v"), F.col("size").alias("v_size"), F.col("part").alias("v_part")), "bucket")
-            .where((F.col("u") < F.col("v")) & (F.col("u_part") != F.col("v_part")) & _sized(percent))
-            .select("u", "v").distinct().join(first, ["u", "v"], "left_anti"))
+    open_ = staged(told.join(split, "bucket", "left_semi").select("node", "size", "part").distinct())
+    kept = staged(sets.join(open_, "node").select("node", "size", "part", "members"))
+    rare = staged(kept.mapInArrow(_rarest(percent, _frequencies(kept)), "token bigint, node bigint, size bigint, part bigint, place bigint"))
+    sides = [rare.select("token", *[F.col(c).alias(f"{side}_{c}") for c in ("node", "size", "part", "place")]) for side in "uv"]
+    # The first shingle that two sets share, in the common order, has all others behind it in both.
+    enough = F.expr(f"least(u_size - u_place, v_size - v_place) * {100 + percent} >= {percent} * (u_size + v_size)")
+    rest = (sides[0].join(sides[1], "token").where((F.col("u_node") < F.col("v_node")) & (F.col("u_part") != F.col("v_part")) & _sized(percent) & enough)
+            .select(F.col("u_node").alias("u"), F.col("v_node").alias("v")).distinct().join(first, ["u", "v"], "left_anti"))
     more = staged(_verified(rest, sets, percent))
     if not more.isEmpty():
         found = components(links.unionByName(more))
