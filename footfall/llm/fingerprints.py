@@ -52,7 +52,7 @@ def _sample(j: int) -> Column:
 
 
 def weighted_terms(texts: DataFrame, keys: list[str]) -> DataFrame:
-    """``keys, term, ln_weight``: a row per distinct word of ``text``; one row of nulls where there is none."""
+    """``keys, term, ln_weight``: a row per distinct word of ``text``; a row of nulls too where it is empty or has blanks at an end."""
     texts = texts.select(*keys, F.sort_array(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+")).alias("words"))
     rows = texts.select(*keys, "words", F.posexplode("words").alias("at", "word"))
     last = ~F.col("word").eqNullSafe(F.get("words", F.col("at") + 1))
