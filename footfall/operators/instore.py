@@ -134,29 +134,29 @@ def sale_sessions(purchases: DataFrame, settings: Settings = DEFAULTS,
     """Purchase sessions per seller: a purchase more than the gap after the
     seller's previous purchase (by arrival) starts a new session.
 
-    Stream: native ``session_window``. Batch: the same sessions without
-    putting a seller in one task: one keyed scan numbers sessions by a
-    running count of session starts (a purchase more than the gap after its
-    predecessor), and sessions are an ordinary partial aggregation.
+    Stream: native ``session_window``. Batch: purchases in one bucket as wide
+    as the gap are never more than a gap apart, so they are reduced to one row
+    per (seller, bucket) by a partial aggregate first. Sessions then break
+    between buckets only; a seller's buckets are ordered, not the purchases.
     """
     from footfall.functions.timewin import _micros
-    from footfall.operators.scan import keyed_scan
 
     df = _pos(purchases, pos)
-    aggs = [F.count(F.lit(1)).alias("purchases"), F.sum("amount").cast("long").alias("amount"),
-            F.min("arrival").alias("first_arrival"), F.max("arrival").alias("last_arrival")]
     if df.isStreaming:
-        return df.groupBy(F.session_window("arrival", settings.sale_session_gap).alias("session"),
-                          "seller_name").agg(*aggs)
+        return df.groupBy(F.session_window("arrival", settings.sale_session_gap).alias("session"), "seller_name").agg(
+            F.count(F.lit(1)).alias("purchases"), F.sum("amount").cast("long").alias("amount"),
+            F.min("arrival").alias("first_arrival"), F.max("arrival").alias("last_arrival"))
     gap = _micros(settings.sale_session_gap)
-
-    def starts_session(cur, prev):
-        return prev["arrival"].isNull() | (
-            F.unix_micros(cur["arrival"]) - F.unix_micros(prev["arrival"]) > F.lit(gap))
-
-    p = keyed_scan(df.select("seller_name", "arrival", "id", "amount"), ["seller_name"],
-                   ["arrival", "id"], n=None, flags={"session_no": (starts_session, ["arrival"])})
-    g = p.groupBy("seller_name", "session_no").agg(*aggs)
+    buckets = df.groupBy("seller_name", F.floor(F.unix_micros("arrival") / F.lit(gap)).alias("bucket")).agg(
+        F.count(F.lit(1)).alias("purchases"), F.sum("amount").alias("amount"),
+        F.min("arrival").alias("first_arrival"), F.max("arrival").alias("last_arrival"))
+    order = Window.partitionBy("seller_name").orderBy("bucket")
+    before = F.unix_micros(F.lag("last_arrival").over(order))
+    starts = F.when(before.isNull() | (F.unix_micros("first_arrival") - before > F.lit(gap)), 1).otherwise(0)
+    g = (buckets.withColumn("starts", starts).withColumn("session_no", F.sum("starts").over(order))
+         .groupBy("seller_name", "session_no").agg(
+             F.sum("purchases").alias("purchases"), F.sum("amount").cast("long").alias("amount"),
+             F.min("first_arrival").alias("first_arrival"), F.max("last_arrival").alias("last_arrival")))
     end = F.timestamp_micros(F.unix_micros("last_arrival") + F.lit(gap))
     return g.select(F.struct(F.col("first_arrival").alias("start"), end.alias("end")).alias("session"),
                     "seller_name", "purchases", "amount", "first_arrival", "last_arrival")
