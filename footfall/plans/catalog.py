@@ -29,11 +29,12 @@ def prepare(spark: SparkSession, settings: Settings = DEFAULTS) -> None:
     """Pin the session clock zone (date texts and day cuts depend on it).
 
     The ordered scans checkpoint to the cluster's ``spark.checkpoint.dir``.
-    This harness runs on test tables; only when the session names no
-    checkpoint folder at all does it give one of its own.
+    Only a local master that names no checkpoint folder gets one of its own.
     """
     spark.conf.set("spark.sql.session.timeZone", settings.session_zone)
     if not spark.sparkContext.getCheckpointDir() and not spark.conf.get("spark.checkpoint.dir", None):
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         import tempfile
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="footfall-ck-"))
 

@@ -81,7 +81,7 @@ def running_visitors_stream(readings: DataFrame, ttl_ms: int | None = None) -> D
         statefulProcessor=RunningCount(ttl_ms),
         outputStructType=OUT_SCHEMA,
         outputMode="Append",
-        timeMode="None",
+        timeMode="ProcessingTime" if ttl_ms else "None",
         eventTimeColumnName="arrival",
     )
 
@@ -143,6 +143,6 @@ def journey_stream(inside: DataFrame, ttl_ms: int | None = None) -> DataFrame:
         statefulProcessor=JourneyTracker(ttl_ms),
         outputStructType=JOURNEY_SCHEMA,
         outputMode="Append",
-        timeMode="None",
+        timeMode="ProcessingTime" if ttl_ms else "None",
         eventTimeColumnName="entered_at",
     )
