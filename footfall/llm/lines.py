@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from footfall.llm.common import staged
+
 LEAST, MIN_DOCS, SLICES = 20, 3, 64
 BLANK = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -33,10 +35,11 @@ def keep_bitmaps(docs: DataFrame, least: int = LEAST, min_docs: int = MIN_DOCS)
     """``id, text_hash, dropped``: a map from word number to 64 flags, for the texts that lose lines."""
     lines = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("text_hash"),
                         F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    keyed = lines.select("id", "text_hash", "pos", F.translate(F.btrim("line", F.lit(BLANK)), UPPER, LOWER).alias("key"))
-    rows = (keyed.where(F.char_length("key") >= least)
-            .select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(29), "key").alias("h2"),
-                    F.pmod(F.xxhash64("id"), F.lit(SLICES)).cast("int").alias("slice"), "id", "text_hash", "pos")
+    trimmed = lines.select("id", "text_hash", "pos", F.btrim("line", F.lit(BLANK)).alias("line")).where(F.char_length("line") >= least)
+    keyed = trimmed.select("id", "text_hash", "pos", F.translate("line", UPPER, LOWER).alias("key"))
+    # Written once: sampling the range bounds would otherwise split all texts a second time.
+    rows = (staged(keyed.select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(29), "key").alias("h2"),
+                                F.pmod(F.xxhash64("id"), F.lit(SLICES)).cast("int").alias("slice"), "id", "text_hash", "pos"))
             .repartitionByRange("h1", "h2", "slice").sortWithinPartitions("h1", "h2", "slice", F.desc_nulls_last("id"), "pos"))
     group = Window.partitionBy("h1", "h2", "slice").orderBy(F.desc_nulls_last("id"))
     streamed = (rows.withColumn("nth", F.dense_rank().over(group))
