@@ -29,19 +29,19 @@ from pyspark.sql import functions as F
 
 from footfall.functions.ordering import first_by
 from footfall.functions.timewin import tumble
-from footfall.operators.scan import keyed_scan
+from footfall.operators.scan import keyed_scan, time_slice
 from footfall.settings import DEFAULTS, Settings
 
 ZONES = (1, 2, 3)
 
 
 def running_visitors(readings: DataFrame, zones=ZONES,
-                     num_partitions: int | None = None) -> DataFrame:
+                     settings: Settings = DEFAULTS) -> DataFrame:
     """One row per reading with ``first_ts`` (the sensor's first timestamp)
     and ``visitors`` (readings of the sensor so far), per zone and sensor in
     ``(arrival, id)`` order.
 
-    Batch: ``keyed_scan`` (range-partitioned, balanced under a hot sensor).
+    Batch: ``keyed_scan`` (a hot sensor is cut into time slices).
     Stream: a stateful processor keeps ``(first_ts, n)`` per sensor.
     """
     df = readings.where(F.col("zone").isin(list(zones))) if zones else readings
@@ -50,7 +50,7 @@ def running_visitors(readings: DataFrame, zones=ZONES,
         from footfall.streaming.stateful import running_visitors_stream
         return running_visitors_stream(df)
     return keyed_scan(df, ["zone", "sensor_uid"], ["arrival", "id"], n="visitors",
-                      first={"first_ts": "ts"}, num_partitions=num_partitions)
+                      first={"first_ts": "ts"}, slices=time_slice("arrival", settings.scan_slice))
 
 
 def running_by_zone(readings: DataFrame, zones=ZONES) -> dict[int, DataFrame]:

@@ -13,18 +13,18 @@ from pyspark.sql import functions as F
 from footfall.functions.areas import ZONE1_AREAS, area_index_of, area_name
 from footfall.functions.timewin import tumble
 from footfall.operators.proximity import classify_area
-from footfall.operators.scan import keyed_scan
+from footfall.operators.scan import keyed_scan, time_slice
 from footfall.settings import DEFAULTS, Settings
 
 
 def customer_journey(readings: DataFrame, zone: int | None = 1, areas=ZONE1_AREAS,
-                     num_partitions: int | None = None) -> DataFrame:
+                     settings: Settings = DEFAULTS) -> DataFrame:
     """Entries into shop areas per device: one row each time a device's
     reading is in an area other than the area of its previous in-area
     reading. ``visit_no`` numbers the entries per device.
 
-    Batch: one keyed scan (balanced under a busy device) gives the previous
-    area and numbers entries. Stream: a state processor per device keeps its
+    Batch: a keyed scan (balanced under a busy device) gives the previous
+    area, a second one over the entries alone numbers them. Stream: a state processor per device keeps its
     last area and entry count."""
     df = readings if zone is None else readings.where(F.col("zone") == F.lit(zone))
     if df.isStreaming:
@@ -39,13 +39,10 @@ def customer_journey(readings: DataFrame, zone: int | None = 1, areas=ZONE1_AREA
                         area_index_of("latitude", "longitude", areas).alias("area_i"))
                 .where(F.col("area_i").isNotNull()))
 
-    def enters(cur, prev):
-        return prev["area_i"].isNull() | (cur["area_i"] != prev["area_i"])
-
-    scanned = keyed_scan(inside, ["mac"], ["arrival", "id"], n=None,
-                         lag={"prev_i": "area_i"}, flags={"visit_no": (enters, ["area_i"])},
-                         num_partitions=num_partitions)
+    slices = time_slice("arrival", settings.scan_slice)
+    scanned = keyed_scan(inside, ["mac"], ["arrival", "id"], n=None, lag={"prev_i": "area_i"}, slices=slices)
     entries = scanned.where(F.col("prev_i").isNull() | (F.col("prev_i") != F.col("area_i")))
+    entries = keyed_scan(entries, ["mac"], ["arrival", "id"], n="visit_no", slices=slices)
     return entries.select("mac", "visit_no", area_name(F.col("area_i"), areas).alias("area"),
                           area_name(F.col("prev_i"), areas).alias("prev_area"),
                           F.col("arrival").alias("entered_at"), "id")

@@ -1,261 +1,82 @@
 """Ordered per-key scans that stay balanced when one key holds most rows.
 
 ``keyed_scan`` gives each row, within its key and in a total order: its
-1-based position, the first row's value of some columns, the previous row's
-value of others, running sums, and running counts of a predicate on (row,
-previous row). A window ``partitionBy(key)`` would put every row of a key
-into one task; here the rows are range-partitioned on ``(key, order)``
-instead, so a hot key is cut across many partitions:
-
-1. ``repartitionByRange`` + ``sortWithinPartitions`` on ``(key, order)``,
-   the partition id kept as a column and the rows checkpointed once to the
-   cluster's checkpoint folder. Range bounds are sampled per execution, so
-   two reads of an uncheckpointed range shuffle may cut the data
-   differently; the checkpoint makes every later read see the same
-   partitions (also after a lost executor) and cuts the lineage.
-2. The values within each (partition, key) run: by default a JVM window
-   over ``(partition id, key)`` (one more shuffle, but every group is at
-   most one partition's rows, so it stays balanced); or, with
-   ``local_pass="arrow"``, one Arrow pass per partition that streams batch
-   by batch with O(1) state (no second shuffle, but rows cross to Python).
-3. An aggregate summarises each run (count, first and last values, sums,
-   predicate hits). A window over the runs of a key (at most one per
-   partition) yields what earlier partitions carry into a run, and
-   re-judges a run's first row against the previous run's last row. Only
-   the first run of a partition can continue a key, so the carry table has
-   at most one row per partition: a proven bound.
-4. The carry is added back with a left join: broadcast up to
-   ``MAX_BROADCAST_CARRY`` partitions, a balanced shuffle join beyond.
-
-The order columns must make the order total (end with a unique id).
+1-based position, the first row's value of some columns and the previous
+row's value of others. A window ``partitionBy(key)`` would put every row of
+a key into one task; here a key is cut into time slices:
+
+1. A slice is a fixed function of the first order column, so the split is
+   the same in every run and after a lost executor. One aggregate gives each
+   (key, slice) its count and its first and last values.
+2. A window over the slices of a key (one row per active slice, however
+   busy the key) turns them into one *carry* row per (key, slice): the rows
+   before the slice, the key's first values, and the values of the last row
+   before the slice.
+3. Carry rows are unioned with the rows and sort first in the window
+   ``partitionBy(key, slice)``. The carry row is then simply the row before
+   the slice's first one: ``lag`` and ``first`` read through it, and
+   positions add its count. The rows are shuffled once, with no join.
+
+Nothing is written while the plan is built. The order columns must make the
+order total (end with a unique id), and the slice must not decrease along
+the order.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from footfall.functions.ordering import first_by, last_by
-from footfall.session import ensure_checkpoint_dir
-
-
-# Largest partition count for which the carry table (<= one row per
-# partition, a few dozen bytes each) is broadcast.
-MAX_BROADCAST_CARRY = 200_000
-
-
-def _same(a: pa.Array, b: pa.Array) -> np.ndarray:
-    """Null-safe element-wise equality of two equal-length arrays."""
-    eq = pc.fill_null(pc.equal(a, b), False)
-    both_null = pc.and_(pc.is_null(a), pc.is_null(b))
-    return pc.or_(eq, both_null).to_numpy(zero_copy_only=False)
-
-
-def _scan_partition(batches, keys, first_cols, lag_cols, out_schema: pa.Schema):
-    carry = None  # (key slices, n, first slices, last slices) of the previous row
-    for rb in batches:
-        m = rb.num_rows
-        if m == 0:
-            continue
-        same = np.ones(m, dtype=bool)
-        for k in keys:
-            col = rb.column(k)
-            if m > 1:
-                same[1:] &= _same(col.slice(1), col.slice(0, m - 1))
-        if carry is None:
-            same[0] = False
-        else:
-            for k in keys:
-                same[0] &= bool(_same(rb.column(k).slice(0, 1), carry[0][k])[0])
-        start = ~same
-        idx = np.arange(m)
-        last_start = np.maximum.accumulate(np.where(start, idx, -1))
-        cont = last_start < 0  # rows continuing the run of the previous batch
-        prev_n = carry[1] if carry is not None else 0
-        n = np.where(cont, idx + 1 + prev_n, idx - last_start + 1).astype(np.int64)
-
-        arrays = list(rb.columns)
-        names = list(rb.schema.names)
-        # first values: ext row 0 is the carried first value, row i+1 is batch row i
-        first_idx = pa.array(np.where(cont, 0, last_start + 1))
-        firsts = {}
-        for c in first_cols:
-            col = rb.column(c)
-            head = carry[2][c] if carry is not None else pa.nulls(1, col.type)
-            firsts[c] = pa.concat_arrays([head, col]).take(first_idx)
-        # previous row: ext row i is the row before batch row i
-        lag_idx = pa.array(idx, mask=start)
-        lags = {}
-        for c in lag_cols:
-            col = rb.column(c)
-            head = carry[3][c] if carry is not None else pa.nulls(1, col.type)
-            lags[c] = pa.concat_arrays([head, col.slice(0, m - 1)]).take(lag_idx)
+from footfall.functions.timewin import _micros
+from footfall.settings import DEFAULTS
 
-        arrays.append(pa.array(n, type=pa.int64()))
-        names.append("_scan_n")
-        for c in first_cols:
-            arrays.append(firsts[c])
-            names.append(f"_scan_f_{c}")
-        for c in lag_cols:
-            arrays.append(lags[c])
-            names.append(f"_scan_l_{c}")
-        yield pa.RecordBatch.from_arrays(arrays, schema=out_schema)
 
-        carry = (
-            {k: rb.column(k).slice(m - 1, 1) for k in keys},
-            int(n[-1]),
-            {c: firsts[c].slice(m - 1, 1) for c in first_cols},
-            {c: rb.column(c).slice(m - 1, 1) for c in lag_cols},
-        )
-
-
-def _arrow_pass(s: DataFrame, keys, first_cols, lag_cols) -> DataFrame:
-    fields = list(s.schema.fields) + [T.StructField("_scan_n", T.LongType())]
-    fields += [T.StructField(f"_scan_f_{c}", s.schema[c].dataType) for c in first_cols]
-    fields += [T.StructField(f"_scan_l_{c}", s.schema[c].dataType) for c in lag_cols]
-    out_struct = T.StructType(fields)
-    from pyspark.sql.pandas.types import to_arrow_schema
-    arrow_schema = to_arrow_schema(out_struct)
-
-    def run(batches):
-        return _scan_partition(batches, keys, first_cols, lag_cols, arrow_schema)
-
-    return s.mapInArrow(run, out_struct)
+def time_slice(col: str, size: str) -> Column:
+    """Number of the ``size``-wide slice that timestamp ``col`` falls in."""
+    return F.floor(F.unix_micros(F.col(col)) / F.lit(_micros(size))).cast("long")
 
 
 def keyed_scan(df: DataFrame, keys, order, n: str | None = "n",
                first: dict | None = None, lag: dict | None = None,
-               sums: dict | None = None, flags: dict | None = None,
-               num_partitions: int | None = None, local_pass: str = "window") -> DataFrame:
+               slices: Column | None = None) -> DataFrame:
     """Add per-key ordered values to every row of ``df``.
 
     ``n``: name of the 1-based position column (None: omit).
     ``first``: {output name: column} first row's value within the key.
     ``lag``: {output name: column} previous row's value (null on the first row).
-    ``sums``: {output name: column} running sum of a long column up to the row.
-    ``flags``: {output name: (predicate, columns)} running count of rows for
-    which ``predicate(cur, prev)`` holds, where ``cur``/``prev`` map each of
-    ``columns`` to the row's and the previous row's value (prev is null on
-    the key's first row). The first row of every partition run is judged
-    again against the row carried in from the earlier partition.
-    ``sums`` and ``flags`` need the window pass.
+    ``slices``: the slice of a row (default: ``Settings.scan_slice`` wide
+    slices of the first order column, which must then be a timestamp).
     """
-    sums = dict(sums or {})
-    flags = dict(flags or {})
-    if (sums or flags) and local_pass != "window":
-        raise ValueError("running sums and flags need the window pass")
-    flag_cols = list(dict.fromkeys(c for _, cols in flags.values() for c in cols))
     keys, order = list(keys), list(order)
-    first = dict(first or {})
-    lag = dict(lag or {})
-    first_cols = list(dict.fromkeys(first.values()))
-    lag_cols = list(dict.fromkeys(lag.values()))
-    sort_cols = keys + order
-
-    spark = df.sparkSession
-    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # Range bounds come from a sample seeded per execution, so two reads of
-    # one repartitionByRange may cut the data differently. The partition id
-    # is therefore stored as a column and the partitioned rows are
-    # checkpointed once (reliable storage, lineage cut): the local pass and
-    # the run summary read the very same partitions, also after a lost
-    # executor.
-    ensure_checkpoint_dir(spark)
-    s = (df.repartitionByRange(parts, *sort_cols)
-           .sortWithinPartitions(*sort_cols)
-           .withColumn("_scan_pid", F.spark_partition_id())
-           .checkpoint(eager=True))
-
-    if local_pass == "arrow":
-        local = _arrow_pass(s, keys, first_cols, lag_cols)
-    else:
-        lw = Window.partitionBy("_scan_pid", *keys).orderBy(*order)
-        upto = lw.rowsBetween(Window.unboundedPreceding, 0)
-        local = s.select(
-            "*", F.row_number().over(lw).cast("long").alias("_scan_n"),
-            *[F.first(c).over(upto).alias(f"_scan_f_{c}") for c in first_cols],
-            *[F.lag(c).over(lw).alias(f"_scan_l_{c}") for c in lag_cols],
-            *[F.sum(F.coalesce(F.col(c).cast("long"), F.lit(0))).over(upto).alias(f"_scan_s_{name}")
-              for name, c in sums.items()],
-            *[F.lag(c).over(lw).alias(f"_scan_p_{c}") for c in flag_cols])
-        for name, (fn, cols) in flags.items():
-            hit = fn({c: F.col(c) for c in cols}, {c: F.col(f"_scan_p_{c}") for c in cols})
-            local = local.withColumn(f"_scan_h_{name}", F.coalesce(hit, F.lit(False)).cast("long"))
-        if flags:
-            local = local.select("*", *[F.sum(f"_scan_h_{name}").over(upto).alias(f"_scan_g_{name}")
-                                        for name in flags])
-
-    # Run summary per (partition, key), then what earlier runs carry. The
-    # rows are checkpointed, so reading them (or the local pass) again is
-    # deterministic.
-    runs = (local if flags else s).groupBy("_scan_pid", *keys).agg(
-        F.count(F.lit(1)).alias("_rc"),
-        *[first_by(c, *order).alias(f"_rf_{c}") for c in first_cols],
-        *[last_by(c, *order).alias(f"_rl_{c}") for c in lag_cols],
-        *[F.sum(F.coalesce(F.col(c).cast("long"), F.lit(0))).alias(f"_rs_{name}")
-          for name, c in sums.items()],
-        *[first_by(c, *order).alias(f"_rff_{c}") for c in flag_cols],
-        *[last_by(c, *order).alias(f"_rlf_{c}") for c in flag_cols],
-        *[F.max(f"_scan_g_{name}").alias(f"_rg_{name}") for name in flags],
-        *[first_by(f"_scan_h_{name}", *order).alias(f"_rh_{name}") for name in flags],
-    )
-    w = Window.partitionBy(*keys).orderBy("_scan_pid")
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    cw = runs.select(
-        "*",
-        F.sum("_rc").over(before).alias("_c_n"),
-        *[F.first(f"_rf_{c}").over(whole).alias(f"_c_f_{c}") for c in first_cols],
-        *[F.lag(f"_rl_{c}").over(w).alias(f"_c_l_{c}") for c in lag_cols],
-        *[F.sum(f"_rs_{name}").over(before).alias(f"_c_s_{name}") for name in sums],
-        *[F.lag(f"_rlf_{c}").over(w).alias(f"_pl_{c}") for c in flag_cols])
-    for name, (fn, cols) in flags.items():
-        # the run's first row judged against the last row of the run before
-        true_first = F.coalesce(fn({c: F.col(f"_rff_{c}") for c in cols},
-                                   {c: F.col(f"_pl_{c}") for c in cols}), F.lit(False)).cast("long")
-        cw = (cw.withColumn(f"_tf_{name}", true_first)
-                .withColumn(f"_fix_{name}", F.col(f"_rg_{name}") - F.col(f"_rh_{name}")
-                            + F.col(f"_tf_{name}")))
-    if flags:
-        cw = cw.select("*", *[
-            (F.coalesce(F.sum(f"_fix_{name}").over(before), F.lit(0))
-             + F.col(f"_tf_{name}") - F.col(f"_rh_{name}")).alias(f"_c_g_{name}")
-            for name in flags])
-    carry = cw.where(F.col("_c_n").isNotNull()).select(
-        F.col("_scan_pid").alias("_c_pid"),
-        *[F.col(k).alias(f"_c_k{i}") for i, k in enumerate(keys)],
-        "_c_n",
-        *[f"_c_f_{c}" for c in first_cols],
-        *[f"_c_l_{c}" for c in lag_cols],
-        *[f"_c_s_{name}" for name in sums],
-        *[f"_c_g_{name}" for name in flags])
-
-    cond = F.col("_scan_pid") == F.col("_c_pid")
-    for i, k in enumerate(keys):
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_c_k{i}"))
-    # At most one carry row per partition: broadcast while that bound is
-    # small; beyond it, an ordinary shuffle join on (partition, key), which
-    # is balanced because every (partition, key) run is at most one partition.
-    right = F.broadcast(carry) if parts <= MAX_BROADCAST_CARRY else carry
-    joined = local.join(right, cond, "left")
-
-    out_cols = [F.col(c) for c in df.columns]
-    if n:
-        out_cols.append((F.col("_scan_n") + F.coalesce(F.col("_c_n"), F.lit(0))).alias(n))
-    for name, c in first.items():
-        out_cols.append(F.when(F.col("_c_n").isNotNull(), F.col(f"_c_f_{c}"))
-                        .otherwise(F.col(f"_scan_f_{c}")).alias(name))
-    for name, c in lag.items():
-        out_cols.append(F.when(F.col("_scan_n") == 1, F.col(f"_c_l_{c}"))
-                        .otherwise(F.col(f"_scan_l_{c}")).alias(name))
-    for name in sums:
-        out_cols.append((F.col(f"_scan_s_{name}") + F.coalesce(F.col(f"_c_s_{name}"), F.lit(0)))
-                        .alias(name))
-    for name in flags:
-        out_cols.append((F.col(f"_scan_g_{name}") + F.coalesce(F.col(f"_c_g_{name}"), F.lit(0)))
-                        .alias(name))
-    return joined.select(*out_cols)
+    first, lag = dict(first or {}), dict(lag or {})
+    firsts = list(dict.fromkeys(first.values()))
+    lags = list(dict.fromkeys(lag.values()))
+    if slices is None:
+        slices = time_slice(order[0], DEFAULTS.scan_slice)
+    rows = df.withColumn("_slice", slices)
+
+    per = rows.groupBy(*keys, "_slice").agg(
+        F.count(F.lit(1)).alias("_count"),
+        *[first_by(c, *order).alias(f"_first_{c}") for c in firsts],
+        *[last_by(c, *order).alias(f"_last_{c}") for c in lags])
+    w = Window.partitionBy(*keys).orderBy("_slice")
+    carry = per.select(
+        *keys, "_slice", F.lit(0).alias("_row"),
+        F.coalesce(F.sum("_count").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+        *[F.first(f"_first_{c}").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias(f"_first_{c}") for c in firsts],
+        *[F.lag(f"_last_{c}").over(w).alias(c) for c in lags if c not in keys])
+
+    both = rows.withColumn("_row", F.lit(1)).unionByName(carry, allowMissingColumns=True)
+    s = Window.partitionBy(*keys, "_slice").orderBy("_row", *order)
+    upto = s.rowsBetween(Window.unboundedPreceding, 0)
+    out = both.select(
+        *df.columns, "_row",
+        (F.first("_before").over(upto) + F.row_number().over(s) - 1).alias("_n"),
+        *[F.first(f"_first_{c}").over(upto).alias(f"_out_{name}") for name, c in first.items()],
+        *[F.lag(c).over(s).alias(f"_lag_{name}") for name, c in lag.items()])
+    return out.where("_row = 1").select(
+        *df.columns,
+        *([F.col("_n").alias(n)] if n else []),
+        *[F.col(f"_out_{name}").alias(name) for name in first],
+        *[F.col(f"_lag_{name}").alias(name) for name in lag])

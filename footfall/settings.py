@@ -69,6 +69,7 @@ class Settings:
     # Second-tier (intended) variants; our own choices.
     visit_window: str = "2 hours"        # unique-MAC foot traffic
     sale_session_gap: str = "10 minutes"  # purchase sessions per seller
+    scan_slice: str = "10 minutes"        # ordered scans cut a key into slices of this width
     bottom_k: int = 1                     # under-performing categories per window
 
     def with_(self, **changes) -> "Settings":

@@ -9,6 +9,7 @@ from footfall.functions.areas import ZONE1_AREAS
 from footfall.operators import foot_traffic as ft
 from footfall.operators import instore, proximity
 from footfall.plans.catalog import prepare
+from footfall.settings import DEFAULTS
 from footfall.sources.testdata import table_purchases, table_readings
 
 EDGES = sorted({v for a in ZONE1_AREAS for v in (a.lat_lo, a.lat_hi, a.lon_lo, a.lon_hi)})
@@ -45,7 +46,7 @@ def test_counts_add_up(spark):
 def test_running_counts_are_one_to_n_per_sensor(spark):
     prepare(spark)
     r = table_readings(spark, SF001)
-    run = ft.running_visitors(r, num_partitions=5)
+    run = ft.running_visitors(r, settings=DEFAULTS.with_(scan_slice="5 minutes"))
     per = run.groupBy("zone", "sensor_uid").agg(
         F.count(F.lit(1)).alias("n"), F.max("visitors").alias("mx"), F.min("visitors").alias("mn"),
         F.countDistinct("visitors").alias("d"), F.countDistinct("first_ts").alias("firsts"))
@@ -55,8 +56,8 @@ def test_running_counts_are_one_to_n_per_sensor(spark):
 def test_partitioning_does_not_change_results(spark):
     prepare(spark)
     r = table_readings(spark, SF001)
-    a = ft.running_visitors(r, num_partitions=3).select("id", "first_ts", "visitors")
-    b = ft.running_visitors(r.repartition(11), num_partitions=13).select("id", "first_ts", "visitors")
+    a = ft.running_visitors(r, settings=DEFAULTS.with_(scan_slice="3 minutes")).select("id", "first_ts", "visitors")
+    b = ft.running_visitors(r.repartition(11), settings=DEFAULTS.with_(scan_slice="1 hour")).select("id", "first_ts", "visitors")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     x = ft.foot_traffic_factors(r)
     y = ft.foot_traffic_factors(r.repartition(7, "sensor_uid"))
