@@ -23,9 +23,9 @@ from footfall.sources import files, kafka
 from footfall.streaming import jobs
 
 STARTERS = {
-    "foot-traffic": (jobs.start_foot_traffic, READING),
-    "proximity": (jobs.start_proximity, READING),
-    "instore": (jobs.start_instore, PURCHASE),
+    "foot-traffic": (jobs.start_foot_traffic, jobs.foot_traffic_documents, READING),
+    "proximity": (jobs.start_proximity, jobs.proximity_documents, READING),
+    "instore": (jobs.start_instore, jobs.instore_documents, PURCHASE),
 }
 
 
@@ -43,12 +43,16 @@ def parse(argv=None) -> argparse.Namespace:
     p.add_argument("--watermark", default=DEFAULTS.watermark_delay)
     p.add_argument("--crowd-threshold", type=int, default=DEFAULTS.crowd_threshold)
     p.add_argument("--available-now", action="store_true")
+    p.add_argument("--batch", action="store_true", help="one batch run over all input, last windows included")
+    p.add_argument("--max-offsets-per-trigger", type=int, default=None)
     p.add_argument("--max-files-per-trigger", type=int, default=None)
     return p.parse_args(argv)
 
 
 def source(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
-    _, schema = STARTERS[a.job]
+    _, _, schema = STARTERS[a.job]
+    if a.files and a.batch:
+        return files.read_files(spark, a.files, schema)
     if a.files:
         return files.stream_files(spark, a.files, schema, max_files_per_trigger=a.max_files_per_trigger)
     topics = [t for t in a.topic.split(",") if t]
@@ -56,9 +60,9 @@ def source(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     for i, t in enumerate(topics, start=1):
         if schema is READING:
             zone = a.zone if (a.zone is not None and len(topics) == 1) else i
-            parts.append(kafka.read_readings(spark, a.kafka, t, zone, a.group_id))
+            parts.append(kafka.read_readings(spark, a.kafka, t, zone, a.group_id, not a.batch, a.max_offsets_per_trigger))
         else:
-            parts.append(kafka.read_purchases(spark, a.kafka, t, f"POS{i}", a.group_id))
+            parts.append(kafka.read_purchases(spark, a.kafka, t, f"POS{i}", a.group_id, not a.batch, a.max_offsets_per_trigger))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -69,7 +73,10 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
     a = parse(argv)
     spark = spark or SparkSession.builder.appName(f"footfall-{a.job}").getOrCreate()
     settings = DEFAULTS.with_(watermark_delay=a.watermark, crowd_threshold=a.crowd_threshold)
-    start, _ = STARTERS[a.job]
+    start, documents, _ = STARTERS[a.job]
+    if a.batch:
+        spark.conf.set("spark.sql.session.timeZone", settings.session_zone)
+        return jobs.write_all(documents(source(spark, a), settings), a.out)
     trigger = {"availableNow": True} if a.available_now else None
     queries = start(source(spark, a), root=a.out, settings=settings, trigger=trigger,
                     checkpoint_base=a.checkpoint)
@@ -80,5 +87,6 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
 
 
 if __name__ == "__main__":
-    qs = main()
-    SparkSession.getActiveSession().streams.awaitAnyTermination()
+    main()
+    if SparkSession.getActiveSession().streams.active:
+        SparkSession.getActiveSession().streams.awaitAnyTermination()

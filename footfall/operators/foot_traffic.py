@@ -113,6 +113,13 @@ def _batch_fine(running, settings: Settings):
     return _fine(running, settings)
 
 
+def _with_counts(running, settings: Settings):
+    """Batch readings get their running counts; what has them stays as it is."""
+    if isinstance(running, dict) or running.isStreaming or "first_ts" in running.columns:
+        return running
+    return running_visitors(running, settings=settings)
+
+
 def foot_traffic_window_join_12(running, settings: Settings = DEFAULTS) -> DataFrame:
     """Zone 1 x zone 2 on equal first timestamps within 10-minute windows.
 
@@ -126,6 +133,7 @@ def foot_traffic_window_join_12(running, settings: Settings = DEFAULTS) -> DataF
     fine = _batch_fine(running, settings)
     if fine is not None:
         return _j12_from_fine(fine)
+    running = _with_counts(running, settings)
     a = _key_readings(running, 1, settings.foot_join_first, "readings_zone1")
     b = _key_readings(running, 2, settings.foot_join_first, "readings_zone2")
     j = a.join(b, ["window", "timestamp"], "inner")
@@ -166,6 +174,7 @@ def foot_traffic_as_coded(running, settings: Settings = DEFAULTS) -> DataFrame:
     if fine is not None:
         return _j123_from_fine(fine, settings)
     second = settings.foot_join_second
+    running = _with_counts(running, settings)
     j1 = foot_traffic_window_join_12(running, settings)
     right = _key_readings(running, 3, second, "readings_zone3")
     if j1.isStreaming:

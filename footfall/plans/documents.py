@@ -28,26 +28,31 @@ def _ws() -> Column:
     return F.unix_seconds(F.col("window.start"))
 
 
+def _bounds(window: str) -> list[Column]:
+    return [F.unix_seconds(F.col(f"{window}.{side}")).alias(f"{window}_{side}") for side in ("start", "end")]
+
+
 def foot_traffic_docs(df: DataFrame) -> DataFrame:
     """One document per (20-minute window, timestamp): how many documents the
     pair-listing join holds for the key, and the readings behind them."""
     return df.select(
         doc_id(S.INDEX_FOOT_TRAFFIC, _ws(), "timestamp").alias("doc_id"),
-        F.col("timestamp"),
+        *_bounds("window"), F.col("timestamp"),
         F.col("pairs_12").alias("pairs_Zone1_Zone2"),
-        F.col("readings_zone3").alias("visitors_Zone3"),
+        F.col("readings_zone3").alias("readings_Zone3"),
         F.col("documents"),
     )
 
 
 def foot_traffic_factor_docs(df: DataFrame) -> DataFrame:
-    """The running-count ranges per zone whose cross product per key is the
-    pair-listing join's document list."""
+    """The running-count ranges per zone. For a (window, timestamp) key the
+    pair-listing join's documents are, per join window of zones 1 and 2, the
+    cross product of their ranges and zone 3's; all bounds are kept, so the
+    list can be expanded from these documents alone."""
     return df.select(
         doc_id(S.INDEX_FOOT_TRAFFIC, _ws(), "timestamp", "zone",
                F.unix_seconds(F.col("join_window.start")), "sensor_uid").alias("doc_id"),
-        "timestamp", "zone", "sensor_uid",
-        F.col("visitors_from").alias("visitors_from"), F.col("visitors_to").alias("visitors_to"),
+        *_bounds("window"), "timestamp", "zone", *_bounds("join_window"), "sensor_uid", "visitors_from", "visitors_to",
     )
 
 

@@ -317,13 +317,14 @@ SELECT {_win(H2)}, coalesce(visitors, 0) AS visitors, coalesce(purchases, 0) AS
 FROM j""",
 
     "docs_foot_traffic": _j123_cte() + f"""
-SELECT {_doc_id(S.INDEX_FOOT_TRAFFIC, f'ws // {US}', 'timestamp')} AS doc_id, timestamp,
-       pairs_12 AS "pairs_Zone1_Zone2", readings_zone3 AS "visitors_Zone3", documents
+SELECT {_doc_id(S.INDEX_FOOT_TRAFFIC, f'ws // {US}', 'timestamp')} AS doc_id, {_win(M20)}, timestamp,
+       pairs_12 AS "pairs_Zone1_Zone2", readings_zone3 AS "readings_Zone3", documents
 FROM j123""",
 
     "docs_foot_traffic_factors": _factors_cte() + f"""
 SELECT {_doc_id(S.INDEX_FOOT_TRAFFIC, f'ws // {US}', 'timestamp', 'zone', f'jws // {US}', 'sensor_uid')}
-       AS doc_id, timestamp, zone, sensor_uid, visitors_from, visitors_to
+       AS doc_id, {_win(M20)}, timestamp, zone, jws // {US} AS join_window_start, jwe // {US} AS join_window_end,
+       sensor_uid, visitors_from, visitors_to
 FROM factors""",
 
     "docs_proximity": PROX + f"""

@@ -38,7 +38,8 @@ def registry_payload(value: str = "value") -> Column:
 
 
 def kafka_options(bootstrap_servers: str, topics: str, group_id: str | None = None,
-                  starting_offsets: str = "earliest") -> dict:
+                  starting_offsets: str = "earliest", max_offsets: int | None = None) -> dict:
+    """Reader options. ``max_offsets`` paces a stream (rows per trigger over all partitions); it drops nothing."""
     opts = {
         "kafka.bootstrap.servers": bootstrap_servers,
         "subscribe": topics,
@@ -46,35 +47,37 @@ def kafka_options(bootstrap_servers: str, topics: str, group_id: str | None = No
     }
     if group_id:
         opts["kafka.group.id"] = group_id
+    if max_offsets:
+        opts["maxOffsetsPerTrigger"] = str(max_offsets)
     return opts
 
 
-def _decode(raw: DataFrame, wire: T.StructType, name: str, renames: dict) -> DataFrame:
+def _decode(raw: DataFrame, wire: T.StructType, name: str, renames: dict, number: int) -> DataFrame:
     from pyspark.sql.avro.functions import from_avro  # needs the spark-avro package
 
     rec = from_avro(registry_payload(), avro_schema_json(name, wire)).alias("r")
-    # id = (partition, offset) packed into one long: unique, arrival-ordered per partition.
-    packed_id = (F.col("partition").cast("long") * F.lit(1 << 40) + F.col("offset")).alias("id")
+    # id = (topic's number, partition, offset) packed into one long: unique across topics, ordered per partition.
+    packed_id = (F.lit(number % 128 << 56) + F.col("partition").cast("long") * F.lit(1 << 40) + F.col("offset")).alias("id")
     return raw.select(packed_id, F.col("timestamp").alias("arrival"), rec).select(
         "id", "arrival", *[F.col(f"r.{w}").alias(c) for w, c in renames.items()])
 
 
 def read_readings(spark: SparkSession, bootstrap_servers: str, topic: str, zone: int,
-                  group_id: str | None = None, stream: bool = True) -> DataFrame:
+                  group_id: str | None = None, stream: bool = True, max_offsets: int | None = None) -> DataFrame:
     """Sensor readings of one zone topic, in the library's READING shape."""
     reader = spark.readStream if stream else spark.read
-    raw = reader.format("kafka").options(**kafka_options(bootstrap_servers, topic, group_id)).load()
-    df = _decode(raw, SENSOR_WIRE, "Sensor", SENSOR_RENAMES)
+    raw = reader.format("kafka").options(**kafka_options(bootstrap_servers, topic, group_id, max_offsets=max_offsets if stream else None)).load()
+    df = _decode(raw, SENSOR_WIRE, "Sensor", SENSOR_RENAMES, zone)
     return df.select("id", "arrival", F.lit(zone).cast("int").alias("zone"),
                      "sensor_uid", "mac", "ip", "latitude", "longitude", "ts")
 
 
 def read_purchases(spark: SparkSession, bootstrap_servers: str, topic: str, pos: str,
-                   group_id: str | None = None, stream: bool = True) -> DataFrame:
-    """Purchases of one till topic, in the library's PURCHASE shape."""
+                   group_id: str | None = None, stream: bool = True, max_offsets: int | None = None) -> DataFrame:
+    """Purchases of one till topic (``pos`` ends in its number, as POS1), in the library's PURCHASE shape."""
     reader = spark.readStream if stream else spark.read
-    raw = reader.format("kafka").options(**kafka_options(bootstrap_servers, topic, group_id)).load()
-    df = _decode(raw, PURCHASE_WIRE, "Purchase", PURCHASE_RENAMES)
+    raw = reader.format("kafka").options(**kafka_options(bootstrap_servers, topic, group_id, max_offsets=max_offsets if stream else None)).load()
+    df = _decode(raw, PURCHASE_WIRE, "Purchase", PURCHASE_RENAMES, int("".join(c for c in pos if c.isdigit()) or 0))
     return df.select("id", "arrival", F.lit(pos).alias("pos"), "seller_name", "productid",
                      "product_category", "available_stock", "payment_method", "amount",
                      "loyalty_card", "ts")

@@ -17,7 +17,7 @@ from footfall.operators import foot_traffic as ft
 from footfall.operators import instore, proximity
 from footfall.plans import documents as docs
 from footfall.settings import DEFAULTS, Settings
-from footfall.streaming.sinks import write_documents
+from footfall.streaming.sinks import write_batch, write_documents
 
 
 def with_clock(df: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
@@ -28,7 +28,10 @@ def with_clock(df: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
 def foot_traffic_documents(readings: DataFrame, settings: Settings = DEFAULTS) -> dict[str, DataFrame]:
     clocked = with_clock(readings, settings)
     running = ft.running_by_zone(clocked) if clocked.isStreaming else clocked
-    return {S.INDEX_FOOT_TRAFFIC: docs.foot_traffic_docs(ft.foot_traffic_as_coded(running, settings))}
+    out = {S.INDEX_FOOT_TRAFFIC: docs.foot_traffic_docs(ft.foot_traffic_as_coded(running, settings))}
+    if not clocked.isStreaming and ft._nested(settings):
+        out[f"{S.INDEX_FOOT_TRAFFIC}-ranges"] = docs.foot_traffic_factor_docs(ft.foot_traffic_factors(running, settings))
+    return out
 
 
 def proximity_documents(readings: DataFrame, settings: Settings = DEFAULTS,
@@ -53,10 +56,11 @@ def instore_documents(purchases: DataFrame, settings: Settings = DEFAULTS) -> di
 
 
 def _start_all(streams: dict[str, DataFrame], root: str | None, writer_for=None,
-               trigger: dict | None = None, checkpoint_base: str | None = None
+               trigger: dict | None = None, checkpoint_base: str | None = None, zone: str = DEFAULTS.session_zone
                ) -> dict[str, StreamingQuery]:
     out = {}
     for index, df in streams.items():
+        df.sparkSession.conf.set("spark.sql.session.timeZone", zone)
         writer = writer_for(index) if writer_for else None
         name = index.replace("-", "_")
         ck = f"{checkpoint_base.rstrip('/')}/{name}" if checkpoint_base else None
@@ -65,12 +69,17 @@ def _start_all(streams: dict[str, DataFrame], root: str | None, writer_for=None,
     return out
 
 
+def write_all(documents: dict[str, DataFrame], root: str) -> dict[str, str]:
+    """Batch counterpart of the ``start_*`` functions: one folder per index."""
+    return {index: write_batch(df, index, root) for index, df in documents.items()}
+
+
 def start_foot_traffic(readings: DataFrame, root: str | None = None, settings: Settings = DEFAULTS,
                        writer_for=None, trigger: dict | None = None,
                        checkpoint_base: str | None = None) -> dict[str, StreamingQuery]:
     """``readings``: zone 1..3 reading streams unioned (``zone`` column set)."""
     return _start_all(foot_traffic_documents(readings, settings), root, writer_for, trigger,
-                      checkpoint_base)
+                      checkpoint_base, settings.session_zone)
 
 
 def start_proximity(readings: DataFrame, root: str | None = None, settings: Settings = DEFAULTS,
@@ -79,7 +88,7 @@ def start_proximity(readings: DataFrame, root: str | None = None, settings: Sett
                     checkpoint_base: str | None = None) -> dict[str, StreamingQuery]:
     """``readings``: the zone-1 reading stream."""
     return _start_all(proximity_documents(readings, settings, threshold), root, writer_for,
-                      trigger, checkpoint_base)
+                      trigger, checkpoint_base, settings.session_zone)
 
 
 def start_instore(purchases: DataFrame, root: str | None = None, settings: Settings = DEFAULTS,
@@ -87,4 +96,4 @@ def start_instore(purchases: DataFrame, root: str | None = None, settings: Setti
                   checkpoint_base: str | None = None) -> dict[str, StreamingQuery]:
     """``purchases``: POS1 and POS2 streams unioned (``pos`` column set)."""
     return _start_all(instore_documents(purchases, settings), root, writer_for, trigger,
-                      checkpoint_base)
+                      checkpoint_base, settings.session_zone)

@@ -13,6 +13,8 @@ location is given; no machine-local folder is assumed.
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -78,7 +80,9 @@ def write_documents(docs: DataFrame, index: str, root: str | None = None,
         if root is None:
             raise ValueError("give a root folder or a writer")
         writer = file_writer(root, index)
-    ck = checkpoint or f"{checkpoint_root(spark)}/{query_name or index}"
+    # Jobs that write to different roots share no offsets.
+    place = hashlib.sha256((root or "").encode()).hexdigest()[:16]
+    ck = checkpoint or f"{checkpoint_root(spark)}/{place}/{query_name or index}"
     w = (docs.writeStream.outputMode("append").option("checkpointLocation", ck)
              .foreachBatch(writer))
     if query_name:
@@ -88,6 +92,15 @@ def write_documents(docs: DataFrame, index: str, root: str | None = None,
     return w.start()
 
 
+def write_batch(docs: DataFrame, index: str, root: str, fmt: str = "parquet") -> str:
+    """Write the documents of a finished (batch) input beside the streams'
+    batches, in a folder of their own: nothing older is overwritten. Unlike
+    a stream, a batch run also writes its last windows."""
+    path = f"{root.rstrip('/')}/index={index}/batch=backfill-{uuid.uuid4().hex}"
+    docs.write.mode("errorifexists").format(fmt).save(path)
+    return path
+
+
 def read_documents(spark: SparkSession, root: str, index: str, fmt: str = "parquet") -> DataFrame:
     """All documents written for an index (every batch directory)."""
     return spark.read.format(fmt).load(f"{root.rstrip('/')}/index={index}")

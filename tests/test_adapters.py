@@ -46,25 +46,3 @@ def test_documents_have_unique_ids(spark):
             d = q(spark, SF0001)
             assert d.count() == d.select("doc_id").distinct().count(), name
             assert d.where(F.col("doc_id").isNull()).count() == 0
-
-
-def test_tuning_sizes_partitions_from_input(spark):
-    from footfall.session import input_size, tune_for_input
-
-    keys = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled",
-            "spark.sql.adaptive.coalescePartitions.enabled",
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes",
-            "spark.sql.adaptive.skewJoin.enabled", "spark.sql.files.maxPartitionBytes"]
-    before = {k: spark.conf.get(k, None) for k in keys}
-    try:
-        n = input_size(spark, "/root/testdata/sf0.01/events.parquet")
-        assert n > 0
-        parts = tune_for_input(spark, 100 * 1024 ** 4)  # 100 TB
-        assert parts == 409600
-        assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == str(256 * 1024 ** 2)
-    finally:
-        for k, v in before.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)

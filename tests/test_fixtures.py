@@ -190,3 +190,10 @@ def test_payment_ties_pick_alphabetically_first(spark):
             (2, at(0, 2), "POS1", "Kids", 50, "Cash", 1, 0, 1)]
     (r,) = instore.most_used_payment_method(purchases(spark, rows)).collect()
     assert (r["payment_method"], r["count"], r["purchases"]) == ("Cash", 1, 2)
+
+
+def test_second_window_need_not_be_a_multiple_of_the_first(spark):
+    r, s = foot_readings(spark), DEFAULTS.with_(foot_join_second="15 minutes")
+    got = ft.foot_traffic_as_coded(r, s)
+    want = ft.foot_traffic_as_coded(ft.running_visitors(r), s)
+    assert sorted(got.collect()) == sorted(want.collect())

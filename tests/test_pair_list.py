@@ -3,12 +3,14 @@ on whole small tables, against our per-key counts and expanded factors."""
 
 from collections import Counter
 from datetime import datetime, timezone
+from types import SimpleNamespace
 
 import pytest
 
 from conftest import SF0001, SF001
 from footfall.operators import foot_traffic as ft
 from footfall.plans.catalog import prepare
+from footfall.plans.documents import foot_traffic_factor_docs
 from footfall.plans.oracle import M10, M20, RUNNING
 from footfall.sources.testdata import table_readings
 from oracle_compare import duck
@@ -40,3 +42,13 @@ def test_factors_equal_brute_force_pairs(spark, sf, expected, source):
     assert as_us == want
     total = ft.foot_traffic_as_coded(running).agg({"documents": "sum"}).first()[0]
     assert total == expected
+
+
+def test_documents_alone_expand_to_brute_force_pairs(spark):
+    want = Counter(duck(SF001).sql(PAIRS).fetchall())
+    prepare(spark)
+    docs = foot_traffic_factor_docs(ft.foot_traffic_factors(table_readings(spark, SF001))).collect()
+    rows = [SimpleNamespace(window=SimpleNamespace(start=d.window_start * 1_000_000), timestamp=d.timestamp, zone=d.zone,
+                            join_window=SimpleNamespace(start=d.join_window_start),
+                            visitors_from=d.visitors_from, visitors_to=d.visitors_to) for d in docs]
+    assert expand(rows) == want

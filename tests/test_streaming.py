@@ -288,3 +288,16 @@ def test_offer_recipients_stream(spark, scratch):
     r = table_readings(spark, SF001, spread_ts=True).select([f.name for f in READING.fields])
     flush = [{"zone": 1, "ts": 0, "latitude": 40.4195, "longitude": -3.7058, "mac": "late"}]
     _stream_vs_batch(spark, scratch, "s_recipients", r, READING, op, flush)
+
+
+def test_command_line_batch_writes_last_windows_and_keeps_older_runs(spark, scratch):
+    from footfall import cli
+
+    p = table_purchases(spark, SF0001).select([f.name for f in PURCHASE.fields])
+    p.write.parquet(f"{scratch}/in")
+    args = ["instore", "--files", f"{scratch}/in", "--out", f"{scratch}/out", "--batch"]
+    first, second = cli.main(args, spark=spark), cli.main(args, spark=spark)
+    for index, want in jobs.instore_documents(p).items():
+        assert first[index] != second[index]
+        for path in (first[index], second[index]):
+            _same(spark.read.parquet(path), want)
