@@ -1,16 +1,24 @@
 """Toxicity: a lexicon matched with misspellings, and scores by context.
 
 Lexicon. From a bounded sample of labelled documents (``SAMPLE`` rows, smallest
-hashes of doc_id), every word beginning of 4 to 12 letters that stands in
-``SUPPORT`` toxic documents and hardly in clean ones becomes a term: the
-shortest such beginning, lengthened while it keeps its documents. At most
-``TERMS`` terms.
+hashes of doc_id), word beginnings of 4 to 12 letters and whole words are
+counted by class. One that stands in toxic documents and hardly in clean ones
+is taken if chance does not explain it. By chance a unit of n documents is as
+toxic as that with a beta-binomial probability; its mean is that of the units
+of 2 and 3 documents, its spread the largest found among units of about n or
+fewer documents (copies of a document raise it). Summed over all units this gives how many to expect. Units
+are taken, the least likely first, up to where ``CHANCE`` of those found
+exceeds those expected the most. So the number of documents a term needs
+follows from the sample (two can do), and nothing else limits the terms.
+The shortest such beginning becomes a term, lengthened while it keeps its
+documents; a whole word that no beginning covers is matched exactly, whatever
+its length.
 
 Matching. The terms form a trie. A Levenshtein automaton of distance 1 runs
 over trie and word at once: its states are sets of (trie node, edits spent),
 made when first reached and kept, so a word is read once, character by
 character, and is dropped as soon as no term is within reach. Terms of fewer
-than ``FUZZY`` letters take no edits.
+than ``FUZZY`` letters and whole words take no edits.
 
 Context. A match is weighed by the words around it (``WINDOW`` on each side):
 one that stands in quotation marks, or after a word of speaking, is quoted and
@@ -37,15 +45,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from footfall.llm.common import staged
+
 SAMPLE = 20_000  # labelled documents that lexicon and model are fitted on
-TERMS = 2_000
-SUPPORT = 8
+CHANCE = 2 / 3  # chance may explain this share of the last beginnings or words taken
 LONGEST = 12
 PURITY = 50.0  # toxic documents per clean one, after allowing for the classes' sizes
 FUZZY = 5
 WINDOW = 6
 STATES = 1 << 16  # automaton states kept per worker
 CACHE = 1 << 18  # words remembered per worker
+WHOLE = "$"  # ends a term that is a whole word
 WORD = re.compile(r"\w+")
 QUOTES = "\"'“”„«»‘’‹›"
 #: Words of speaking and of address, in the corpus's languages.
@@ -57,12 +67,14 @@ PRIOR = np.array([-4.0, 2.5, 0.5, 0.5, 0.3])
 
 
 class Automaton:
-    """Levenshtein automaton of distance 1, intersected with a trie of terms; a term may be followed by anything."""
+    """Levenshtein automaton of distance 1, intersected with a trie of terms; a term may be followed by anything, unless it ends in ``WHOLE``."""
 
     def __init__(self, terms: dict[str, float], fuzzy: int = FUZZY):
         self.children: list[dict[str, int]] = [{}]
         self.ends: list[float] = [0.0]  # the weight of the term that ends here
         self.soft: list[bool] = [False]  # a term of at least ``fuzzy`` letters lies below
+        self.whole = {t[:-1]: w for t, w in terms.items() if t.endswith(WHOLE)}
+        terms = {t: w for t, w in terms.items() if not t.endswith(WHOLE)}
         for term in sorted(terms):
             node = 0
             for c in term:
@@ -115,6 +127,8 @@ class Automaton:
         return got
 
     def _read(self, word: str) -> tuple[int, float]:
+        if word in self.whole:
+            return 0, self.whole[word]
         state, best = self.start, (2, 0.0)
         for c in word:
             moves = self._moves.get(state)
@@ -198,30 +212,76 @@ def _beginnings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, list[int]] = {}
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             words = set(WORD.findall((text or "").lower()))
-            for stem in {w[:k] for w in words if not w[0].isdigit() for k in range(4, min(LONGEST, len(w)) + 1)}:
+            words = {w for w in words if not w[0].isdigit()}
+            for stem in {w[:k] for w in words for k in range(4, min(LONGEST, len(w)) + 1)} | {w + WHOLE for w in words}:
                 counts.setdefault(stem, [0, 0])[1 if toxic else 0] += 1
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(counts), pa.string()), pa.array([c[0] for c in counts.values()], pa.int64()),
              pa.array([c[1] for c in counts.values()], pa.int64())], names=["stem", "clean", "toxic"])
 
 
+def _unexplained(cells: dict[tuple[int, int], int], clean: int, toxic: int) -> set[tuple[int, int]]:
+    """The ``(clean, toxic)`` counts that chance does not explain, of ``cells``: how many units have each."""
+    few = [(c + t, t, m) for (c, t), m in cells.items() if c + t in (2, 3)]
+    mean = sum(m * t / n for n, t, m in few) / (sum(m for *_, m in few) or 1)
+    mean = min(max(mean, toxic / max(clean + toxic, 1), 1e-6), 1 - 1e-6)
+    scale = PURITY * max(toxic, 1) / max(clean, 1)
+    most = max((c + t for c, t in cells), default=0)
+    ways = np.array([math.lgamma(k + 1) for k in range(most + 1)])
+    sizes: dict[int, int] = {}
+    classes: dict[int, list[float]] = {}
+    for (c, t), m in cells.items():
+        n = c + t
+        sizes[n] = sizes.get(n, 0) + m
+        if n > 1:
+            sums = classes.setdefault(n.bit_length(), [0, 0.0])
+            sums[0] += m
+            sums[1] += m * t * (t - 1) / (n * (n - 1))
+    spread, tails = 0.0, {}
+    for k in range(1, most.bit_length() + 1):
+        total, both = classes.get(k, (0, 0.0))
+        if total:  # drawn towards the class before where units are few
+            spread = max(spread, (total * (both / total - mean**2) / (mean * (1 - mean)) + 50 * spread) / (total + 50))
+        spread = min(max(spread, 1e-6), 0.99)
+        a, b = mean * (1 - spread) / spread, (1 - mean) * (1 - spread) / spread
+        last = min(most, 2**k - 1)
+        ups, downs, all_ = (np.array([math.lgamma(i + x) - math.lgamma(x) for i in range(last + 1)]) for x in (a, b, a + b))
+        for n in range(2 ** (k - 1), last + 1):
+            if n not in sizes:
+                continue
+            least = max(1, math.ceil(scale * n / (1 + scale) - 1e-9))
+            t = np.arange(least, n + 1)
+            chances = np.exp(ways[n] - ways[t] - ways[n - t] + ups[t] + downs[n - t] - all_[n])
+            tails[n] = least, chances, np.cumsum(chances[::-1])[::-1]
+    rare = {(c, t): tails[c + t][2][t - tails[c + t][0]] for c, t in cells if t >= tails[c + t][0]}
+    levels = np.array(sorted(set(rare.values())))
+    expected, found = np.zeros(len(levels) + 1), np.zeros(len(levels) + 1)
+    for n, (_, chances, tail) in tails.items():
+        np.add.at(expected, np.searchsorted(levels, tail * (1 - 1e-12)), sizes[n] * chances)
+    for cell, p in rare.items():
+        found[np.searchsorted(levels, p)] += cells[cell]
+    gain = np.concatenate([[0.0], np.cumsum(CHANCE * found - expected)[:-1]])  # of taking none, the first level, the first two ...
+    cut = int(gain.argmax())
+    return {cell for cell, p in rare.items() if cut and p <= levels[cut - 1]}
+
+
 def _lexicon(stems: list, clean: int, toxic: int) -> dict[str, float]:
-    """Shortest pure beginnings, each lengthened while it keeps its documents, with their log odds."""
+    """Shortest beginnings, each lengthened while it keeps its documents, and whole words beside them, with their log odds."""
     counts = {r.stem: (r.toxic, r.clean) for r in stems}
-    scale = PURITY * max(toxic, 1) / max(clean, 1)
-    pure = {s for s, (t, c) in counts.items() if t >= SUPPORT and t >= scale * c}
-    out = []
-    for stem in sorted(pure, key=lambda s: (len(s), s)):
-        if any(stem[:k] in pure for k in range(4, len(stem))):
+    longer: dict[str, list[str]] = {}
+    for s in counts:
+        longer.setdefault(s[:-1], []).append(s)
+    out: set[str] = set()
+    for stem in sorted(counts, key=lambda s: (s.endswith(WHOLE), len(s), s)):
+        if any(stem[:k] in out for k in range(4, min(LONGEST, len(stem)) + 1)):
             continue
-        while True:
-            longer = [s for s in pure if len(s) == len(stem) + 1 and s.startswith(stem) and counts[s][0] >= 0.95 * counts[stem][0]]
-            if not longer:
+        while not stem.endswith(WHOLE):
+            following = [s for s in longer.get(stem, ()) if not s.endswith(WHOLE) and counts[s][0] >= 0.95 * counts[stem][0]]
+            if not following:
                 break
-            stem = longer[0]
-        out.append(stem)
-    odds = {s: math.log((counts[s][0] + 0.5) / (toxic + 1)) - math.log((counts[s][1] + 0.5) / (clean + 1)) for s in out}
-    return dict(sorted(odds.items(), key=lambda x: (-counts[x[0]][0], x[0]))[:TERMS])
+            stem = following[0]
+        out.add(stem)
+    return {s: math.log((counts[s][0] + 0.5) / (toxic + 1)) - math.log((counts[s][1] + 0.5) / (clean + 1)) for s in sorted(out)}
 
 
 def _logistic(sums: np.ndarray, toxic: np.ndarray, prior: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -262,10 +322,16 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     known = spark.createDataFrame(chosen, "doc_id bigint, toxic int")
     texts = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("text", F.col("toxic").cast("bigint").alias("toxic"))
     bad = sum(t for _, t in chosen)
-    stems = (texts.mapInArrow(_beginnings, "stem string, clean bigint, toxic bigint").groupBy("stem")
-             .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-             .where((F.col("toxic") >= SUPPORT) & (F.col("toxic") * max(len(chosen) - bad, 1) >= F.col("clean") * PURITY * max(bad, 1)))
-             .orderBy(F.desc("toxic"), "stem").limit(20 * TERMS).collect())
+    counted = staged(texts.mapInArrow(_beginnings, "stem string, clean bigint, toxic bigint").groupBy("stem")
+                     .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
+    whole = F.endswith("stem", F.lit(WHOLE))
+    cells: dict[bool, dict] = {False: {}, True: {}}
+    for r in counted.groupBy(whole.alias("whole"), "clean", "toxic").count().collect():  # at most as many as pairs of counts
+        cells[r.whole][r.clean, r.toxic] = r["count"]
+    taken = [(w, c, t) for w, each in cells.items() for c, t in _unexplained(each, len(chosen) - bad, bad)]
+    stems = (counted.withColumn("whole", whole)
+             .join(F.broadcast(spark.createDataFrame(taken, "whole boolean, clean bigint, toxic bigint")), ["whole", "clean", "toxic"])
+             .select("stem", "clean", "toxic").collect())
     model = Model(_lexicon(stems, len(chosen) - bad, bad))
     rows = texts.select("toxic", "text").mapInArrow(_count(model), _COUNTS).collect()  # bounded by ``sample``
     if rows:

@@ -161,6 +161,32 @@ def test_toxicity_held_out(spark):
     assert np.mean([s.predicted == t for t, s in marked if s.held_out]) > 0.9
 
 
+def test_toxicity_small_table(spark, docs):
+    """Ten toxic labels: insults of three and four documents are learnt, and every toxic document that holds one is caught."""
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    table = spark.read.parquet(f"{SF}/documents.parquet")
+    model = toxicity.fit(table, labels)
+    insults = {"scum", "moron", "disgusting", "trash", "loser", "clown", "pathetic", "worthless"}
+    assert insults <= set(model.terms)
+    scores = {r.doc_id: r.score for r in toxicity.score(table, model).collect()}
+    marked = {r.doc_id: r.toxic for r in labels.collect() if r.toxic is not None}
+    plain = [k for k, t in marked.items() if t and insults & set(re.findall(r"\w+", docs.get(k, "").lower()))]
+    assert len(plain) >= 7 and all(scores[k] >= 0.5 for k in plain)
+    assert all(scores[k] < 0.5 for k, t in marked.items() if not t and k in scores)
+
+
+def test_toxicity_rare_and_short_words(spark):
+    """A word of two toxic documents is learnt where chance does not explain it, as are words of three letters, matched whole."""
+    plain = "the market opens early and sells bread fruit cheese flowers every day of the week".split()
+    rows = [(k, " ".join(plain[i] for i in range(len(plain)) if (k >> i % 7) & 1 or i % 3), 0) for k in range(200)]
+    rows += [(1000 + k, " ".join(plain[k % 5:]) + " " + w, 1) for k, w in enumerate(["zut"] * 12 + ["grobian"] * 4)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    terms = toxicity.fit(table.select("doc_id", "text"), table.select("doc_id", "toxic")).terms
+    assert set(terms) == {"zut$", "grobian"}
+    a = toxicity.Automaton(terms)
+    assert [a.distance(w)[0] for w in ("zut", "zuta", "zu", "grobians", "grobain")] == [0, 2, 2, 0, 2]
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_sql_twins(spark, name):
     con = duckdb.connect()
