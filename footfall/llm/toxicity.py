@@ -21,7 +21,8 @@ character, and is dropped as soon as no term is within reach. Terms of fewer
 than ``FUZZY`` letters and whole words take no edits.
 
 Context. A match is weighed by the words around it (``WINDOW`` on each side):
-one that stands in quotation marks, or after a word of speaking, is quoted and
+one that stands between an opening and a closing quotation mark, or right
+after a word of speaking, is quoted and
 is summed in a feature of its own, as are misspelled ones and those aimed at a
 reader ("you"). A logistic model over the summed log odds of the matched terms, fitted on
 the same bounded sample, gives the score. The prior weights say that a quoted match is weaker
@@ -35,6 +36,7 @@ ignored; a score depends on the text alone.
 
 from __future__ import annotations
 
+import bisect
 import math
 import re
 from collections.abc import Callable, Iterator
@@ -57,7 +59,9 @@ STATES = 1 << 16  # automaton states kept per worker
 CACHE = 1 << 18  # words remembered per worker
 WHOLE = "$"  # ends a term that is a whole word
 WORD = re.compile(r"\w+")
-QUOTES = "\"'“”„«»‘’‹›"
+#: Opening quotation marks and what closes each.
+PAIRS = {'"': '"', "'": "'’", "“": "”", "„": "“”", "”": "”", "«": "»", "»": "«", "‘": "’", "‚": "‘’", "’": "’", "‹": "›", "›": "‹"}
+MARK = re.compile("[" + "".join(PAIRS) + "]")
 #: Words of speaking and of address, in the corpus's languages.
 SPEAKING = frozenset("said says wrote writes quoted quote called calls term word sagte schrieb nannte zitat wort dijo escribió llamó palabra dit écrit appelé mot citation".split())
 ADDRESS = frozenset("you your you're du dich dir ihr euch sie tu te toi vous usted ustedes eres".split())
@@ -148,6 +152,42 @@ class Automaton:
         return best
 
 
+def _marks(text: str) -> list[tuple[int, str, bool, bool]]:
+    """``position, mark, can open, can close`` of the quotation marks; a mark between letters is an apostrophe."""
+    out = []
+    for m in MARK.finditer(text):
+        k, c = m.start(), m[0]
+        before, after = text[k - 1:k], text[k + 1:k + 2]
+        inner = bool(WORD.match(before)) and bool(WORD.match(after))
+        if inner and c in "'’‘":
+            continue
+        spaced = c in "«»‹›"  # French sets them off by blanks
+        opens = not WORD.match(before) and (bool(after.strip()) or spaced and c in "«‹")
+        closes = not WORD.match(after) and (bool(before.strip()) or spaced and c in "»›")
+        out.append((k, c, opens, closes))
+    return out
+
+
+def _quoted(marks: list[tuple[int, str, bool, bool]], start: int, end: int, first: int, last: int) -> bool:
+    """Whether a mark opened from ``first`` on is open at ``start`` and closed between ``end`` and ``last``."""
+    open_: list[str] = []
+    for k, c, opens, closes in marks[bisect.bisect_left(marks, (first,)):]:
+        if k >= last:
+            break
+        fits = [i for i, o in enumerate(open_) if closes and c in PAIRS[o]]
+        if k < start:
+            if fits:
+                del open_[fits[-1]:]
+            elif opens:
+                open_.append(c)
+        elif k >= end:
+            if fits:
+                return True
+            if opens:
+                open_ = [o for o in open_ if o != c]  # a new quotation: the mark before it was none
+    return False
+
+
 def features(text: str, automaton: Automaton) -> tuple[float, float, float, float]:
     """Summed weights of the terms of plain, quoted, misspelled and aimed matches."""
     low = text.lower()
@@ -156,16 +196,16 @@ def features(text: str, automaton: Automaton) -> tuple[float, float, float, floa
     words = WORD.findall(low)
     if all(distance(w)[0] == 2 for w in set(words)):
         return 0.0, 0.0, 0.0, 0.0
-    spans = [m.span() for m in WORD.finditer(low)]
+    spans, marks = [m.span() for m in WORD.finditer(low)], None
     for k, word in enumerate(words):
         edits, weight = distance(word)
         if edits == 2:
             continue
         before, after = words[max(0, k - WINDOW):k], words[k + 1:k + 1 + WINDOW]
-        left, right = low[spans[max(0, k - WINDOW)][0]:spans[k][0]], low[spans[k][1]:spans[min(len(words) - 1, k + WINDOW)][1] + 1]
-        opened = any(left.count(q) % 2 for q in "\"'") or any(left.count(a) > left.count(b) for a, b in ("“”", "„“", "«»", "‘’", "‹›"))
-        in_quotes = opened and any(q in right for q in QUOTES)
-        if in_quotes or not SPEAKING.isdisjoint(before[-3:]):
+        if marks is None:
+            marks = _marks(low)
+        first, last = spans[max(0, k - WINDOW)][0] - 1, spans[min(len(words) - 1, k + WINDOW)][1] + 1
+        if _quoted(marks, *spans[k], first, last) or not SPEAKING.isdisjoint(before[-1:]):
             quoted += weight
         elif edits:
             soft += weight

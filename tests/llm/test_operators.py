@@ -161,6 +161,16 @@ def test_toxicity_held_out(spark):
     assert np.mean([s.predicted == t for t, s in marked if s.held_out]) > 0.9
 
 
+def test_toxicity_apostrophes_are_no_quotes():
+    a = toxicity.Automaton({"idiot": 5.0})
+    plain = ["don't be an idiot, it's over", "you're an idiot and that's it", "c'est un idiot, n'est-ce pas", "don’t be an idiot, it’s over", "the dogs' owner is an idiot, the cats' owner too",
+             "'tis an idiot, don't ask", 'he said "no" you idiot and "yes"', "that calls for a word you idiot", "the term is over idiot"]
+    for text in plain:
+        assert toxicity.features(text, a)[:2] == (5.0, 0.0), text
+    for text in ("don't print 'idiot', it's rude", "so 'you idiot' isn't nice", "“an idiot” they’d write", "„du Idiot“ steht da", "un « idiot » d'ici", "»Idiot« steht da", 'a "\'big idiot\'" there', "the word idiot"):
+        assert toxicity.features(text, a)[:2] == (0.0, 5.0), text
+
+
 def test_toxicity_small_table(spark, docs):
     """Ten toxic labels: insults of three and four documents are learnt, and every toxic document that holds one is caught."""
     labels = spark.read.parquet(f"{SF}/labels.parquet")
