@@ -4,13 +4,13 @@ Base kinds, leftmost and not overlapping per kind, positions in code points:
 ``assign`` (a value of 8+ characters given to a password-like name),
 ``access`` (``AKIA`` keys of 16+ characters), ``hex`` (32+ hex digits).
 
-The added kind ``random``: a run of 20+ key characters that holds a digit and
+The added kind ``random``: a run of 20+ key characters that holds a letter and
 reads like noise. A vocabulary of frequent strings spends few tokens on words
 and many on noise, so a run is taken as random when it has fewer than
-``RATIO`` characters per token. Known digests (hex of a digest's length,
-``sha256-`` and the like), UUIDs, plain numbers and names made of whole words
-and numbers are identifiers and are left out, as are runs that a base span
-covers already.
+``RATIO`` characters per token; a number between separators counts as one
+token with the separator before it. Known digests (hex of a digest's length,
+also named, as ``sha256-``) and UUIDs are identifiers and are left out, as are
+runs that a base span covers already. Words are left to the ratio.
 
 Rows: one result per input row; null and empty texts have no spans; repeated
 rows repeat. Only ``doc_id`` and ``text`` are read.
@@ -19,7 +19,9 @@ rows repeat. Only ``doc_id`` and ``text`` are read.
 from __future__ import annotations
 
 import base64
+import bisect
 import functools
+import itertools
 import re
 from collections.abc import Callable, Iterator
 
@@ -39,12 +41,13 @@ HEX = re.compile("(?<![0-9a-f])[0-9a-f]{32,}")
 RUN = re.compile(rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{LENGTH},}}")
 #: Hex lengths of common digests (md5, sha1, sha224, sha256, sha384, sha512).
 DIGESTS = {32, 40, 56, 64, 96, 128}
+_DIGESTS = "|".join(f"[0-9a-f]{{{n}}}|[0-9A-F]{{{n}}}" for n in sorted(DIGESTS, reverse=True))
 _IDENTIFIER = re.compile(
-    "[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}"  # UUID
-    "|sha(?:1|224|256|384|512)[-_].+"  # named digests
-    "|[^A-Za-z]+|[^0-9]+"  # numbers, dates, words
-    "|(?:[A-Z]?[a-z]{2,}|[A-Z]{2,}|[0-9]{1,8}|[+/_=-])+")  # names built of words and numbers
-_HEX_ONLY = re.compile("[0-9a-f]+|[0-9A-F]+")
+    "(?<![A-Za-z0-9])(?:[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}"  # UUID
+    "|" + "|".join(f"sha{bits}[-_][A-Za-z0-9+/]{{{n}}}{pad}(?!=)" for bits, n, pad in ((1, 27, "="), (224, 38, "=="), (256, 43, "="), (384, 64, ""), (512, 86, "==")))
+    + f"|{_DIGESTS})(?![A-Za-z0-9])")
+_LETTER = re.compile("[A-Za-z]")
+_NUMBER = re.compile("(?:^|[+/_=-])[0-9]+(?![A-Za-z0-9])")
 
 
 def default_vocabulary() -> str:
@@ -63,10 +66,33 @@ def _encoding(path: str):
     return tiktoken.Encoding("scan", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def _is_random(run: str, encoding, ratio: float) -> bool:
-    if _IDENTIFIER.fullmatch(run) or (len(run) in DIGESTS and _HEX_ONLY.fullmatch(run)):
-        return False
-    return len(run) < ratio * len(encoding.encode_ordinary(run))
+def _noise(run: str, encoding, ratio: float) -> list[tuple[int, int]]:
+    """The random stretches of a run, without the identifiers in it."""
+    out, start = [], 0
+    for s, e in [m.span() for m in _IDENTIFIER.finditer(run)] + [(len(run), len(run))]:
+        if s - start >= LENGTH:
+            out += [(start + x, start + y) for x, y in _low(run[start:s], encoding, ratio)]
+        start = e
+    return out
+
+
+def _low(part: str, encoding, ratio: float) -> list[tuple[int, int]]:
+    """The stretches of ``part`` with a low ratio of characters to tokens."""
+    if not _LETTER.search(part):
+        return []
+    at = [0]
+    for token in encoding.encode_ordinary(part):
+        at.append(at[-1] + len(encoding.decode_single_token_bytes(token)))
+    cost = [1] * (len(at) - 1)
+    for m in _NUMBER.finditer(part):
+        i, j = bisect.bisect_left(at, m.start()), bisect.bisect_left(at, m.end())
+        cost[i + 1:j] = [0] * (j - i - 1)
+    spent = list(itertools.accumulate(cost, initial=0))
+    return _stretches(part, at, spent, ratio)
+
+
+def _stretches(part: str, at: list[int], spent: list[int], ratio: float) -> list[tuple[int, int]]:
+    return [(0, at[-1])] if at[-1] < ratio * spent[-1] else []
 
 
 def scan(text: str, encoding, ratio: float = RATIO) -> list[tuple[str, int, int]]:
@@ -77,8 +103,12 @@ def scan(text: str, encoding, ratio: float = RATIO) -> list[tuple[str, int, int]
     found += [("hex", m.start(), m.end()) for m in HEX.finditer(text)]
     base = found[:]
     for m in RUN.finditer(text):
-        if not any(s <= m.start() and m.end() <= e for _, s, e in base) and _is_random(m[0], encoding, ratio):
-            found.append(("random", m.start(), m.end()))
+        if any(s <= m.start() and m.end() <= e for _, s, e in base):
+            continue
+        for x, y in _noise(m[0], encoding, ratio):
+            x, y = m.start() + x, m.start() + y
+            if not any(s <= x and y <= e for _, s, e in base):
+                found.append(("random", x, y))
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0])))
 
 

@@ -136,6 +136,19 @@ def test_secret_kinds():
         assert kinds(plain) == []
 
 
+def test_secret_random_alphabets():
+    """Random base32, base36 and letter-only keys are found; words, dates and digests are not; long runs take no time."""
+    encoding, rng = secrets._encoding(secrets.default_vocabulary()), np.random.default_rng(3)
+    small, big, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    for letters in (big + "234567", small + digits, small + big):
+        keys = ["".join(rng.choice(list(letters), 32)) for _ in range(100)]
+        assert sum([k for k, *_ in secrets.scan(key, encoding)] == ["random"] for key in keys) >= 98
+    for plain in ("Donaudampfschifffahrtsgesellschaft", "backup_2024_01_02_03_04_05_full", "node_modules/react-dom/cjs/react-dom", "2024-01-02T03-04-05-123456",
+                  "sha256-47DEQpj8HBSa+/TImW+5JCeuQeRkm5NMpJWZG3hSuFU="):
+        assert secrets.scan(plain, encoding) == []
+    assert [x for x in secrets.scan("a" * 5000 + "1x1", encoding) if x[0] == "hex"] == [("hex", 0, 5001)]
+
+
 def test_quality_base_counts(spark, docs):
     for r in queries.op9_quality(spark, SF).collect():
         t = docs[r.doc_id]
