@@ -8,7 +8,8 @@ The added kind ``random``: a run of 20+ key characters that holds a letter and
 reads like noise. A vocabulary of frequent strings spends few tokens on words
 and many on noise, so a run is taken as random when it has fewer than
 ``RATIO`` characters per token; a number between separators counts as one
-token with the separator before it. Known digests (hex of a digest's length,
+token with the separator before it. Pieces between separators and windows of
+20 characters are tested like the whole run, and the low stretch is the span. Known digests (hex of a digest's length,
 also named, as ``sha256-``) and UUIDs are identifiers and are left out, as are
 runs that a base span covers already. Words are left to the ratio.
 
@@ -47,6 +48,7 @@ _IDENTIFIER = re.compile(
     "|" + "|".join(f"sha{bits}[-_][A-Za-z0-9+/]{{{n}}}{pad}(?!=)" for bits, n, pad in ((1, 27, "="), (224, 38, "=="), (256, 43, "="), (384, 64, ""), (512, 86, "==")))
     + f"|{_DIGESTS})(?![A-Za-z0-9])")
 _LETTER = re.compile("[A-Za-z]")
+_PIECE = re.compile(f"[A-Za-z0-9+]{{{LENGTH},}}")
 _NUMBER = re.compile("(?:^|[+/_=-])[0-9]+(?![A-Za-z0-9])")
 
 
@@ -92,7 +94,46 @@ def _low(part: str, encoding, ratio: float) -> list[tuple[int, int]]:
 
 
 def _stretches(part: str, at: list[int], spent: list[int], ratio: float) -> list[tuple[int, int]]:
-    return [(0, at[-1])] if at[-1] < ratio * spent[-1] else []
+    """The whole part, its windows of ``LENGTH`` characters, and its pieces between separators, where the ratio is low."""
+    def low(s: int, e: int) -> bool:
+        return e - s < ratio * (spent[bisect.bisect_left(at, e)] - spent[bisect.bisect_left(at, s)])
+
+    pieces = [m.span() for m in _PIECE.finditer(part) if _LETTER.search(m[0]) and low(*m.span())]
+    found: list[list[int]] = []
+    if low(0, at[-1]):
+        found.append([0, len(at) - 1])
+    j = 0
+    for i in range(len(at) - 1 if not found else 0):
+        while j < len(at) and at[j] - at[i] < LENGTH:
+            j += 1
+        if j == len(at):
+            break
+        if at[j] - at[i] < ratio * (spent[j] - spent[i]) and _LETTER.search(part, at[i], at[j]):
+            if found and i < found[-1][1]:
+                found[-1][1] = j
+            else:
+                found.append([i, j])
+    whole = len(found) == 1 and found[0] == [0, len(at) - 1]
+    out: list[tuple[int, int]] = []
+    for i, j in found:
+        while not whole and at[i + 1] - at[i] > ratio and at[j] - at[i + 1] >= LENGTH:  # words at the ends stand around the key
+            i += 1
+        while not whole and at[j] - at[j - 1] > ratio and at[j - 1] - at[i] >= LENGTH:
+            j -= 1
+        s, e = at[i], at[j]
+        within = [x for x in pieces if x[0] < e and s < x[1]]
+        if within:  # up to the piece's ends, and beyond them only where that is noise too
+            s = within[0][0] if within[0][0] < s or not low(s, within[0][0]) else s
+            e = within[-1][1] if within[-1][1] > e or not low(within[-1][1], e) else e
+        out.append((s, e))
+    out += [x for x in pieces if not any(s < x[1] and x[0] < e for s, e in out)]
+    merged: list[tuple[int, int]] = []
+    for s, e in sorted(out):
+        if merged and s < merged[-1][1]:
+            first, last = merged.pop()
+            s, e = first, max(e, last)
+        merged.append((s, e))
+    return merged
 
 
 def scan(text: str, encoding, ratio: float = RATIO) -> list[tuple[str, int, int]]:

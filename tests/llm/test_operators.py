@@ -149,6 +149,17 @@ def test_secret_random_alphabets():
     assert [x for x in secrets.scan("a" * 5000 + "1x1", encoding) if x[0] == "hex"] == [("hex", 0, 5001)]
 
 
+def test_secret_random_behind_words():
+    """Words in front of a key, in one run with it, do not hide it, and the span is the key's, but for a few characters."""
+    encoding, rng = secrets._encoding(secrets.default_vocabulary()), np.random.default_rng(4)
+    letters = list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+    for front in ("/home/service/config/production/credentials/", "access_key_for_production_environment=", "/download/shared/documents/archive/", "/api/v2/", "sha256-", "sha1_"):
+        for _ in range(50):
+            key = "".join(rng.choice(letters, 32))
+            spans = [(s, e) for k, s, e in secrets.scan(front + key + "/file/names/of/things", encoding) if k == "random"]
+            assert any(abs(s - len(front)) <= 8 and abs(e - len(front) - 32) <= 8 for s, e in spans), (front, key, spans)
+
+
 def test_quality_base_counts(spark, docs):
     for r in queries.op9_quality(spark, SF).collect():
         t = docs[r.doc_id]
