@@ -28,14 +28,24 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
-def staged(df: DataFrame) -> DataFrame:
+def staged(df: DataFrame, compression: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Later readers survive a lost executor without recomputing what led here.
     Unlike ``checkpoint()`` this evaluates the plan once and keeps the columns
-    prunable.
+    prunable. ``compression``: a Parquet codec other than the session's.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(table: DataFrame) -> None:
+    """Remove the files of a table that ``staged`` returned and that nothing reads any more."""
+    jvm = table.sparkSession._jvm
+    conf = table.sparkSession._jsc.hadoopConfiguration()
+    for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        if "/llm/" in folder:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
