@@ -35,6 +35,7 @@ returned are 64-bit integers. Other columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -283,6 +284,11 @@ def compress(vectors: DataFrame, vector: str = "embedding", label: str = "label"
     return state, books.entries
 
 
+def digest(books: np.ndarray) -> str:
+    """SHA-256 of all components by part, entry and position, in decimal, comma-joined."""
+    return hashlib.sha256(",".join(map(str, books.reshape(-1).tolist())).encode()).hexdigest()
+
+
 def label_errors(coded: DataFrame) -> DataFrame:
     """``coded`` with ``label_error``, the errors summed over equal labels (nulls together)."""
     sums = coded.groupBy(F.col("label").alias("of_label")).agg(F.sum("error").alias("label_error"))
