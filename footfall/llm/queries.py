@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import alignment, bpe, fingerprints, lines, mixing, near_dedup, quality, repeats, secrets, sharding, toxicity, vector_codes
+from footfall.llm import alignment, bpe, fingerprints, kernel_quality, lines, mixing, near_dedup, quality, repeats, secrets, sharding, toxicity, vector_codes
 from footfall.llm.common import documents
 
 
@@ -72,6 +72,12 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compared(documents(spark, sf_dir))
 
 
+def op11_kernel_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = kernel_quality.rate(documents(spark, sf_dir), _labels(spark, sf_dir))
+    return scored.select("doc_id", kernel_quality.held_out(F.col("doc_id")).alias("held_out"), "score",
+                         F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded, books = vector_codes.compress(spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet"))
     return vector_codes.label_errors(coded).select("vec_id", "code", "error", "label_error", F.lit(vector_codes.digest(books)).alias("codebooks_sha256"))
@@ -82,7 +88,7 @@ def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_near_dedup, op3_bpe, op4_repeats, op5_mixing, op6_line_dedup,
-                                   op7_toxicity, op8_sharding, op9_quality, op10_fingerprints, op12_vector_codes, op13_alignment)}
+                                   op7_toxicity, op8_sharding, op9_quality, op10_fingerprints, op11_kernel_quality, op12_vector_codes, op13_alignment)}
 
 _WORDS = r"length(regexp_replace(regexp_replace(' ' || coalesce(text, ''), '[^\x20\x09-\x0D]+', 'w', 'g'), '[\x20\x09-\x0D]+', '', 'g'))"
 
