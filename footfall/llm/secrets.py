@@ -121,12 +121,13 @@ def _stretches(part: str, at: list[int], spent: list[int], ratio: float) -> list
         while not whole and at[j] - at[j - 1] > ratio and at[j - 1] - at[i] >= LENGTH:
             j -= 1
         s, e = at[i], at[j]
-        within = [x for x in pieces if x[0] < e and s < x[1]]
+        within = pieces[bisect.bisect_right(pieces, s, key=lambda x: x[1]):bisect.bisect_left(pieces, e, key=lambda x: x[0])]
         if within:  # up to the piece's ends, and beyond them only where that is noise too
             s = within[0][0] if within[0][0] < s or not low(s, within[0][0]) else s
             e = within[-1][1] if within[-1][1] > e or not low(within[-1][1], e) else e
         out.append((s, e))
-    out += [x for x in pieces if not any(s < x[1] and x[0] < e for s, e in out)]
+    starts, reach = _reach(out)
+    out += [x for x in pieces if reach[bisect.bisect_left(starts, x[1])] <= x[0]]
     merged: list[tuple[int, int]] = []
     for s, e in sorted(out):
         if merged and s < merged[-1][1]:
@@ -136,19 +137,25 @@ def _stretches(part: str, at: list[int], spent: list[int], ratio: float) -> list
     return merged
 
 
+def _reach(spans: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
+    """The sorted starts of spans, and the largest end among the first 0, 1, 2, ... of them."""
+    spans = sorted(spans)
+    return [s for s, _ in spans], list(itertools.accumulate((e for _, e in spans), max, initial=-1))
+
+
 def scan(text: str, encoding, ratio: float = RATIO) -> list[tuple[str, int, int]]:
     """Spans ``(kind, start, end)`` of one text, by start, then kind as listed."""
     found = [("assign", m.start(), m.end()) for m in ASSIGN.finditer(text) if len(m[1]) >= 8]
     if "AKIA" in text:
         found += [("access", m.start(), m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 16]
     found += [("hex", m.start(), m.end()) for m in HEX.finditer(text)]
-    base = found[:]
+    starts, reach = _reach([(s, e) for _, s, e in found])
     for m in RUN.finditer(text):
-        if any(s <= m.start() and m.end() <= e for _, s, e in base):
+        if reach[bisect.bisect_right(starts, m.start())] >= m.end():
             continue
         for x, y in _noise(m[0], encoding, ratio):
             x, y = m.start() + x, m.start() + y
-            if not any(s <= x and y <= e for _, s, e in base):
+            if reach[bisect.bisect_right(starts, x)] < y:
                 found.append(("random", x, y))
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0])))
 
