@@ -41,6 +41,17 @@ def staged(df: DataFrame, compression: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(table: DataFrame, *names: str) -> list[str]:
+    """``names``, with underscores before those that ``table`` has."""
+    held = {c.lower() for c in table.columns}
+    out = []
+    for name in names:
+        while name.lower() in held:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def discard(table: DataFrame) -> None:
     """Remove the files of a table that ``staged`` returned and that nothing reads any more."""
     jvm = table.sparkSession._jvm

@@ -20,10 +20,14 @@ How the work is spread:
   copies of one text do not meet;
 * verification reads full sets, of the texts in question only.
 
-Rows: one result per input row. Rows with a null ``doc_id`` take no part in
-linking (null component, kept). Repeated rows share their class. Null or
-empty texts have 0 shingles, are their own component and are kept. Extra
-columns are ignored; only ``doc_id`` and ``text`` are read.
+Rows: one result per input row. Classes are named by their sets, not by ids:
+two texts of one ``doc_id`` are two nodes and may lie in different components,
+and rows without ``doc_id`` link like others. ``component_id`` is the smallest
+id of a component (null where none of its rows has one); ``kept`` says whether
+it is the row's own id, so of rows that repeat an id and a text all are kept or
+none. ``one_of_each`` decides by row instead. Null or empty texts have 0
+shingles, are their own component and are kept. Extra columns are ignored;
+only ``doc_id`` and ``text`` are read.
 """
 
 from __future__ import annotations
@@ -33,15 +37,16 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.common import staged
+from footfall.llm.common import staged, unused
 from footfall.llm.components import components
 from footfall.llm.textkit import LOWER, Block, RollingHash, U, blocks, grams, mix64, words
 
 BANDS, ROWS = 40, 6  # a pair of similarity 0.8 shares no band with probability 5e-6, one of 0.2 some with 3e-3
 FREQUENCIES = 1 << 19
+CROWD = 256  # sets that may meet under one shingle alone
 ORDERS = 8  # random orders by which buckets choose leaders
 _HASH = RollingHash(11)
 _CHUNK = 1 << 17  # elements whose permutations are held at once
@@ -111,10 +116,10 @@ def _describe(n: int, number_of_bands: int, rows: int) -> Callable:
                 size = np.array([len(s) for s in sets], dtype=np.int64)
                 offsets = np.concatenate([[0], np.cumsum(np.where(size > 0, number_of_bands, 0))]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
-                    ids.slice(block.lo, block.hi - block.lo), pa.array(size),
+                    ids.slice(block.lo, block.hi - block.lo), batch.column(2).slice(block.lo, block.hi - block.lo), pa.array(size),
                     pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[size > 0].reshape(-1).view(np.int64))),
-                ], names=["doc_id", "n_shingles", "digest", "bands"])
+                ], names=["doc_id", "text_hash", "n_shingles", "digest", "bands"])
     return run
 
 
@@ -189,47 +194,102 @@ def _sized(percent: int) -> F.Column:
     return 100 * F.least("u_size", "v_size") >= percent * F.greatest("u_size", "v_size")
 
 
-def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``; see the module's text."""
-    described = staged(docs.select("doc_id", "text").mapInArrow(
-        _describe(n_words, bands, rows), "doc_id bigint, n_shingles bigint, digest binary, bands array<bigint>"))
-    real = described.where("n_shingles > 0 and doc_id is not null")
-    classes = staged(real.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("size"),
-                                                F.first("bands").alias("bands")))
-    members = classes.select(F.explode("bands").alias("bucket"), "node", "size")
+def _clustered(docs: DataFrame, n_words: int, percent: int, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:
+    """Every row as ``doc_id, text_hash, n_shingles, digest``, and every set as ``digest, root`` (its component's name)."""
+    texts = docs.select(F.col("doc_id").cast("bigint"), "text", F.xxhash64("text").alias("text_hash"))
+    described = staged(texts.mapInArrow(
+        _describe(n_words, bands, rows), "doc_id bigint, text_hash bigint, n_shingles bigint, digest binary, bands array<bigint>"))
+    # A class is read again through one of its rows: one with an id, where there is one.
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    classes = staged(described.where("n_shingles > 0").groupBy("digest")
+                     .agg(F.min(row).alias("row"), F.first("n_shingles").alias("size"), F.first("bands").alias("bands"))
+                     .withColumn("node", F.monotonically_increasing_id()))
+    members = classes.select(F.explode("bands").alias("bucket"), "node", "size", "digest")
     order = F.pmod(F.col("bucket"), F.lit(ORDERS))
     chosen = (members.groupBy("bucket")
-              .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64(order, "node").alias("h"), "node", "size")).alias("x"))
+              .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64(order, "digest").alias("h"), "node", "size")).alias("x"))
               .where("n > 1").select("bucket", F.col("x.node").alias("u"), F.col("x.size").alias("u_size")))
     # Only buckets that hold two classes matter from here on.
-    shared = staged(members.join(chosen, "bucket").select("bucket", "node", "size", "u", "u_size"))
+    shared = staged(members.drop("digest").join(chosen, "bucket").select("bucket", "node", "size", "u", "u_size"))
     first = staged(shared.where("u <> node").select("u", "u_size", F.col("node").alias("v"), F.col("size").alias("v_size"))
                    .where(_sized(percent)).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
 
-    involved = shared.select(F.col("node").alias("doc_id")).distinct()
-    wanted = docs.select("doc_id", "text").join(involved, "doc_id", "left_semi")
-    sets = staged(wanted.mapInArrow(_as_sets(n_words), "node bigint, members binary"))
+    involved = (classes.join(shared.select("node").distinct(), "node", "left_semi")
+                .select("node", F.col("row.doc_id").alias("row_id"), F.col("row.text_hash").alias("row_hash")))
+    wanted = texts.join(involved, (F.col("text_hash") == F.col("row_hash")) & F.col("doc_id").eqNullSafe(F.col("row_id")))
+    # A row that stands many times is read as often, but its set counts once.
+    sets = staged(wanted.select("node", "text").mapInArrow(_as_sets(n_words), "node bigint, members binary")
+                  .groupBy("node").agg(F.first("members").alias("members")))
     links = staged(_verified(first, sets, percent))
     found = components(links)
 
     # Second pass: members of buckets that still hold different components, by their rarest shingles.
     told = (shared.join(found, "node", "left").select("bucket", "node", "size", F.coalesce("component", "node").alias("part")))
     split = told.groupBy("bucket").agg(F.min("part").alias("a"), F.max("part").alias("z")).where("a <> z").select("bucket")
-    open_ = staged(told.join(split, "bucket", "left_semi").select("node", "size", "part").distinct())
+    open_buckets = staged(told.join(split, "bucket", "left_semi"))
+    open_ = open_buckets.select("node", "size", "part").distinct()
     kept = staged(sets.join(open_, "node").select("node", "size", "part", "members"))
     rare = staged(kept.mapInArrow(_rarest(percent, _frequencies(kept)), "token bigint, node bigint, size bigint, part bigint, place bigint"))
-    sides = [rare.select("token", *[F.col(c).alias(f"{side}_{c}") for c in ("node", "size", "part", "place")]) for side in "uv"]
+    rare = _keyed(rare, open_buckets.select("node", "bucket"))
+    sides = [rare.select("key", *[F.col(c).alias(f"{side}_{c}") for c in ("node", "size", "part", "place")]) for side in "uv"]
     # The first shingle that two sets share, in the common order, has all others behind it in both.
     enough = F.expr(f"least(u_size - u_place, v_size - v_place) * {100 + percent} >= {percent} * (u_size + v_size)")
-    rest = (sides[0].join(sides[1], "token").where((F.col("u_node") < F.col("v_node")) & (F.col("u_part") != F.col("v_part")) & _sized(percent) & enough)
+    rest = (sides[0].join(sides[1], "key").where((F.col("u_node") < F.col("v_node")) & (F.col("u_part") != F.col("v_part")) & _sized(percent) & enough)
             .select(F.col("u_node").alias("u"), F.col("v_node").alias("v")).distinct().join(first, ["u", "v"], "left_anti"))
     more = staged(_verified(rest, sets, percent))
     if not more.isEmpty():
         found = components(links.unionByName(more))
+    return described.drop("bands"), classes.join(found, "node", "left").select("digest", F.coalesce("component", "node").alias("root"), F.col("row.doc_id").alias("first_id"))
+
+
+def _keyed(rare: DataFrame, buckets: DataFrame) -> DataFrame:
+    """``rare`` with the ``key`` under which sets meet: the shingle, or, where over ``CROWD`` sets hold it, shingle and bucket.
+
+    Similar sets share a bucket (but for the pairs that share no band at all), so sets that have a
+    crowded shingle in common and nothing else need not meet.
+    """
+    crowded = rare.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWD).select("token")
+    crowded = staged(crowded)
+    few = rare.join(crowded, "token", "left_anti").withColumn("key", F.xxhash64("token"))
+    many = rare.join(crowded, "token").join(buckets, "node").withColumn("key", F.xxhash64("token", "bucket"))
+    return few.drop("token").unionByName(many.drop("token", "bucket"))
+
 
-    named = (classes.select("digest", "node").join(found, "node", "left")
-             .select("digest", F.coalesce("component", "node").alias("component")))
-    return (described.select("doc_id", "n_shingles", F.when(F.expr("n_shingles > 0 and doc_id is not null"), F.col("digest")).alias("digest"))
-            .join(named, "digest", "left")
-            .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``; see the module's text."""
+    described, classes = _clustered(docs, n_words, percent, bands, rows)
+    least = classes.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    named = classes.join(least, "root").select("digest", "component_id", F.lit(True).alias("real"))
+    return (described.withColumn("digest", F.when(F.col("n_shingles") > 0, F.col("digest"))).join(named, "digest", "left")
+            .select("doc_id", "n_shingles", F.when(F.col("real"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
+
+
+def one_of_each(docs: DataFrame, n_words: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """The rows of ``docs`` without all but one row of each component, in the columns of ``docs``.
+
+    The row that stays has the smallest id of its component (rows without id come last), of several
+    texts of that id the one with the smaller hash, and of rows that repeat both an arbitrary one. Rows
+    whose text has no words all stay.
+    """
+    described, classes = _clustered(docs, n_words, percent, bands, rows)
+    taken = unused(docs, "row_id", "row_hash", "copies")
+    at = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    rooted = described.where("n_shingles > 0").groupBy("digest", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).join(classes.select("digest", "root"), "digest")
+    first = rooted.groupBy("root").agg(F.min(at).alias("first"))
+    judged = (rooted.join(first, "root").withColumn("stays", at == F.col("first")).where("not stays or n > 1")
+              .select(F.col("doc_id").alias(taken[0]), F.col("text_hash").alias(taken[1]), F.when(F.col("stays"), F.col("n")).otherwise(0).alias(taken[2])))
+    own = F.col("doc_id").cast("bigint").eqNullSafe(F.col(taken[0])) & (F.xxhash64("text") == F.col(taken[1]))
+    met = docs.join(staged(judged), own, "left")
+    # Rows that repeat both id and text are told apart by a number among themselves; there are none in most tables.
+    own_columns = [F.col(f"`{c}`") for c in docs.columns]
+    single = met.where(F.col(taken[2]).isNull()).select(*own_columns)
+    again = met.where(F.col(taken[2]) > 0).select(*own_columns)
+    return single.unionByName(_one_row_each(again))
+
+
+def _one_row_each(rows: DataFrame) -> DataFrame:
+    """One of the rows of every (doc_id, text)."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
+    kept = rows.groupBy(F.col("doc_id").alias("a"), F.col("text").alias("b")).agg(F.first(whole).alias("c"))
+    return kept.select("c.*")
