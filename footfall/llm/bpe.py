@@ -35,9 +35,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import normalizers
 
 from footfall.llm.textkit import blocks
 
+_NFC = normalizers.NFC()
+
 CACHE = 1 << 19  # pre-tokens remembered per worker
 _CHUNK = 1 << 16  # ids decoded at once
 
@@ -219,7 +222,8 @@ class Tokenizer:
             if k % 2:
                 out.append(part)
                 continue
-            part = unicodedata.normalize("NFC", part)
+            if not unicodedata.is_normalized("NFC", part):
+                part = _NFC.normalize_str(part)  # its tables are older: marks that came later keep their place
             if _BEYOND.search(part):
                 out += self.wide.findall(part.translate(LOWER_CASE).lower())
             else:
