@@ -6,10 +6,10 @@ documents loses its lines everywhere but in the largest doc_id that holds it.
 
 Keys are hashed to 128 bits and leave the text behind. The rows (hash, slice,
 doc_id, position) are range-partitioned by hash and slice with a secondary sort
-by document and position; ``slice`` is one of ``SLICES`` parts of the
-documents, so a line that a third of all documents hold spreads over many
-tasks. A stream over each sorted group marks the first document and how many
-there are; the slices' summaries (at most ``SLICES`` rows a key) decide.
+by document and position; ``slice`` is one of ``slices`` parts of the
+documents (a parameter, thousands on a large cluster), so a line that a third
+of all documents hold spreads over as many tasks. A stream over each sorted group marks the first document and how many
+there are; the slices' summaries (at most ``slices`` rows a key) decide.
 Dropped positions return as sparse bitmaps, 64 lines a word, and are applied
 to each text where it stands.
 
@@ -26,12 +26,12 @@ from pyspark.sql import functions as F
 
 from footfall.llm.common import staged
 
-LEAST, MIN_DOCS, SLICES = 20, 3, 64
+LEAST, MIN_DOCS, SLICES = 20, 3, 1024
 BLANK = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def keep_bitmaps(docs: DataFrame, least: int = LEAST, min_docs: int = MIN_DOCS) -> DataFrame:
+def keep_bitmaps(docs: DataFrame, least: int = LEAST, min_docs: int = MIN_DOCS, slices: int = SLICES) -> DataFrame:
     """``id, text_hash, dropped``: a map from word number to 64 flags, for the texts that lose lines."""
     lines = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("text_hash"),
                         F.posexplode(F.split("text", "\n")).alias("pos", "line"))
@@ -39,7 +39,7 @@ def keep_bitmaps(docs: DataFrame, least: int = LEAST, min_docs: int = MIN_DOCS)
     keyed = trimmed.select("id", "text_hash", "pos", F.translate("line", UPPER, LOWER).alias("key"))
     # Written once: sampling the range bounds would otherwise split all texts a second time.
     rows = (staged(keyed.select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(29), "key").alias("h2"),
-                                F.pmod(F.xxhash64("id"), F.lit(SLICES)).cast("int").alias("slice"), "id", "text_hash", "pos"))
+                                F.pmod(F.xxhash64("id"), F.lit(slices)).cast("int").alias("slice"), "id", "text_hash", "pos"))
             .repartitionByRange("h1", "h2", "slice").sortWithinPartitions("h1", "h2", "slice", F.desc_nulls_last("id"), "pos"))
     group = Window.partitionBy("h1", "h2", "slice").orderBy(F.desc_nulls_last("id"))
     streamed = (rows.withColumn("nth", F.dense_rank().over(group))
@@ -53,9 +53,9 @@ def keep_bitmaps(docs: DataFrame, least: int = LEAST, min_docs: int = MIN_DOCS)
             .agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("dropped")))
 
 
-def dedup_lines(docs: DataFrame, least: int = LEAST, min_docs: int = MIN_DOCS) -> DataFrame:
+def dedup_lines(docs: DataFrame, least: int = LEAST, min_docs: int = MIN_DOCS, slices: int = SLICES) -> DataFrame:
     """The columns of ``docs`` (text without its dropped lines) under the struct ``doc``, with ``n_lines`` and ``n_dropped``."""
-    maps = (keep_bitmaps(docs, least, min_docs)
+    maps = (keep_bitmaps(docs, least, min_docs, slices)
             .select(F.struct("id", "text_hash").alias("m_key"), "dropped"))
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")).withColumn("text", F.coalesce("doc.text", F.lit("")))
     joined = own.join(maps, F.col("doc.doc_id").eqNullSafe(F.col("m_key.id")) & (F.xxhash64("doc.text") == F.col("m_key.text_hash")), "left")
