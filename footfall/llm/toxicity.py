@@ -97,6 +97,7 @@ class Automaton:
     def _mark(self, terms: list[str], fuzzy: int) -> None:
         for term in terms:
             node = 0
+            self.soft[0] |= len(term) >= fuzzy
             for c in term if len(term) >= fuzzy else "":
                 node = self.children[node][c]
                 self.soft[node] = True
@@ -116,8 +117,8 @@ class Automaton:
             if c in self.children[node]:
                 out.add((self.children[node][c], spent))
             if not spent:
-                if node and self.soft[node]:
-                    out.add((node, 1))  # an extra letter, after the first
+                if self.soft[node]:
+                    out.add((node, 1))  # an extra letter
                 out |= {(child, 1) for child in self.children[node].values() if self.soft[child]}
         return self._state({(n, e) for n, e in out if not e or self.soft[n]})
 
