@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from footfall.llm.common import staged
 
 SAMPLES = 24
-_DOUBLINGS = 20
+_DOUBLINGS = 30  # an array has fewer than 2**31 words, so no weight is beyond 31
 
 
 def _uniform(bits: Column, shift: int) -> Column:
