@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from footfall.llm.common import staged
+from footfall.llm.common import staged, unused
 
 WEIGHTS = (3, 1, 2)
 SHARE, MOST = 1.5, 2
@@ -99,6 +99,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
 
 def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
     """The rows of ``docs`` that the mix takes, in its own columns; those taken twice stand twice."""
-    copies = mix(docs, weights, share, most).where("copies > 0").select(F.col("doc_id").alias("m_id"), F.col("source").alias("m_source"), "copies").distinct()
-    chosen = docs.join(copies, F.col("doc_id").eqNullSafe(F.col("m_id")) & F.col("source").eqNullSafe(F.col("m_source")))
-    return chosen.withColumn("m_copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*[docs[c] for c in docs.columns])
+    of, source, copies, nth = unused(docs, "m_id", "m_source", "copies", "m_copy")
+    taken = (mix(docs, weights, share, most).where("copies > 0")
+             .select(F.col("doc_id").alias(of), F.col("source").alias(source), F.col("copies").alias(copies)).distinct())
+    chosen = docs.join(taken, F.col("doc_id").eqNullSafe(F.col(of)) & F.col("source").eqNullSafe(F.col(source)))
+    return chosen.withColumn(nth, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*[F.col(f"`{c}`") for c in docs.columns])
