@@ -23,7 +23,8 @@ def awkward(spark: SparkSession) -> DataFrame:
     df = spark.createDataFrame(ROWS, "doc_id bigint, text string, lang string, source string, n_chars bigint")
     from pyspark.sql import functions as F
 
-    for name in ("size", "node", "component_id", "kept", "pos", "bucket", "shard", "slot", "spans", "u", "v", "hash", "key", "line", "target"):
+    for name in ("size", "node", "component_id", "kept", "pos", "bucket", "shard", "slot", "spans", "u", "v", "hash", "key", "line", "target",
+                 "n_dropped", "n_lines", "m_id", "m_source", "m_copy", "copies", "doc", "row_id", "row_hash", "text_hash", "digest", "root", "first", "score"):
         df = df.withColumn(name, F.lit("clash"))
     return df
 

@@ -299,3 +299,106 @@ def test_awkward_rows(spark, name):
 def test_repeated_rows_lose_everything(spark):
     got = repeats.remove_repeats(awkward(spark)).where("n_bytes >= 1000").collect()
     assert len(got) == 2 and all(r.n_removed >= r.n_bytes - 204 for r in got)
+
+
+def test_bpe_normalises_every_mark_like_the_library():
+    """Each combining mark alone and between two known ones, and random letters with two marks."""
+    import sys
+    import unicodedata
+
+    from tokenizers import Tokenizer
+
+    path = bpe.default_vocabulary()
+    library, own = Tokenizer.from_file(path), bpe.tokenizer(path)
+    marks = [chr(c) for c in range(sys.maxunicode + 1) if unicodedata.combining(chr(c))]
+    rng = np.random.default_rng(8)
+    texts = [f"x́{m}" for m in marks] + [f"e{m}̣́" for m in marks] + [f"á{m}̣ b" for m in marks] + marks
+    texts += ["".join(("aeouy"[i % 5], marks[j], marks[k])) for i, j, k in rng.integers(0, len(marks), (5000, 3))]
+    wrong = [t for t, ids in zip(texts, own.encode(texts)) if np.frombuffer(ids, "<u4").tolist() != library.encode(t, add_special_tokens=False).ids]
+    assert not wrong, wrong[:5]
+
+
+def _plain_base(text: str) -> list[tuple]:
+    """The base kinds, one character after the other."""
+    out = []
+    for kind, pattern, least, group in (("assign", r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 8, 2),
+                                        ("access", "AKIA[A-Z0-9]+", 16, 0), ("hex", "[0-9a-f]+", 32, 0)):
+        lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+        at = 0
+        while m := re.compile(pattern).search(lower if kind == "assign" else text, at):
+            at = m.end()
+            if m.end(group) - m.start(group) >= least:
+                out.append((kind, m.start(), m.end()))
+    return sorted(out, key=lambda x: (x[1], secrets.KINDS.index(x[0])))
+
+
+def test_secret_base_spans_equal_plain_ones(spark):
+    sf = "/root/testdata/sf0.01"
+    got = {r.doc_id: r for r in queries.op1_secret_scan(spark, sf).collect()}
+    for key, text in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect():
+        base, r = _plain_base(text or ""), got[key]
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(k == kind for k, _, _ in base) for kind in ("assign", "access", "hex"))
+        assert r.base_sha256 == sha(",".join(f"{k}:{s}:{e}" for k, s, e in base).encode())
+    assert sum(r.n_assign + r.n_access + r.n_hex for r in got.values()) > 0
+
+
+def test_secret_scan_is_linear_in_a_text():
+    import time
+
+    digests = " ".join(hashlib.md5(str(i).encode()).hexdigest() for i in range(20_000))
+    begin = time.perf_counter()
+    spans = secrets.scan(digests, secrets._encoding(secrets.default_vocabulary()))
+    assert len(spans) == 20_000 and time.perf_counter() - begin < 3
+
+
+def test_sharding_sizes_and_checksums(spark, docs):
+    import zlib
+
+    got = queries.op8_sharding(spark, SF).collect()
+    assert {r.doc_id: (r.size, r.text_crc32) for r in got} == {k: (len(t.encode()) + 1, zlib.crc32(t.encode())) for k, t in docs.items()}
+    shards = Counter()
+    for r in got:
+        shards[r.shard] += r.size
+    whole, most = sum(shards.values()), max(r.size for r in got)
+    assert set(shards) == set(range(8)) and max(abs(n - whole / 8) for n in shards.values()) <= most
+
+
+def test_fingerprint_weights_have_no_cap(spark):
+    df = spark.createDataFrame([(1, "a " * (1 << 22) + "b b b"), (2, "c")], "doc_id bigint, text string")
+    rows = fingerprints.weighted_terms(df, ["doc_id"]).where("term is not null").collect()
+    assert sorted((r.doc_id, round(np.exp(r.ln_weight))) for r in rows) == [(1, 2), (1, 23), (2, 1)]
+
+
+def test_automaton_equals_plain_distance():
+    """Beginnings of random words at distance 1 from a term, by the automaton and by trying every edit."""
+    rng = np.random.default_rng(9)
+    terms = {"abcab": 1.0, "ccabb": 2.0, "bb": 3.0}
+    automaton = toxicity.Automaton(terms, fuzzy=5)
+
+    def distance(a: str, b: str) -> int:
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row, last = [i], row
+            for j, y in enumerate(b, 1):
+                row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+        return row[-1]
+
+    for _ in range(4000):
+        word = "".join("abc"[i] for i in rng.integers(0, 3, int(rng.integers(1, 9))))
+        near = [(min(distance(word[:k], t) for k in range(len(word) + 1)) if len(t) >= 5 else 0 if word.startswith(t) else 2, -w) for t, w in terms.items()]
+        best = min(near)
+        assert automaton._read(word) == ((best[0], -best[1]) if best[0] < 2 else (2, 0.0)), word
+
+
+def test_near_dedup_of_ids_that_repeat_or_lack(spark, monkeypatch):
+    """Two texts of one id are two nodes; rows without id link like others; crowded shingles meet by bucket."""
+    one, two = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    df = spark.createDataFrame([(None, one), (None, one), (3, one), (4, one), (4, two), (3, one), (9, two + " end"), (None, None)], "doc_id bigint, text string")
+    got = sorted(((r.doc_id, r.component_id, r.kept) for r in near_dedup.near_duplicates(df).collect()), key=str)
+    assert got == sorted([(None, 3, False), (None, 3, False), (3, 3, True), (4, 3, False), (4, 4, True), (3, 3, True), (9, 4, False), (None, None, True)], key=str)
+    rows = near_dedup.one_of_each(df).collect()
+    assert sorted((str(r.doc_id), r.text) for r in rows if r.text) == [("3", one), ("4", two)] and len(rows) == 3
+    lonely = spark.createDataFrame([(None, one), (None, one), (None, two)], "doc_id bigint, text string")
+    assert sorted(r.text for r in near_dedup.one_of_each(lonely).collect()) == [one, two]
+    monkeypatch.setattr(near_dedup, "CROWD", 1)
+    test_near_dedup_second_pass(spark)
