@@ -23,16 +23,15 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without the lines that others keep for it; ``n_chars`` follows the text."""
-    kept = lines.dedup_lines(docs).select("doc.*", "n_dropped")
-    if "n_chars" in docs.columns:
-        kept = kept.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return kept.select(*docs.columns)
+    own = {c: F.col(f"doc.`{c}`") for c in docs.columns}
+    if "n_chars" in own:
+        own["n_chars"] = F.when(F.col("n_dropped") > 0, F.char_length("doc.text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("doc.n_chars"))
+    return lines.dedup_lines(docs).select(*[column.alias(name) for name, column in own.items()])
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: shingles of five words, similarity 0.8 or more."""
-    dropped = near_dedup.near_duplicates(docs).where("not kept").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each near-duplicate group, with or without id: shingles of five words, similarity 0.8 or more."""
+    return near_dedup.one_of_each(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
