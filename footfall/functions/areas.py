@@ -99,20 +99,3 @@ def area_name(index: Column, areas=ZONE1_AREAS) -> Column:
         cond = index == F.lit(i + 1)
         expr = F.when(cond, F.lit(a.name)) if expr is None else expr.when(cond, F.lit(a.name))
     return expr
-
-
-def area_case_sql(lat: str = "latitude", lon: str = "longitude", areas=ZONE1_AREAS) -> str:
-    """The same classification as ANSI SQL text (used by the DuckDB oracle)."""
-    def bound(col, op, v):
-        return f"{col} {op} {v!r}e0" if "e" not in repr(v) else f"{col} {op} {v!r}"
-
-    parts = []
-    for a in reversed(areas):
-        conds = [
-            bound(lat, ">=" if a.lat_lo_closed else ">", a.lat_lo),
-            bound(lat, "<=" if a.lat_hi_closed else "<", a.lat_hi),
-            bound(lon, ">=" if a.lon_lo_closed else ">", a.lon_lo),
-            bound(lon, "<=" if a.lon_hi_closed else "<", a.lon_hi),
-        ]
-        parts.append(f"WHEN {' AND '.join(conds)} THEN '{a.name}'")
-    return "CASE " + " ".join(parts) + " END"

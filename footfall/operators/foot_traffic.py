@@ -41,11 +41,12 @@ def running_visitors(readings: DataFrame, zones=ZONES,
     and ``visitors`` (readings of the sensor so far), per zone and sensor in
     ``(arrival, id)`` order.
 
+    Readings without ``arrival`` are left out, as the windows leave them out.
     Batch: ``keyed_scan`` (a hot sensor is cut into time slices).
     Stream: a stateful processor keeps ``(first_ts, n)`` per sensor.
     """
     df = readings.where(F.col("zone").isin(list(zones))) if zones else readings
-    df = df.select("id", "arrival", "zone", "sensor_uid", "ts")
+    df = df.where(F.col("arrival").isNotNull()).select("id", "arrival", "zone", "sensor_uid", "ts")
     if df.isStreaming:
         from footfall.streaming.stateful import running_visitors_stream
         return running_visitors_stream(df)

@@ -132,7 +132,8 @@ def underperforming_categories(purchases: DataFrame, settings: Settings = DEFAUL
 def sale_sessions(purchases: DataFrame, settings: Settings = DEFAULTS,
                   pos: str | None = None) -> DataFrame:
     """Purchase sessions per seller: a purchase more than the gap after the
-    seller's previous purchase (by arrival) starts a new session.
+    seller's previous purchase (by arrival) starts a new session. Purchases
+    without ``arrival`` belong to no session.
 
     Stream: native ``session_window``. Batch: purchases in one bucket as wide
     as the gap are never more than a gap apart, so they are reduced to one row
@@ -141,7 +142,7 @@ def sale_sessions(purchases: DataFrame, settings: Settings = DEFAULTS,
     """
     from footfall.functions.timewin import _micros
 
-    df = _pos(purchases, pos)
+    df = _pos(purchases, pos).where(F.col("arrival").isNotNull())
     if df.isStreaming:
         return df.groupBy(F.session_window("arrival", settings.sale_session_gap).alias("session"), "seller_name").agg(
             F.count(F.lit(1)).alias("purchases"), F.sum("amount").cast("long").alias("amount"),

@@ -21,12 +21,14 @@ def customer_journey(readings: DataFrame, zone: int | None = 1, areas=ZONE1_AREA
                      settings: Settings = DEFAULTS) -> DataFrame:
     """Entries into shop areas per device: one row each time a device's
     reading is in an area other than the area of its previous in-area
-    reading. ``visit_no`` numbers the entries per device.
+    reading. ``visit_no`` numbers the entries per device. Readings without
+    ``arrival`` have no place in a journey and are left out.
 
     Batch: a keyed scan (balanced under a busy device) gives the previous
     area, a second one over the entries alone numbers them. Stream: a state processor per device keeps its
     last area and entry count."""
     df = readings if zone is None else readings.where(F.col("zone") == F.lit(zone))
+    df = df.where(F.col("arrival").isNotNull())
     if df.isStreaming:
         inside = classify_area(df, areas).where(F.col("area").isNotNull()).select(
             "mac", "arrival", "id", "area")

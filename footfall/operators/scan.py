@@ -19,7 +19,9 @@ a key into one task; here a key is cut into time slices:
 
 Nothing is written while the plan is built. The order columns must make the
 order total (end with a unique id), and the slice must not decrease along
-the order.
+the order. A row without a value in the first order column (its clock) has no
+place in the order and is left out, as windowed grouping leaves it out; null
+ids come before all others.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from footfall.functions.ordering import first_by, last_by
+from footfall.functions.ordering import ORDER_COLS, time_long_key
 from footfall.functions.timewin import _micros
 from footfall.settings import DEFAULTS
 
@@ -37,6 +39,13 @@ def time_slice(col: str, size: str) -> Column:
     return F.floor(F.unix_micros(F.col(col)) / F.lit(_micros(size))).cast("long")
 
 
+def scan_key(order: list[str]) -> Column:
+    """The order columns as one value; never null where the clock is not."""
+    if tuple(order) == ORDER_COLS:
+        return time_long_key("arrival", F.coalesce("id", F.lit(-(1 << 63)).cast("long")))
+    return F.struct(*[F.col(c) for c in order])
+
+
 def keyed_scan(df: DataFrame, keys, order, n: str | None = "n",
                first: dict | None = None, lag: dict | None = None,
                slices: Column | None = None) -> DataFrame:
@@ -54,12 +63,12 @@ def keyed_scan(df: DataFrame, keys, order, n: str | None = "n",
     lags = list(dict.fromkeys(lag.values()))
     if slices is None:
         slices = time_slice(order[0], DEFAULTS.scan_slice)
-    rows = df.withColumn("_slice", slices)
+    rows = df.where(F.col(order[0]).isNotNull()).withColumn("_slice", slices)
 
     per = rows.groupBy(*keys, "_slice").agg(
         F.count(F.lit(1)).alias("_count"),
-        *[first_by(c, *order).alias(f"_first_{c}") for c in firsts],
-        *[last_by(c, *order).alias(f"_last_{c}") for c in lags])
+        *[F.min_by(c, scan_key(order)).alias(f"_first_{c}") for c in firsts],
+        *[F.max_by(c, scan_key(order)).alias(f"_last_{c}") for c in lags])
     w = Window.partitionBy(*keys).orderBy("_slice")
     carry = per.select(
         *keys, "_slice", F.lit(0).alias("_row"),

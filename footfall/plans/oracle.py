@@ -9,7 +9,6 @@ skipped). Sums are cast back to BIGINT (DuckDB widens them to HUGEINT).
 from __future__ import annotations
 
 from footfall import settings as S
-from footfall.functions.areas import area_case_sql
 
 M10, M15, M20, M30 = 600_000_000, 900_000_000, 1_200_000_000, 1_800_000_000
 H2 = 7_200_000_000
@@ -29,7 +28,7 @@ def _readings(spread: bool = False) -> str:
          'M' || CAST(user_id % 20 AS VARCHAR) AS mac,
          CAST(40419373 + (event_id * 37) % 627 AS DOUBLE) / CAST(1000000 AS DOUBLE) AS latitude,
          CAST(-3705999 + (event_id * 53) % 925 AS DOUBLE) / CAST(1000000 AS DOUBLE) AS longitude,
-         CAST(epoch(date_trunc('day', ts)) AS BIGINT){extra} AS ts
+         CAST(epoch(date_trunc('day', ts)) AS BIGINT) + 60 * (user_id % 5){extra} AS ts
   FROM events)"""
 
 
@@ -60,7 +59,17 @@ def _doc_id(index: str, *parts: str) -> str:
     return f"sha256(concat_ws('|', {', '.join(items)}))"
 
 
-AREA = area_case_sql("latitude", "longitude")
+# Fixed values, written out here so that they do not come from the code under test.
+AREA = """CASE
+  WHEN latitude > 40.419890e0 AND latitude <= 40.419999e0 AND longitude > -3.705689e0 AND longitude <= -3.705075e0 THEN 'Zone1-Area3-Mango'
+  WHEN latitude > 40.419643e0 AND latitude <= 40.419890e0 AND longitude > -3.705689e0 AND longitude <= -3.705381e0 THEN 'Zone1-Area2-H&M'
+  WHEN latitude >= 40.419373e0 AND latitude < 40.419643e0 AND longitude >= -3.705999e0 AND longitude < -3.705689e0 THEN 'Zone1-Area1-Zara'
+  END"""
+OFFER = "'Up to 70% Off on Kids Wear at H&M'"
+SENDER = "'Mall Discounts'"
+NO_JAM = "'No sign of Traffic Jam at this moment'"
+REORDER = "'Item is below the System Quantity, needs REORDERING'"
+SUFFICIENT = "'Item Quantity is sufficient'"
 LAST = "(arrival, id)"
 
 # --- foot traffic --------------------------------------------------------------
@@ -142,18 +151,17 @@ CROWD = 2  # the test tables' crowd threshold (see catalog.TEST_SETTINGS)
 
 
 def _jam_label(col: str) -> str:
-    return (f"CASE WHEN {col} >= {CROWD} THEN {_q(S.OFFER_MESSAGE)} "
-            f"ELSE {_q(S.NO_JAM_TEXT)} END")
+    return (f"CASE WHEN {col} >= {CROWD} THEN {OFFER} "
+            f"ELSE {NO_JAM} END")
 
 
 def _stock_label(col: str) -> str:
-    return (f"CASE WHEN {col} < {S.STOCK_THRESHOLD} THEN {_q(S.REORDER_TEXT)} "
-            f"ELSE {_q(S.SUFFICIENT_TEXT)} END")
+    return f"CASE WHEN {col} < 30 THEN {REORDER} ELSE {SUFFICIENT} END"
 
 
 ALERTS = PROX + f""",
 alerts AS (
-  SELECT ws, ts, area, visitors, {_q(S.OFFER_MESSAGE)} AS message, {_q(S.OFFER_SENDER)} AS sender
+  SELECT ws, ts, area, visitors, {OFFER} AS message, {SENDER} AS sender
   FROM prox WHERE visitors >= {CROWD})"""
 
 # --- in-store ----------------------------------------------------------------------

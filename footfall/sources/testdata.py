@@ -4,8 +4,9 @@ Only ``events`` (event_id, ts, user_id, event_type, value, props) carries a
 clock at the needed grain, so both streams are derived from it. Each
 expression here has a twin in ``footfall.plans.oracle`` so that Spark and
 DuckDB see row-for-row identical inputs. Coordinates are integers divided by
-a double (no decimal literal), and the reading timestamp is cut to the day
-so that sensors of different zones share first timestamps.
+a double (no decimal literal). The reading timestamp is cut to the day and
+moved by a minute per group of two sensors, so that sensors of different
+zones share first timestamps and a zone has several of them.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ def readings_from_events(events: DataFrame, spread_ts: bool = False) -> DataFram
     timestamp, so one 30-minute window holds several timestamp keys
     (used for proximity / traffic-jam checks).
     """
-    ts = _day_seconds(F.col("ts"))
+    ts = _day_seconds(F.col("ts")) + F.lit(60) * (F.col("user_id") % 5)
     if spread_ts:
         ts = ts + F.lit(120) * (F.col("user_id") % 3)
     return events.select(

@@ -17,7 +17,8 @@ from footfall.operators import foot_traffic as ft
 from footfall.operators import instore, proximity
 from footfall.plans import documents as docs
 from footfall.settings import DEFAULTS, Settings
-from footfall.streaming.sinks import write_batch, write_documents
+from footfall.streaming import prefix
+from footfall.streaming.sinks import file_writer, write_batch, write_documents
 
 
 def with_clock(df: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
@@ -26,14 +27,24 @@ def with_clock(df: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
 
 
 def foot_traffic_documents(readings: DataFrame, settings: Settings = DEFAULTS) -> dict[str, DataFrame]:
+    """Documents per key, and the range documents behind them. Each of a stream's two is a read of its own;
+    ``start_foot_traffic`` writes both from one."""
     clocked = with_clock(readings, settings)
+    nested = ft._nested(settings)
+    if clocked.isStreaming and nested:
+        return _foot_traffic_split(prefix.foot_traffic_rows(clocked, settings), settings)
     running = ft.running_by_zone(clocked) if clocked.isStreaming else clocked
     out = {S.INDEX_FOOT_TRAFFIC: docs.foot_traffic_docs(ft.foot_traffic_as_coded(running, settings))}
-    if not clocked.isStreaming and ft._nested(settings):
+    if nested:
         out[f"{S.INDEX_FOOT_TRAFFIC}-ranges"] = docs.foot_traffic_factor_docs(ft.foot_traffic_factors(running, settings))
     return out
 
 
+def _foot_traffic_split(rows: DataFrame, settings: Settings) -> dict[str, DataFrame]:
+    return {S.INDEX_FOOT_TRAFFIC: docs.foot_traffic_docs(prefix.keys_of(rows, settings)),
+            f"{S.INDEX_FOOT_TRAFFIC}-ranges": docs.foot_traffic_factor_docs(prefix.ranges_of(rows, settings))}
+
+
 def proximity_documents(readings: DataFrame, settings: Settings = DEFAULTS,
                         threshold: int | None = None) -> dict[str, DataFrame]:
     prox = proximity.proximity_traffic_as_coded(with_clock(readings, settings), settings)
@@ -69,6 +80,26 @@ def _start_all(streams: dict[str, DataFrame], root: str | None, writer_for=None,
     return out
 
 
+def _start_split(rows: DataFrame, name: str, split, root: str | None, writer_for, trigger: dict | None,
+                 checkpoint_base: str | None, zone: str) -> dict[str, StreamingQuery]:
+    """One query that writes several indexes: ``split`` takes a micro-batch to its documents by index."""
+    rows.sparkSession.conf.set("spark.sql.session.timeZone", zone)
+    if writer_for is None and root is None:
+        raise ValueError("give a root folder or a writer")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()  # the micro-batch is worked out once, not once per index
+        try:
+            for index, documents in split(batch).items():
+                writer = writer_for(index) if writer_for else file_writer(root, index)
+                writer(documents, batch_id)
+        finally:
+            batch.unpersist()
+    query = name.replace("-", "_")
+    ck = f"{checkpoint_base.rstrip('/')}/{query}" if checkpoint_base else None
+    return {name: write_documents(rows, name, root=root, checkpoint=ck, writer=write, trigger=trigger, query_name=query)}
+
+
 def write_all(documents: dict[str, DataFrame], root: str) -> dict[str, str]:
     """Batch counterpart of the ``start_*`` functions: one folder per index."""
     return {index: write_batch(df, index, root) for index, df in documents.items()}
@@ -77,9 +108,13 @@ def write_all(documents: dict[str, DataFrame], root: str) -> dict[str, str]:
 def start_foot_traffic(readings: DataFrame, root: str | None = None, settings: Settings = DEFAULTS,
                        writer_for=None, trigger: dict | None = None,
                        checkpoint_base: str | None = None) -> dict[str, StreamingQuery]:
-    """``readings``: zone 1..3 reading streams unioned (``zone`` column set)."""
-    return _start_all(foot_traffic_documents(readings, settings), root, writer_for, trigger,
-                      checkpoint_base, settings.session_zone)
+    """``readings``: zone 1..3 reading streams unioned (``zone`` column set). One query reads them and writes
+    both indexes (two, if the join windows do not nest)."""
+    if not (readings.isStreaming and ft._nested(settings)):
+        return _start_all(foot_traffic_documents(readings, settings), root, writer_for, trigger,
+                          checkpoint_base, settings.session_zone)
+    return _start_split(prefix.foot_traffic_rows(with_clock(readings, settings), settings), S.INDEX_FOOT_TRAFFIC,
+                        lambda rows: _foot_traffic_split(rows, settings), root, writer_for, trigger, checkpoint_base, settings.session_zone)
 
 
 def start_proximity(readings: DataFrame, root: str | None = None, settings: Settings = DEFAULTS,

@@ -39,6 +39,12 @@ STATE_SCHEMA = T.StructType([
 ])
 
 
+def use_rocksdb(spark) -> None:
+    """State processors need this store; a session that names one keeps it."""
+    if "RocksDB" not in (spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") or ""):
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+
+
 class RunningCount(StatefulProcessor):
     def __init__(self, ttl_ms: int | None = None):
         self.ttl_ms = ttl_ms
@@ -74,9 +80,7 @@ class RunningCount(StatefulProcessor):
 
 
 def running_visitors_stream(readings: DataFrame, ttl_ms: int | None = None) -> DataFrame:
-    spark = readings.sparkSession
-    if "RocksDB" not in (spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") or ""):
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    use_rocksdb(readings.sparkSession)
     return readings.groupBy("zone", "sensor_uid").transformWithStateInPandas(
         statefulProcessor=RunningCount(ttl_ms),
         outputStructType=OUT_SCHEMA,
@@ -136,9 +140,7 @@ class JourneyTracker(StatefulProcessor):
 
 def journey_stream(inside: DataFrame, ttl_ms: int | None = None) -> DataFrame:
     """``inside``: in-area readings (mac, arrival, id, area) of a stream."""
-    spark = inside.sparkSession
-    if "RocksDB" not in (spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") or ""):
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    use_rocksdb(inside.sparkSession)
     return inside.groupBy("mac").transformWithStateInPandas(
         statefulProcessor=JourneyTracker(ttl_ms),
         outputStructType=JOURNEY_SCHEMA,

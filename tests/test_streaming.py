@@ -119,6 +119,66 @@ def test_foot_traffic_stream_equals_batch(spark, scratch):
     _same(got, batch)
 
 
+def test_foot_traffic_ranges_from_the_stream_expand_to_brute_force_pairs(spark, scratch):
+    """Rows of every window are spread over all files, so windows fill over several micro-batches."""
+    from collections import Counter
+    from types import SimpleNamespace
+
+    from conftest import SF001
+    from oracle_compare import duck
+    from test_fixtures import expand
+    from test_pair_list import PAIRS
+
+    r = table_readings(spark, SF001).where("zone < 4").select([f.name for f in READING.fields])
+    src = f"{scratch}/in"
+    # The watermark's delay keeps all windows open until the flush rows.
+    for k in range(4):
+        _append(r.where(F.col("id") % 4 == k), src)
+    for at in range(2):
+        flush = None
+        for z in (1, 2, 3):
+            f = _flush_rows(spark, READING, {"zone": z, "sensor_uid": "late", "ts": 5, "latitude": 0.0, "longitude": 0.0}).withColumn("id", F.col("id") + z + 10 * at)
+            flush = f if flush is None else flush.union(f)
+        _append(flush, src)
+    stream = stream_files(spark, src, READING, max_files_per_trigger=1)
+    patient = NOW.with_(watermark_delay="60 days")
+    queries = jobs.start_foot_traffic(stream, root=f"{scratch}/out", settings=patient, trigger={"availableNow": True}, checkpoint_base=f"{scratch}/ck")
+    assert len(queries) == 1
+    for q in queries.values():
+        q.awaitTermination(300)
+        assert q.exception() is None, q.exception()
+        assert len(q.recentProgress) >= 5
+    batch = jobs.foot_traffic_documents(r, NOW)
+    for index, want in batch.items():
+        _same(read_documents(spark, f"{scratch}/out", index).drop("batch"), want)
+    got = read_documents(spark, f"{scratch}/out", f"{S.INDEX_FOOT_TRAFFIC}-ranges").collect()
+    rows = [SimpleNamespace(window=SimpleNamespace(start=d.window_start * 1_000_000), timestamp=d.timestamp, zone=d.zone,
+                            join_window=SimpleNamespace(start=d.join_window_start), visitors_from=d.visitors_from, visitors_to=d.visitors_to) for d in got]
+    assert expand(rows) == Counter(duck(SF001).sql(PAIRS).fetchall())
+
+
+def test_readings_without_arrival_are_left_out_alike(spark, scratch):
+    """Batch and stream: the running count, the journey and the sessions."""
+    from footfall.operators import foot_traffic as ft
+    from footfall.operators import instore, journey
+
+    t = datetime(2024, 1, 1, 10)
+    rows = [(1, t, 1, "S1", "M1", None, 40.4195, -3.7058, 100), (2, None, 1, "S1", "M1", None, 40.4195, -3.7058, 200),
+            (3, t + timedelta(minutes=30), 1, "S1", "M1", None, 40.41975, -3.7055, 300)]
+    r = spark.createDataFrame(rows, READING)
+    got = ft.running_visitors(r)
+    assert sorted((x.id, x.first_ts, x.visitors) for x in got.collect()) == [(1, 100, 1), (3, 100, 2)]
+    assert [x.visit_no for x in journey.customer_journey(r).orderBy("visit_no").collect()] == [1, 2]
+    _append(r, f"{scratch}/in")
+    stream = jobs.with_clock(stream_files(spark, f"{scratch}/in", READING), NOW)
+    q = (ft.running_visitors(stream).writeStream.format("memory").queryName("s_null_clock").outputMode("append")
+         .option("checkpointLocation", f"{scratch}/ck").trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    _same(spark.table("s_null_clock").select(got.columns), got)
+    p = spark.createDataFrame([(1, t, "POS1", "s", 1, "Men", 1, "Cash", 5, "true", 0), (2, None, "POS1", "s", 1, "Men", 1, "Cash", 5, "true", 0)], PURCHASE)
+    assert [(x.purchases, x.session.start) for x in instore.sale_sessions(p).collect()] == [(1, t)]
+
+
 def test_replayed_batch_does_not_duplicate(spark, scratch):
     p = table_purchases(spark, SF0001).select([f.name for f in PURCHASE.fields])
     src = f"{scratch}/in"
