@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.operators import foot_traffic as ft
-from footfall.operators import instore, journey, proximity
+from footfall.operators import area_grid, instore, journey, proximity
 from footfall.plans import documents as docs
 from footfall.settings import DEFAULTS, Settings
-from footfall.sources.testdata import table_purchases, table_readings
+from footfall.sources.testdata import table_areas, table_purchases, table_readings
 
 TEST_SETTINGS: Settings = DEFAULTS.with_(crowd_threshold=2)
 
@@ -86,6 +86,11 @@ def q_classify_area(spark, sf_dir):
         "id", "zone", "latitude", "longitude", "area")
 
 
+def q_classify_by_table(spark, sf_dir):
+    """Every reading against an areas table of one box per order."""
+    return area_grid.classify_by_table(_readings(spark, sf_dir), table_areas(spark, sf_dir)).select("id", "latitude", "longitude", "area")
+
+
 def _prox(spark, sf_dir):
     return proximity.proximity_traffic_as_coded(_readings(spark, sf_dir, spread=True), TEST_SETTINGS)
 
@@ -214,6 +219,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "foot_traffic_factors": q_foot_traffic_factors,
     "foot_traffic_intended": q_foot_traffic_intended,
     "classify_area": q_classify_area,
+    "classify_by_table": q_classify_by_table,
     "proximity_traffic_as_coded": q_proximity_traffic_as_coded,
     "proximity_traffic_intended": q_proximity_traffic_intended,
     "traffic_jam_as_coded": q_traffic_jam_as_coded,

@@ -222,6 +222,21 @@ FROM dev GROUP BY ws""",
     "classify_area": f"""WITH {_readings()}
 SELECT id, zone, latitude, longitude, {AREA} AS area FROM readings""",
 
+    "classify_by_table": f"""WITH {_readings()},
+steps AS (
+  SELECT o_orderkey AS k, 40419373 + (o_orderkey * 17) % 627 AS lat, -3705999 + (o_orderkey * 29) % 925 AS lon,
+         CASE WHEN o_orderkey % 500 = 0 THEN 200 + o_orderkey % 7 ELSE o_orderkey % 6 END AS high,
+         CASE WHEN o_orderkey % 500 = 0 THEN 300 + o_orderkey % 11 ELSE o_orderkey % 9 END AS wide
+  FROM orders),
+boxes AS (
+  SELECT k, lat / 1e6 AS a, (lat + high) / 1e6 AS b, lon / 1e6 AS c, (lon + wide) / 1e6 AS d FROM steps),
+met AS (
+  SELECT r.id, max(k) AS k FROM readings r JOIN boxes ON latitude BETWEEN a AND b AND longitude BETWEEN c AND d
+  WHERE (k % 2 = 0 OR latitude > a) AND (k % 3 = 0 OR latitude < b) AND (k % 5 <> 0 OR longitude > c) AND (k % 7 <> 0 OR longitude < d)
+  GROUP BY r.id)
+SELECT id, latitude, longitude, CASE WHEN k IS NOT NULL THEN 'Shop' || CAST(k AS VARCHAR) END AS area
+FROM readings LEFT JOIN met USING (id)""",
+
     "proximity_traffic_as_coded": PROX + f"""
 SELECT {_win(M30)}, ts, area, visitors FROM prox""",
 

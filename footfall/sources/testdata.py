@@ -71,3 +71,21 @@ def table_readings(spark: SparkSession, sf_dir: str, spread_ts: bool = False) ->
 
 def table_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return purchases_from_events(read_table(spark, sf_dir, "events"))
+
+
+def areas_from_orders(orders: DataFrame) -> DataFrame:
+    """An areas table: one box per order, on the lattice that the readings' coordinates lie on, so that points
+    fall on edges. Most boxes are a few steps wide, every 500th several hundred; boxes overlap freely."""
+    k = F.col("o_orderkey")
+    degrees = lambda steps: steps.cast("double") / F.lit(1000000).cast("double")
+    lat, lon = F.lit(40419373) + (k * 17) % 627, F.lit(-3705999) + (k * 29) % 925
+    high = F.when(k % 500 == 0, 200 + k % 7).otherwise(k % 6)
+    wide = F.when(k % 500 == 0, 300 + k % 11).otherwise(k % 9)
+    return orders.select(
+        F.concat(F.lit("Shop"), k.cast("string")).alias("name"), k.cast("long").alias("position"),
+        degrees(lat).alias("lat_lo"), degrees(lat + high).alias("lat_hi"), degrees(lon).alias("lon_lo"), degrees(lon + wide).alias("lon_hi"),
+        (k % 2 == 0).alias("lat_lo_closed"), (k % 3 == 0).alias("lat_hi_closed"), (k % 5 != 0).alias("lon_lo_closed"), (k % 7 != 0).alias("lon_hi_closed"))
+
+
+def table_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return areas_from_orders(read_table(spark, sf_dir, "orders"))
