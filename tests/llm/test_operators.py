@@ -390,8 +390,8 @@ def test_automaton_equals_plain_distance():
         assert automaton._read(word) == ((best[0], -best[1]) if best[0] < 2 else (2, 0.0)), word
 
 
-def test_near_dedup_of_ids_that_repeat_or_lack(spark, monkeypatch):
-    """Two texts of one id are two nodes; rows without id link like others; crowded shingles meet by bucket."""
+def test_near_dedup_of_ids_that_repeat_or_lack(spark):
+    """Two texts of one id are two nodes; rows without id link like others."""
     one, two = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
     df = spark.createDataFrame([(None, one), (None, one), (3, one), (4, one), (4, two), (3, one), (9, two + " end"), (None, None)], "doc_id bigint, text string")
     got = sorted(((r.doc_id, r.component_id, r.kept) for r in near_dedup.near_duplicates(df).collect()), key=str)
@@ -400,5 +400,3 @@ def test_near_dedup_of_ids_that_repeat_or_lack(spark, monkeypatch):
     assert sorted((str(r.doc_id), r.text) for r in rows if r.text) == [("3", one), ("4", two)] and len(rows) == 3
     lonely = spark.createDataFrame([(None, one), (None, one), (None, two)], "doc_id bigint, text string")
     assert sorted(r.text for r in near_dedup.one_of_each(lonely).collect()) == [one, two]
-    monkeypatch.setattr(near_dedup, "CROWD", 1)
-    test_near_dedup_second_pass(spark)
