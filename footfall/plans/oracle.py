@@ -198,6 +198,9 @@ ORACLE: dict[str, str] = {
     "running_visitors": RUNNING + """
 SELECT id, zone, sensor_uid, ts, first_ts, visitors FROM running""",
 
+    "running_visitors_resumed": RUNNING + """
+SELECT id, zone, sensor_uid, ts, first_ts, visitors FROM running""",
+
     "foot_traffic_window_join_12": _j12_cte() + f"""
 SELECT {_win(M10)}, timestamp, readings_zone1, readings_zone2, documents FROM j12""",
 
