@@ -17,8 +17,9 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from footfall.functions import labels
 from footfall.operators import foot_traffic as ft
-from footfall.operators import area_grid, carry, instore, journey, proximity
+from footfall.operators import area_grid, carry, instore, journey, proximity, shared
 from footfall.plans import documents as docs
 from footfall.settings import DEFAULTS, Settings
 from footfall.sources.testdata import table_areas, table_purchases, table_readings
@@ -173,6 +174,21 @@ def q_sale_sessions(spark, sf_dir):
     return _micros(s, "first_arrival", "last_arrival")
 
 
+def q_instore_shared(spark, sf_dir):
+    """The four in-store results from one read and one aggregate, as rows of their ``kind``."""
+    facts = shared.instore_facts(_purchases(spark, sf_dir))
+    size = F.when(F.col("kind") == "sales", 1800).otherwise(900)
+    start = F.expr("slot div 1000000")
+    has = lambda *kinds: F.col("kind").isin(*kinds)
+    return facts.select(
+        "kind", start.alias("window_start"), (start + size).alias("window_end"), "key",
+        F.when(has("category", "payment"), F.col("n")).alias("count"),
+        F.when(has("category", "sales"), labels.epoch_text("last_ts", DEFAULTS)).alias("date"),
+        F.when(has("sales"), F.col("last_amount")).alias("total_sales"),
+        F.when(has("stock"), F.col("last_stock")).alias("stock_check"),
+        F.when(has("stock"), labels.stock_label("last_stock", DEFAULTS)).alias("observation"))
+
+
 def q_items_by_shop(spark, sf_dir):
     return instore.items_by_shop(_purchases(spark, sf_dir))
 
@@ -248,6 +264,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "most_used_payment_method": q_most_used_payment_method,
     "underperforming_categories": q_underperforming_categories,
     "sale_sessions": q_sale_sessions,
+    "instore_shared": q_instore_shared,
     "items_by_shop": q_items_by_shop,
     "customer_journey": q_customer_journey,
     "visit_history": q_visit_history,

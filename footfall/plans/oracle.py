@@ -310,6 +310,22 @@ SELECT min(arrival_us) AS session_start, max(arrival_us) + {M10} AS session_end,
        min(arrival_us) AS first_arrival, max(arrival_us) AS last_arrival
 FROM s GROUP BY seller_name, sid""",
 
+    "instore_shared": f"""WITH {PURCHASES},
+p15 AS (SELECT *, arrival_us // {M15} * {M15} AS ws FROM purchases),
+p30 AS (SELECT *, arrival_us // {M30} * {M30} AS ws FROM purchases)
+SELECT 'category' AS kind, {_win(M15)}, product_category AS key, count(*) AS count, {_date('arg_max_null(ts, (arrival, id))')} AS date,
+       CAST(NULL AS INTEGER) AS total_sales, CAST(NULL AS INTEGER) AS stock_check, CAST(NULL AS VARCHAR) AS observation
+FROM p15 WHERE pos = 'POS2' GROUP BY ws, product_category
+UNION ALL
+SELECT 'sales', {_win(M30)}, product_category, NULL, {_date('arg_max_null(ts, (arrival, id))')}, arg_max_null(amount, (arrival, id)), NULL, NULL
+FROM p30 WHERE pos = 'POS2' GROUP BY ws, product_category
+UNION ALL
+SELECT 'payment', {_win(M15)}, payment_method, count(*), NULL, NULL, NULL, NULL FROM p15 WHERE pos = 'POS1' GROUP BY ws, payment_method
+UNION ALL
+SELECT 'stock', {_win(M15)}, CAST(productid AS VARCHAR), NULL, NULL, NULL, arg_max_null(available_stock, (arrival, id)),
+       {_stock_label('arg_max_null(available_stock, (arrival, id))')}
+FROM p15 WHERE pos = 'POS1' GROUP BY ws, productid""",
+
     "items_by_shop": f"""WITH {PURCHASES}
 SELECT seller_name, product_category, count(*) AS items, CAST(sum(amount) AS BIGINT) AS amount,
        min(ts) AS first_ts, max(ts) AS last_ts

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from footfall import settings as S
 from footfall.operators import foot_traffic as ft
-from footfall.operators import instore, proximity
+from footfall.operators import instore, proximity, shared
 from footfall.plans import documents as docs
 from footfall.settings import DEFAULTS, Settings
 from footfall.streaming import prefix
@@ -126,6 +126,30 @@ def start_proximity(readings: DataFrame, root: str | None = None, settings: Sett
                       trigger, checkpoint_base, settings.session_zone)
 
 
+def _instore_split(facts: DataFrame, settings: Settings) -> dict[str, DataFrame]:
+    by_kind = shared.split(facts, settings)
+    return {S.INDEX_CATEGORIES: docs.category_docs(by_kind["category"]), S.INDEX_PAYMENT: docs.payment_docs(by_kind["payment"]),
+            S.INDEX_STOCK: docs.stock_docs(by_kind["stock"]), S.INDEX_SALES: docs.sales_docs(by_kind["sales"])}
+
+
+def start_instore_shared(purchases: DataFrame, root: str | None = None, settings: Settings = DEFAULTS,
+                         writer_for=None, trigger: dict | None = None,
+                         checkpoint_base: str | None = None) -> dict[str, StreamingQuery]:
+    """The four in-store indexes from one read of the tills, in one query (see ``operators.shared``)."""
+    facts = shared.instore_facts(with_clock(purchases, settings), settings)
+    return _start_split(facts, "instore", lambda batch: _instore_split(batch, settings), root, writer_for, trigger,
+                        checkpoint_base, settings.session_zone)
+
+
+def write_instore_shared(purchases: DataFrame, root: str, settings: Settings = DEFAULTS) -> dict[str, str]:
+    """Batch counterpart: the purchases are read once, the four folders are written from their aggregate."""
+    facts = shared.instore_facts(purchases, settings).persist()
+    try:
+        return write_all(_instore_split(facts, settings), root)
+    finally:
+        facts.unpersist()
+
+
 def start_instore(purchases: DataFrame, root: str | None = None, settings: Settings = DEFAULTS,
                   writer_for=None, trigger: dict | None = None,
                   checkpoint_base: str | None = None) -> dict[str, StreamingQuery]:
