@@ -151,15 +151,11 @@ def _j12_from_fine(fine: DataFrame) -> DataFrame:
 
 
 def _j123_from_fine(fine: DataFrame, settings: Settings) -> DataFrame:
-    second = settings.foot_join_second
-    left = _j12_from_fine(fine).select(
-        F.window(F.col("window.end"), second).alias("window"), "timestamp",
-        F.col("documents").alias("pairs"), F.lit(None).cast("long").alias("r3"))
-    right = fine.where(F.col("zone") == 3).select(
-        F.window(F.col("w1.start"), second).alias("window"), "timestamp",
-        F.lit(None).cast("long").alias("pairs"), F.col("readings").alias("r3"))
-    k = left.unionByName(right).groupBy("window", "timestamp").agg(
-        F.sum("pairs").alias("pairs_12"), F.sum("r3").alias("readings_zone3"))
+    """One aggregate per (second window, timestamp, first window), one more per key: the input is read once."""
+    clock = F.when(F.col("zone") == 3, F.col("w1.start")).otherwise(F.col("w1.end"))
+    readings = [F.sum(F.when(F.col("zone") == z, F.col("readings"))).alias(f"r{z}") for z in ZONES]
+    per = fine.groupBy(F.window(clock, settings.foot_join_second).alias("window"), "timestamp", "w1").agg(*readings)
+    k = per.groupBy("window", "timestamp").agg(F.sum(F.col("r1") * F.col("r2")).alias("pairs_12"), F.sum("r3").alias("readings_zone3"))
     return (k.where(F.col("pairs_12").isNotNull() & F.col("readings_zone3").isNotNull())
              .withColumn("documents", F.col("pairs_12") * F.col("readings_zone3")))
 

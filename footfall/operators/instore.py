@@ -109,7 +109,8 @@ def underperforming_categories(purchases: DataFrame, settings: Settings = DEFAUL
 
     Ranked by (sales count, total amount, category). ``k == 1`` is one more
     aggregation (stream-safe). For ``k > 1`` a rank window runs over the
-    already aggregated rows of a window: one row per category, batch only.
+    already aggregated rows of a window: one row per category. A stream ranks
+    them in a processor that holds ``k`` rows.
     """
     k = settings.bottom_k if k is None else k
     counts = _pos(purchases, pos).groupBy(
@@ -123,6 +124,9 @@ def underperforming_categories(purchases: DataFrame, settings: Settings = DEFAUL
             F.min_by("amount", key).alias("amount"),
             F.lit(1).cast("long").alias("rank"),
         )
+    if counts.isStreaming:
+        from footfall.streaming.stateful import bottom_k_stream
+        return bottom_k_stream(counts, k)
     w = Window.partitionBy("window").orderBy("sales", "amount", "product_category")
     return (counts.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k)
                   .select("window", F.col("product_category").alias("category"),
@@ -135,7 +139,9 @@ def sale_sessions(purchases: DataFrame, settings: Settings = DEFAULTS,
     seller's previous purchase (by arrival) starts a new session. Purchases
     without ``arrival`` belong to no session.
 
-    Stream: native ``session_window``. Batch: purchases in one bucket as wide
+    Stream: native ``session_window``, its rows merged into sessions within
+    each task before they are shuffled, so a busy seller sends a row per session
+    and task. Batch: purchases in one bucket as wide
     as the gap are never more than a gap apart, so they are reduced to one row
     per (seller, bucket) by a partial aggregate first. Sessions then break
     between buckets only; a seller's buckets are ordered, not the purchases.
@@ -144,6 +150,7 @@ def sale_sessions(purchases: DataFrame, settings: Settings = DEFAULTS,
 
     df = _pos(purchases, pos).where(F.col("arrival").isNotNull())
     if df.isStreaming:
+        df.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
         return df.groupBy(F.session_window("arrival", settings.sale_session_gap).alias("session"), "seller_name").agg(
             F.count(F.lit(1)).alias("purchases"), F.sum("amount").cast("long").alias("amount"),
             F.min("arrival").alias("first_arrival"), F.max("arrival").alias("last_arrival"))

@@ -112,24 +112,28 @@ def capture_rate(readings: DataFrame, settings: Settings = DEFAULTS,
                  zone: int | None = 1, areas=ZONE1_AREAS) -> DataFrame:
     """Share of the zone's distinct devices that entered each area, per window.
 
-    Distinct counts are exact and stream-safe: devices are first reduced to
-    one row per (window, device) and per (window, area, device) by
-    aggregates, which are then counted per window (regrouped on
-    ``window_time`` in a stream) and joined on the window.
+    Distinct counts are exact and stream-safe, from one read: an aggregate
+    reduces readings to one row per (window, device) with the areas it was in
+    as bits, and a second one counts devices and bits per window (regrouped on
+    ``window_time`` in a stream). A device is a non-null MAC; an area that only
+    readings without MAC were in has 0 devices.
     """
-    size = settings.visit_window
-    df = classify_area(_zone(readings, zone), areas)
-    win = tumble("arrival", size).alias("window")
-    by_zone = df.groupBy(win, "mac").agg(F.count(F.lit(1)).alias("_n"))
-    by_area = df.where(F.col("area").isNotNull()).groupBy(win, "area", "mac").agg(
-        F.count(F.lit(1)).alias("_n"))
-
-    def regroup(d: DataFrame):
-        return (F.window(F.window_time("window"), size) if d.isStreaming
-                else F.col("window")).alias("window")
-
-    zone_dev = by_zone.groupBy(regroup(by_zone)).agg(F.count("mac").alias("zone_devices"))
-    area_dev = by_area.groupBy(regroup(by_area), "area").agg(F.count("mac").alias("area_devices"))
-    j = area_dev.join(zone_dev, "window")
-    return j.select("window", "area", "area_devices", "zone_devices",
-                    (F.col("area_devices") / F.col("zone_devices")).alias("capture_rate"))
+    size, bits = settings.visit_window, 63
+    df = _zone(readings, zone)
+    place = area_index_of("latitude", "longitude", areas) - F.lit(1)
+    groups = range(0, len(areas), bits)  # one long per 63 areas
+    seen = [F.bit_or(F.when((place >= g) & (place < g + bits), F.call_function("shiftleft", F.lit(1).cast("long"), place - g))
+                     .otherwise(F.lit(0).cast("long"))).alias(f"_in{g}") for g in groups]
+    per = df.groupBy(tumble("arrival", size).alias("window"), "mac").agg(*seen)
+    window = F.window(F.window_time("window"), size) if per.isStreaming else F.col("window")
+
+    def was_in(i: int):
+        return F.col(f"_in{i // bits * bits}").bitwiseAND(F.lit(1 << i % bits)) != 0
+
+    counts = per.groupBy(window.alias("window")).agg(
+        F.count("mac").alias("zone_devices"),
+        F.array(*[F.struct(F.lit(a.name).alias("area"), F.count_if(was_in(i) & F.col("mac").isNotNull()).alias("area_devices"),
+                           F.max(was_in(i)).alias("entered")) for i, a in enumerate(areas)]).alias("areas"))
+    each = counts.select("window", "zone_devices", F.explode("areas").alias("a")).where("a.entered")
+    return each.select("window", "a.area", "a.area_devices", "zone_devices",
+                       (F.col("a.area_devices") / F.col("zone_devices")).alias("capture_rate"))

@@ -22,8 +22,10 @@ from footfall.streaming.sinks import file_writer, write_batch, write_documents
 
 
 def with_clock(df: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """Declare ``arrival`` as the event-time clock of a stream (no-op in batch)."""
-    return df.withWatermark("arrival", settings.watermark_delay) if df.isStreaming else df
+    """Declare ``arrival`` as the event-time clock of a stream (no-op in batch, and where ``clock.with_ticks`` did)."""
+    if not df.isStreaming or "spark.watermarkDelayMs" in df.schema["arrival"].metadata:
+        return df
+    return df.withWatermark("arrival", settings.watermark_delay)
 
 
 def foot_traffic_documents(readings: DataFrame, settings: Settings = DEFAULTS) -> dict[str, DataFrame]:

@@ -12,11 +12,13 @@ none) and a checkpoint location on the query.
 
 from __future__ import annotations
 
+import heapq
 from typing import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -148,3 +150,42 @@ def journey_stream(inside: DataFrame, ttl_ms: int | None = None) -> DataFrame:
         timeMode="ProcessingTime" if ttl_ms else "None",
         eventTimeColumnName="entered_at",
     )
+
+
+class BottomK(StatefulProcessor):
+    """Per window: the ``k`` rows with the least ``(sales, amount, category)``, numbered. A window's rows come in
+    one micro-batch (the aggregate before closes it once), so nothing is kept beyond it, and ``k`` rows within."""
+
+    def __init__(self, k: int):
+        self.k = k
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        pass
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        def ordered():
+            for part in rows:
+                for sales, amount, category in zip(part["sales"].tolist(), part["amount"].tolist(), part["product_category"].tolist(), strict=True):
+                    missing = amount is None or amount != amount
+                    yield (sales, not missing, 0 if missing else int(amount), category is not None, category or "")
+        least = heapq.nsmallest(self.k, ordered())
+        yield pd.DataFrame({
+            "w_start": [key[0]] * len(least), "w_end": [key[1]] * len(least),
+            "category": [c if held else None for _, _, _, held, c in least], "sales": [x[0] for x in least],
+            "amount": pd.array([x[2] if x[1] else None for x in least], dtype="Int64"), "rank": list(range(1, len(least) + 1)),
+        })
+
+    def close(self) -> None:
+        pass
+
+
+def bottom_k_stream(counts: DataFrame, k: int) -> DataFrame:
+    """``counts``: closed windows of a stream (window, product_category, sales, amount)."""
+    use_rocksdb(counts.sparkSession)
+    flat = counts.select(F.unix_micros("window.start").alias("w_start"), F.unix_micros("window.end").alias("w_end"),
+                         "product_category", "sales", "amount")
+    return flat.groupBy("w_start", "w_end").transformWithStateInPandas(
+        statefulProcessor=BottomK(k), outputStructType="w_start long, w_end long, category string, sales long, amount long, rank long",
+        outputMode="Append", timeMode="None").select(
+        F.struct(F.timestamp_micros("w_start").alias("start"), F.timestamp_micros("w_end").alias("end")).alias("window"),
+        "category", "sales", "amount", "rank")

@@ -67,8 +67,8 @@ def _run(start, stream, root, ck, **kw):
 
 def _same(a, b):
     cols = sorted(a.columns)
-    x = sorted(tuple(r) for r in a.select(cols).collect())
-    y = sorted(tuple(r) for r in b.select(cols).collect())
+    x = sorted((tuple(r) for r in a.select(cols).collect()), key=str)
+    y = sorted((tuple(r) for r in b.select(cols).collect()), key=str)
     assert x == y
 
 
