@@ -166,6 +166,11 @@ def q_underperforming_categories(spark, sf_dir):
     return flat(instore.underperforming_categories(_purchases(spark, sf_dir), k=2))
 
 
+def q_underperforming_category(spark, sf_dir):
+    """The default: the one category with the fewest sales."""
+    return flat(instore.underperforming_categories(_purchases(spark, sf_dir)))
+
+
 def q_sale_sessions(spark, sf_dir):
     s = instore.sale_sessions(_purchases(spark, sf_dir))
     s = s.select(F.unix_micros(F.col("session.start")).alias("session_start"),
@@ -263,6 +268,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "total_sales_intended": q_total_sales_intended,
     "most_used_payment_method": q_most_used_payment_method,
     "underperforming_categories": q_underperforming_categories,
+    "underperforming_category": q_underperforming_category,
     "sale_sessions": q_sale_sessions,
     "instore_shared": q_instore_shared,
     "items_by_shop": q_items_by_shop,

@@ -299,6 +299,13 @@ r AS (SELECT *, row_number() OVER (PARTITION BY ws ORDER BY sales NULLS FIRST, a
                                    product_category NULLS FIRST) AS rank FROM c)
 SELECT {_win(M15)}, product_category AS category, sales, amount, rank FROM r WHERE rank <= 2""",
 
+    "underperforming_category": _pos_window("POS2", M15) + f""",
+c AS (SELECT ws, product_category, count(*) AS sales, CAST(sum(amount) AS BIGINT) AS amount
+      FROM b GROUP BY ws, product_category),
+r AS (SELECT *, row_number() OVER (PARTITION BY ws ORDER BY sales NULLS FIRST, amount NULLS FIRST,
+                                   product_category NULLS FIRST) AS rank FROM c)
+SELECT {_win(M15)}, product_category AS category, sales, amount, rank FROM r WHERE rank = 1""",
+
     "sale_sessions": f"""WITH {PURCHASES},
 g AS (
   SELECT *, CASE WHEN lag(arrival_us) OVER w IS NULL
