@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from footfall.functions import labels
 from footfall.operators import foot_traffic as ft
-from footfall.operators import area_grid, carry, instore, journey, proximity, shared
+from footfall.operators import area_grid, carry, instore, journey, proximity, rollup, shared
 from footfall.plans import documents as docs
 from footfall.settings import DEFAULTS, Settings
 from footfall.sources.testdata import table_areas, table_purchases, table_readings
@@ -93,6 +93,13 @@ def q_foot_traffic_intended(spark, sf_dir):
     return flat(ft.foot_traffic_intended(_readings(spark, sf_dir)))
 
 
+def q_unique_devices_by_week(spark, sf_dir):
+    """Devices per zone and week, united from day sketches (exact at these numbers of devices)."""
+    days = rollup.day_devices(_readings(spark, sf_dir))
+    weeks = rollup.unique_devices(days, "week")
+    return weeks.select(F.unix_seconds("begin").alias("week_start"), "zone", "readings", "devices")
+
+
 # --- proximity ------------------------------------------------------------------
 
 def q_classify_area(spark, sf_dir):
@@ -253,6 +260,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "foot_traffic_as_coded": q_foot_traffic_as_coded,
     "foot_traffic_factors": q_foot_traffic_factors,
     "foot_traffic_intended": q_foot_traffic_intended,
+    "unique_devices_by_week": q_unique_devices_by_week,
     "classify_area": q_classify_area,
     "classify_by_table": q_classify_by_table,
     "proximity_traffic_as_coded": q_proximity_traffic_as_coded,

@@ -225,6 +225,10 @@ FROM dev GROUP BY ws""",
     "classify_area": f"""WITH {_readings()}
 SELECT id, zone, latitude, longitude, {AREA} AS area FROM readings""",
 
+    "unique_devices_by_week": f"""WITH {_readings()}
+SELECT CAST(epoch(date_trunc('week', arrival)) AS BIGINT) AS week_start, zone, count(*) AS readings, count(DISTINCT mac) AS devices
+FROM readings GROUP BY ALL""",
+
     "classify_by_table": f"""WITH {_readings()},
 steps AS (
   SELECT o_orderkey AS k, 40419373 + (o_orderkey * 17) % 627 AS lat, -3705999 + (o_orderkey * 29) % 925 AS lon,
