@@ -46,6 +46,7 @@ from footfall.llm.textkit import Block, RollingHash, U, blocks, mix64
 LENGTH = 200
 GRAM = 48
 GROUP = 2048  # distinct contexts of an anchor that one block takes
+HOT, LEAST_HOT, SALTS = 4096, 256, 64  # a key is dealt over SALTS tasks from a HOT-th of the rows on
 INDEX_BYTES = 1 << 20  # contexts indexed together
 _DEPTH = 512  # suffixes are sorted by at least so many bytes: more than two contexts of 200-byte windows share
 _PIECE = 1 << 22  # windows of one text handled at once
@@ -293,13 +294,14 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, grou
     if not gram < length <= 256:
         raise ValueError("the index takes 256 bytes at most, and an anchor shorter than that")
     often = staged(docs.select("text").mapInArrow(_find(length, gram, brief=True), "anchor bigint")
-                   .groupBy("anchor").count().where("count > 1").select("anchor"))
-    found = staged(docs.select("text", "id", "key")
-                   .mapInArrow(_find(length, gram, brief=False), "id bigint, key bigint, at int, n smallint, off smallint, anchor bigint, context bigint")
-                   .join(often, "anchor", "left_semi"))
+                   .groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    found = staged(_among(docs.select("text", "id", "key")
+                          .mapInArrow(_find(length, gram, brief=False), "id bigint, key bigint, at int, n smallint, off smallint, anchor bigint, context bigint"),
+                          often, ["anchor"]))
     distinct = staged(found.groupBy("anchor", "context").agg(
         F.count(F.lit(1)).alias("copies"), F.min(F.struct("id", "key", "at", "n", "off")).alias("x")).select("anchor", "context", "copies", "x.*"))
-    whole = (found.join(distinct.where("copies > 1").select("anchor", "context"), ["anchor", "context"], "left_semi")
+    twice = distinct.where("copies > 1").select("anchor", "context", F.col("copies").alias("n"))
+    whole = (_among(found, twice, ["anchor", "context"])
              .select("id", "key", F.col("at").alias("start"), (F.col("at") + F.col("n") + F.lit(length - 1)).cast("int").alias("end")))
     # Anchors with contexts that differ, one of which at least is not settled.
     mixed = (distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("contexts"), F.min("copies").alias("least"))
@@ -315,6 +317,21 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, grou
     return whole.unionByName(narrow).unionByName(_wide_spans(pieces.where("wide"), length))
 
 
+def _among(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """The ``rows`` whose key is one of ``keys``, which say in ``n`` how many rows a key has.
+
+    A key with more than a ``HOT``-th of all these rows is dealt over ``SALTS`` tasks. As the counts add up to
+    all, there are at most ``HOT`` such keys; only they are broadcast.
+    """
+    total = keys.agg(F.sum("n")).first()[0] or 0
+    least = max(total // HOT, LEAST_HOT)
+    hot = keys.where(F.col("n") > least).select(*on, F.lit(True).alias("hot"))
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
+    dealt = rows.join(F.broadcast(hot), on, "left").withColumn("salt", salt).drop("hot")
+    places = F.when(F.col("n") > least, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return dealt.join(keys.select(*on, F.explode(places).alias("salt")), [*on, "salt"], "left_semi").drop("salt").select(*rows.columns)
+
+
 def _wide_spans(pieces: DataFrame, length: int, width: int = 8) -> DataFrame:
     """The same for anchors with many contexts: stretches of a few windows meet by what all their windows share.
 
@@ -324,16 +341,16 @@ def _wide_spans(pieces: DataFrame, length: int, width: int = 8) -> DataFrame:
     stretches = staged(pieces.mapInArrow(_stretches(length, width),
                                          "core bigint, whole bigint, place int, id bigint, key bigint, at int, n int, copies bigint, piece binary"))
     form = ["core", "whole", "place"]
-    forms = staged(stretches.groupBy(*form).agg(F.sum("copies").alias("copies"), F.min(F.struct("id", "key", "at", "piece")).alias("x"))
-                   .select(*form, "copies", "x.*"))
+    forms = staged(stretches.groupBy(*form).agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows"), F.min(F.struct("id", "key", "at", "piece")).alias("x"))
+                   .select(*form, "copies", "rows", "x.*"))
     end = (F.col("at") + F.col("n") + F.lit(length - 1)).cast("int")
-    whole = (stretches.where("copies = 1").join(forms.where("copies > 1").select(*form), form, "left_semi")
+    whole = (_among(stretches.where("copies = 1"), forms.where("copies > 1").select(*form, F.col("rows").alias("n")), form)
              .select("id", "key", F.col("at").alias("start"), end.alias("end")))
     mixed = forms.groupBy("core").agg(F.count(F.lit(1)).alias("forms"), F.min("copies").alias("least")).where("forms > 1 and least = 1").select("core")
     windows = staged(forms.join(mixed, "core").select("id", "key", "at", "copies", "piece").mapInArrow(
         _each_window(length), "one bigint, two bigint, id bigint, key bigint, start int, copies bigint"))
-    again = windows.groupBy("one", "two").agg(F.sum("copies").alias("c")).where("c > 1").select("one", "two")
-    broad = (windows.where("copies = 1").join(again, ["one", "two"], "left_semi")
+    again = staged(windows.groupBy("one", "two").agg(F.sum("copies").alias("c"), F.count(F.lit(1)).alias("n")).where("c > 1").select("one", "two", "n"))
+    broad = (_among(windows.where("copies = 1"), again, ["one", "two"])
              .select("id", "key", "start", (F.col("start") + length).alias("end")))
     return whole.unionByName(broad)
 
@@ -342,7 +359,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, grou
     """``doc_id, n_bytes, n_removed, removed, kept_sha256`` per row; ``removed`` lists maximal ``[start, end)`` runs."""
     told = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.xxhash64("text").alias("key"), "text")
     spans = (repeated_spans(told, length, gram, group).groupBy(F.col("id").alias("s_id"), F.col("key").alias("s_key"))
-             .agg(F.collect_list(F.struct("start", "end")).alias("spans")))
+             .agg(F.collect_set(F.struct("start", "end")).alias("spans")))  # rows that repeat id and text share their spans
     joined = told.join(spans, F.col("id").eqNullSafe(F.col("s_id")) & (F.col("key") == F.col("s_key")), "left")
     return joined.select("id", "text", "spans").mapInArrow(
         _strip(length), "doc_id bigint, n_bytes bigint, n_removed bigint, removed array<array<bigint>>, kept_sha256 string")

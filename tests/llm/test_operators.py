@@ -400,3 +400,19 @@ def test_near_dedup_of_ids_that_repeat_or_lack(spark):
     assert sorted((str(r.doc_id), r.text) for r in rows if r.text) == [("3", one), ("4", two)] and len(rows) == 3
     lonely = spark.createDataFrame([(None, one), (None, one), (None, two)], "doc_id bigint, text string")
     assert sorted(r.text for r in near_dedup.one_of_each(lonely).collect()) == [one, two]
+
+
+def test_repeats_of_a_passage_in_most_texts(spark, monkeypatch):
+    """Hot keys are dealt over many tasks; rows that repeat an id (or have none) and a text share their spans."""
+    monkeypatch.setattr(repeats, "LEAST_HOT", 3)
+    monkeypatch.setattr(repeats, "HOT", 50)
+    rng = np.random.default_rng(12)
+    common = " ".join(f"w{i}" for i in range(90))
+    texts = [" ".join(map(str, rng.integers(0, 10**9, 20))) + common + " ".join(map(str, rng.integers(0, 10**9, 20))) for _ in range(60)]
+    rows = [(k, t) for k, t in enumerate(texts)] + [(None, texts[0])] * 40
+    for group in (2048, 1):
+        got = repeats.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string"), group=group).collect()
+        want = Counter(_without_repeats([t.encode() for _, t in rows]))
+        assert Counter((r.n_bytes, r.n_removed, len(r.removed), r.kept_sha256) for r in got) == want
+    spans = repeats.repeated_spans(spark.createDataFrame([(None, 1, texts[0])] * 40, "id bigint, key bigint, text string"))
+    assert spans.distinct().count() < spans.count()
