@@ -8,6 +8,8 @@ File sources read parquet files with the library schema (``READING`` /
 ``PURCHASE``). Kafka sources need the Kafka and Avro packages; with several
 topics, the n-th topic is zone n (readings) or POS n (purchases).
 ``--available-now`` processes what is there and stops (backfills, tests).
+``--shared`` reads the tills once for all four in-store results; ``--publish``
+writes published runs (committed batches, latest document by id).
 Checkpoints go under ``--checkpoint`` or the session's ``spark.checkpoint.dir``.
 """
 
@@ -44,6 +46,8 @@ def parse(argv=None) -> argparse.Namespace:
     p.add_argument("--crowd-threshold", type=int, default=DEFAULTS.crowd_threshold)
     p.add_argument("--available-now", action="store_true")
     p.add_argument("--batch", action="store_true", help="one batch run over all input, last windows included")
+    p.add_argument("--shared", action="store_true", help="instore: one read of the tills for all results")
+    p.add_argument("--publish", action="store_true", help="write published runs instead of plain batch folders")
     p.add_argument("--max-offsets-per-trigger", type=int, default=None)
     p.add_argument("--max-files-per-trigger", type=int, default=None)
     return p.parse_args(argv)
@@ -76,10 +80,12 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
     start, documents, _ = STARTERS[a.job]
     if a.batch:
         spark.conf.set("spark.sql.session.timeZone", settings.session_zone)
-        return jobs.write_all(documents(source(spark, a), settings), a.out)
+        return jobs.write_all(documents(source(spark, a), settings), a.out, a.publish)
+    if a.shared and a.job == "instore":
+        start = jobs.start_instore_shared
     trigger = {"availableNow": True} if a.available_now else None
     queries = start(source(spark, a), root=a.out, settings=settings, trigger=trigger,
-                    checkpoint_base=a.checkpoint)
+                    checkpoint_base=a.checkpoint, publish=a.publish)
     if a.available_now:
         for q in queries.values():
             q.awaitTermination()

@@ -18,7 +18,8 @@ from footfall.operators import instore, proximity, shared
 from footfall.plans import documents as docs
 from footfall.settings import DEFAULTS, Settings
 from footfall.streaming import prefix
-from footfall.streaming.sinks import file_writer, write_batch, write_documents
+from footfall.streaming.published import publish_batch, publisher
+from footfall.streaming.sinks import checkpoint_of, file_writer, write_batch, write_documents
 
 
 def with_clock(df: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
@@ -69,63 +70,65 @@ def instore_documents(purchases: DataFrame, settings: Settings = DEFAULTS) -> di
 
 
 def _start_all(streams: dict[str, DataFrame], root: str | None, writer_for=None,
-               trigger: dict | None = None, checkpoint_base: str | None = None, zone: str = DEFAULTS.session_zone
-               ) -> dict[str, StreamingQuery]:
+               trigger: dict | None = None, checkpoint_base: str | None = None, zone: str = DEFAULTS.session_zone,
+               publish: bool = False) -> dict[str, StreamingQuery]:
     out = {}
     for index, df in streams.items():
         df.sparkSession.conf.set("spark.sql.session.timeZone", zone)
-        writer = writer_for(index) if writer_for else None
         name = index.replace("-", "_")
         ck = f"{checkpoint_base.rstrip('/')}/{name}" if checkpoint_base else None
+        if publish:
+            ck = checkpoint_of(df.sparkSession, root, name, ck)
+        writer = writer_for(index) if writer_for else publisher(root, index, ck) if publish else None
         out[index] = write_documents(df, index, root=root, checkpoint=ck, writer=writer,
                                      trigger=trigger, query_name=name)
     return out
 
 
 def _start_split(rows: DataFrame, name: str, split, root: str | None, writer_for, trigger: dict | None,
-                 checkpoint_base: str | None, zone: str) -> dict[str, StreamingQuery]:
+                 checkpoint_base: str | None, zone: str, publish: bool = False) -> dict[str, StreamingQuery]:
     """One query that writes several indexes: ``split`` takes a micro-batch to its documents by index."""
     rows.sparkSession.conf.set("spark.sql.session.timeZone", zone)
     if writer_for is None and root is None:
         raise ValueError("give a root folder or a writer")
+    query = name.replace("-", "_")
+    ck = checkpoint_of(rows.sparkSession, root, query, f"{checkpoint_base.rstrip('/')}/{query}" if checkpoint_base else None)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()  # the micro-batch is worked out once, not once per index
         try:
             for index, documents in split(batch).items():
-                writer = writer_for(index) if writer_for else file_writer(root, index)
+                writer = writer_for(index) if writer_for else publisher(root, index, ck) if publish else file_writer(root, index)
                 writer(documents, batch_id)
         finally:
             batch.unpersist()
-    query = name.replace("-", "_")
-    ck = f"{checkpoint_base.rstrip('/')}/{query}" if checkpoint_base else None
     return {name: write_documents(rows, name, root=root, checkpoint=ck, writer=write, trigger=trigger, query_name=query)}
 
 
-def write_all(documents: dict[str, DataFrame], root: str) -> dict[str, str]:
-    """Batch counterpart of the ``start_*`` functions: one folder per index."""
-    return {index: write_batch(df, index, root) for index, df in documents.items()}
+def write_all(documents: dict[str, DataFrame], root: str, publish: bool = False) -> dict[str, str]:
+    """Batch counterpart of the ``start_*`` functions: one folder per index; with ``publish``, one run."""
+    return {index: publish_batch(df, root, index) if publish else write_batch(df, index, root) for index, df in documents.items()}
 
 
 def start_foot_traffic(readings: DataFrame, root: str | None = None, settings: Settings = DEFAULTS,
                        writer_for=None, trigger: dict | None = None,
-                       checkpoint_base: str | None = None) -> dict[str, StreamingQuery]:
+                       checkpoint_base: str | None = None, publish: bool = False) -> dict[str, StreamingQuery]:
     """``readings``: zone 1..3 reading streams unioned (``zone`` column set). One query reads them and writes
     both indexes (two, if the join windows do not nest)."""
     if not (readings.isStreaming and ft._nested(settings)):
         return _start_all(foot_traffic_documents(readings, settings), root, writer_for, trigger,
-                          checkpoint_base, settings.session_zone)
+                          checkpoint_base, settings.session_zone, publish)
     return _start_split(prefix.foot_traffic_rows(with_clock(readings, settings), settings), S.INDEX_FOOT_TRAFFIC,
-                        lambda rows: _foot_traffic_split(rows, settings), root, writer_for, trigger, checkpoint_base, settings.session_zone)
+                        lambda rows: _foot_traffic_split(rows, settings), root, writer_for, trigger, checkpoint_base, settings.session_zone, publish)
 
 
 def start_proximity(readings: DataFrame, root: str | None = None, settings: Settings = DEFAULTS,
                     writer_for=None, trigger: dict | None = None,
                     threshold: int | None = None,
-                    checkpoint_base: str | None = None) -> dict[str, StreamingQuery]:
+                    checkpoint_base: str | None = None, publish: bool = False) -> dict[str, StreamingQuery]:
     """``readings``: the zone-1 reading stream."""
     return _start_all(proximity_documents(readings, settings, threshold), root, writer_for,
-                      trigger, checkpoint_base, settings.session_zone)
+                      trigger, checkpoint_base, settings.session_zone, publish)
 
 
 def _instore_split(facts: DataFrame, settings: Settings) -> dict[str, DataFrame]:
@@ -136,11 +139,11 @@ def _instore_split(facts: DataFrame, settings: Settings) -> dict[str, DataFrame]
 
 def start_instore_shared(purchases: DataFrame, root: str | None = None, settings: Settings = DEFAULTS,
                          writer_for=None, trigger: dict | None = None,
-                         checkpoint_base: str | None = None) -> dict[str, StreamingQuery]:
+                         checkpoint_base: str | None = None, publish: bool = False) -> dict[str, StreamingQuery]:
     """The four in-store indexes from one read of the tills, in one query (see ``operators.shared``)."""
     facts = shared.instore_facts(with_clock(purchases, settings), settings)
     return _start_split(facts, "instore", lambda batch: _instore_split(batch, settings), root, writer_for, trigger,
-                        checkpoint_base, settings.session_zone)
+                        checkpoint_base, settings.session_zone, publish)
 
 
 def write_instore_shared(purchases: DataFrame, root: str, settings: Settings = DEFAULTS) -> dict[str, str]:
@@ -154,7 +157,7 @@ def write_instore_shared(purchases: DataFrame, root: str, settings: Settings = D
 
 def start_instore(purchases: DataFrame, root: str | None = None, settings: Settings = DEFAULTS,
                   writer_for=None, trigger: dict | None = None,
-                  checkpoint_base: str | None = None) -> dict[str, StreamingQuery]:
+                  checkpoint_base: str | None = None, publish: bool = False) -> dict[str, StreamingQuery]:
     """``purchases``: POS1 and POS2 streams unioned (``pos`` column set)."""
     return _start_all(instore_documents(purchases, settings), root, writer_for, trigger,
-                      checkpoint_base, settings.session_zone)
+                      checkpoint_base, settings.session_zone, publish)

@@ -5,7 +5,9 @@
 with ``overwrite``: when Spark replays a batch after a failure, it rewrites
 the same directory instead of appending duplicates. Every document carries a
 stable ``doc_id`` (see ``footfall.plans.documents``), so a search-index
-writer given as ``writer`` can upsert by id instead.
+writer given as ``writer`` can upsert by id instead. A query that starts with a
+new checkpoint numbers its batches from 0 again and would overwrite the old
+ones: ``footfall.streaming.published`` keeps runs apart and commits batches.
 
 Checkpoints go under the session's ``spark.checkpoint.dir`` unless a
 location is given; no machine-local folder is assumed.
@@ -29,6 +31,12 @@ def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
     return root.rstrip("/")
 
 
+def checkpoint_of(spark: SparkSession, root: str | None, name: str, checkpoint: str | None = None) -> str:
+    """Where a query keeps its checkpoint. Jobs that write to different roots share no offsets."""
+    place = hashlib.sha256((root or "").encode()).hexdigest()[:16]
+    return checkpoint or f"{checkpoint_root(spark)}/{place}/{name}"
+
+
 def batch_path(root: str, index: str, batch_id: int) -> str:
     return f"{root.rstrip('/')}/index={index}/batch={batch_id}"
 
@@ -80,9 +88,7 @@ def write_documents(docs: DataFrame, index: str, root: str | None = None,
         if root is None:
             raise ValueError("give a root folder or a writer")
         writer = file_writer(root, index)
-    # Jobs that write to different roots share no offsets.
-    place = hashlib.sha256((root or "").encode()).hexdigest()[:16]
-    ck = checkpoint or f"{checkpoint_root(spark)}/{place}/{query_name or index}"
+    ck = checkpoint_of(spark, root, query_name or index, checkpoint)
     w = (docs.writeStream.outputMode("append").option("checkpointLocation", ck)
              .foreachBatch(writer))
     if query_name:

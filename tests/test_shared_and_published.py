@@ -115,3 +115,19 @@ def test_the_latest_document_of_an_id_counts(spark, scratch):
         published.publish_batch(spark.createDataFrame([("a", k), (None, k), (f"own{k}", k)], "doc_id string, v int"), scratch, "x")
     got = sorted(((r.doc_id, r.v) for r in published.published(spark, scratch, "x").collect()), key=str)
     assert got == sorted([("a", 2), ("own0", 0), ("own1", 1), ("own2", 2), (None, 0), (None, 1), (None, 2)], key=str)
+
+
+def test_command_line_publishes_from_one_read(spark, scratch):
+    from footfall import cli
+
+    p = table_purchases(spark, SF0001).select([f.name for f in PURCHASE.fields])
+    _write_in_chunks(p, f"{scratch}/in", n_files=2)
+    _append(_flush_rows(spark, PURCHASE, {"pos": "POS1", "product_category": "Men", "ts": 0}), f"{scratch}/in")
+    for ck in ("one", "two"):
+        args = ["instore", "--files", f"{scratch}/in", "--out", f"{scratch}/out", "--checkpoint", f"{scratch}/{ck}", "--watermark", "0 seconds",
+                "--available-now", "--max-files-per-trigger", "1", "--shared", "--publish"]
+        assert len(cli.main(args, spark=spark)) == 1
+    cli.main(["instore", "--files", f"{scratch}/in", "--out", f"{scratch}/batch", "--batch", "--publish"], spark=spark)
+    for index, want in jobs.instore_documents(p, NOW).items():
+        _same(published.published(spark, f"{scratch}/out", index), want)
+        assert published.published(spark, f"{scratch}/batch", index).count() == want.count() + (index in (S.INDEX_PAYMENT, S.INDEX_STOCK))  # the flush row's windows too
