@@ -18,8 +18,8 @@ the greatest position (the last match wins), or null.
   an array: its boxes stay rows, spread by salt, and its readings meet them in
   an equi-join of their own, reduced by ``max`` per reading.
 
-The cells are broadcast only while there are at most ``BROADCAST`` of them
-(counted); beyond that both sides are shuffled by cell, and AQE splits a cell
+A level's cells are broadcast only while they hold at most ``BROADCAST`` boxes
+together (counted); beyond that both sides are shuffled by cell, and AQE splits a cell
 that holds many readings.
 
 Readings without coordinates are in no area. Areas with a null bound, or with
@@ -39,7 +39,7 @@ from footfall.functions.areas import ZONE1_AREAS
 SPAN = 4  # cells that a box may touch per direction
 LIST = 64  # boxes that a cell holds as an array
 SALTS = 16  # parts of a crowded cell
-BROADCAST = 200_000  # cells
+BROADCAST = 200_000  # boxes in cells, some 100 bytes each
 
 BOUNDS = ("lat_lo", "lat_hi", "lon_lo", "lon_hi")
 AREAS_SCHEMA = T.StructType([T.StructField("name", T.StringType()), T.StructField("position", T.LongType()),
@@ -99,11 +99,12 @@ def classify_by_table(readings: DataFrame, areas: DataFrame, lat: str = "latitud
     base = base or default_base(areas)
     cells = grid_cells(areas, base)
     counts = cells.groupBy("level", "x", "y").agg(F.count(F.lit(1)).alias("n"))
-    # A few numbers: the levels in use, their cells and the crowded ones among them.
-    levels = sorted((r.level, r.cells, r.crowded) for r in counts.groupBy("level").agg(
-        F.count(F.lit(1)).alias("cells"), F.count_if(F.col("n") > LIST).alias("crowded")).collect())
-    point = (F.col(lat), F.col(lon))
     streaming = readings.isStreaming
+    # A few numbers: the levels in use, the boxes that their cells hold as arrays, and how many cells are crowded.
+    as_array = F.lit(True) if streaming else F.col("n") <= LIST
+    levels = sorted((r.level, r.boxes or 0, r.crowded) for r in counts.groupBy("level").agg(
+        F.sum(F.when(as_array, F.col("n"))).alias("boxes"), F.count_if(F.col("n") > LIST).alias("crowded")).collect())
+    point = (F.col(lat), F.col(lon))
     held = readings.withColumn("_found", F.lit(None).cast("struct<position:bigint,name:string>"))
     for level, n, crowded in levels:
         own = cells.where(F.col("level") == level)
