@@ -130,4 +130,58 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
-ORACLE = {"op5_mixing": _OP5, "op6_line_dedup": _OP6}
+#: All pairs that share a shingle, and reachability over the links.
+_OP2 = r"""
+WITH RECURSIVE told AS (
+  SELECT doc_id, string_split(trim(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+', ' ', 'g'), ' '), ' ') AS w FROM documents
+), words AS (SELECT doc_id, CASE WHEN w = [''] THEN [] ELSE w END AS w FROM told
+), sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) >= 4 THEN [md5(array_to_string(w[i:i + 3], ' ')) for i in range(1, len(w) - 2)]
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM words
+), sizes AS (SELECT doc_id, len(s) AS n FROM sets
+), elements AS (SELECT doc_id, unnest(s) AS e FROM sets
+), shared AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS common FROM elements a JOIN elements b ON a.e = b.e AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT u, v FROM shared JOIN sizes x ON x.doc_id = u JOIN sizes y ON y.doc_id = v WHERE 100 * common >= 80 * (x.n + y.n - common)
+), steps AS (SELECT u, v FROM links UNION SELECT v, u FROM links
+), reach AS (
+  SELECT doc_id AS d, doc_id AS r FROM sizes
+  UNION
+  SELECT d, v FROM reach JOIN steps ON r = u
+)
+SELECT doc_id, n AS n_shingles, min(r) AS component_id, doc_id = min(r) AS kept FROM sizes JOIN reach ON d = doc_id GROUP BY doc_id, n
+"""
+
+
+def _op12(rounds: int = 2) -> str:
+    """Every part against every entry, round by round."""
+    parts = """
+WITH kept AS (
+  SELECT vec_id, label, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+), parts AS MATERIALIZED (
+  SELECT vec_id, p, v[p * len(v) // 16 + 1:(p + 1) * len(v) // 16] AS x FROM kept, range(16) t(p)
+), books0 AS MATERIALIZED (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x AS c FROM parts WHERE vec_id IN (SELECT DISTINCT vec_id FROM kept ORDER BY vec_id LIMIT 64)
+)"""
+    for k in range(rounds + 1):
+        parts += f""", near{k} AS MATERIALIZED (
+  SELECT vec_id, p, x, min(struct_pack(d := CAST(list_sum([(z[1] - z[2]) * (z[1] - z[2]) for z in list_zip(x, c)]) AS BIGINT), e := e)) AS best
+  FROM parts JOIN books{k} USING (p) GROUP BY vec_id, p, x)"""
+        if k < rounds:
+            parts += f""", sums{k} AS (
+  SELECT p, e, list(total ORDER BY i) AS c FROM (
+    SELECT p, best.e AS e, i, CAST(floor(sum(x[i]) / count(*)) AS BIGINT) AS total FROM near{k}, range(1, 1 + (SELECT max(len(x)) FROM parts)) t(i) GROUP BY ALL) GROUP BY p, e
+), books{k + 1} AS MATERIALIZED (SELECT p, e, coalesce(s.c, b.c) AS c FROM books{k} b LEFT JOIN sums{k} s USING (p, e))"""
+    return parts + f""", coded AS (
+  SELECT vec_id, string_agg(printf('%02x', best.e), '' ORDER BY p) AS code, CAST(sum(best.d) AS BIGINT) AS error FROM near{rounds} GROUP BY vec_id
+), own AS (SELECT vec_id, label, code, error FROM coded JOIN kept USING (vec_id))
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM books{rounds}) AS codebooks_sha256
+FROM own
+"""
+
+
+ORACLE = {"op2_near_dedup": _OP2, "op5_mixing": _OP5, "op6_line_dedup": _OP6, "op12_vector_codes": _op12()}
