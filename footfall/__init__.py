@@ -15,8 +15,14 @@ Main entry points (each takes and returns DataFrames, batch or stream):
 * ``footfall.operators.journey``: ``customer_journey``, ``visit_history``,
   ``sales_conversion``
 * ``footfall.operators.scan.keyed_scan``: ordered per-key values, balanced
-  under hot keys
+  under hot keys; ``footfall.operators.carry``: the same, from run to run
+* ``footfall.operators.area_grid.classify_by_table``: areas as a table of boxes
+* ``footfall.operators.shared``: the in-store results from one read
+* ``footfall.operators.rollup``: day tables of devices, rolled up to any span
 * ``footfall.streaming.jobs``: ``start_foot_traffic``, ``start_proximity``,
-  ``start_instore``; ``footfall.cli`` starts them from the command line
+  ``start_instore``, ``start_instore_shared``; ``footfall.cli`` starts them from
+  the command line
+* ``footfall.streaming.published``: runs, commit records, the latest documents;
+  ``footfall.streaming.clock``: ticks for silent inputs
 * ``footfall.settings.Settings``: window sizes, thresholds, labels
 """

@@ -47,6 +47,15 @@ def use_rocksdb(spark) -> None:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
+CHUNK = 1 << 16  # rows handed on at once
+
+
+def _ordered(rows: Iterator[pd.DataFrame], value: str) -> pd.DataFrame:
+    """A key's rows of a micro-batch by ``(arrival, id)``: three numbers a row, none of the key's texts."""
+    return (pd.concat([p[["arrival", "id", value]] for p in rows], ignore_index=True)
+            .sort_values(["arrival", "id"], kind="stable", ignore_index=True))
+
+
 class RunningCount(StatefulProcessor):
     def __init__(self, ttl_ms: int | None = None):
         self.ttl_ms = ttl_ms
@@ -55,7 +64,7 @@ class RunningCount(StatefulProcessor):
         self.state = handle.getValueState("first_and_count", STATE_SCHEMA, self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["arrival", "id"], kind="stable")
+        pdf = _ordered(rows, "ts")
         if self.state.exists():
             first_ts, has_first, n = self.state.get()
         else:
@@ -64,18 +73,19 @@ class RunningCount(StatefulProcessor):
             v = pdf["ts"].iloc[0]
             first_ts = None if pd.isna(v) else int(v)
             has_first = True
-        m = len(pdf)
-        out = pd.DataFrame({
-            "id": pdf["id"].to_numpy(),
-            "arrival": pdf["arrival"].to_numpy(),
-            "zone": pdf["zone"].to_numpy(),
-            "sensor_uid": pdf["sensor_uid"].to_numpy(),
-            "ts": pdf["ts"].to_numpy(),
-            "first_ts": pd.array([first_ts] * m, dtype="Int64"),
-            "visitors": np.arange(n + 1, n + m + 1, dtype=np.int64),
-        })
-        self.state.update((first_ts, has_first, n + m))
-        yield out
+        self.state.update((first_ts, has_first, n + len(pdf)))
+        for at in range(0, len(pdf), CHUNK):
+            part = pdf.iloc[at:at + CHUNK]
+            m = len(part)
+            yield pd.DataFrame({
+                "id": part["id"].to_numpy(),
+                "arrival": part["arrival"].to_numpy(),
+                "zone": pd.array([key[0]] * m, dtype="Int32"),
+                "sensor_uid": [key[1]] * m,
+                "ts": part["ts"].to_numpy(),
+                "first_ts": pd.array([first_ts] * m, dtype="Int64"),
+                "visitors": np.arange(n + at + 1, n + at + m + 1, dtype=np.int64),
+            })
 
     def close(self) -> None:
         pass
@@ -118,9 +128,12 @@ class JourneyTracker(StatefulProcessor):
         self.state = handle.getValueState("last_area_and_visits", JOURNEY_STATE, self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["arrival", "id"], kind="stable")
+        names: dict[str, int] = {}  # areas as numbers, while the rows are held
+        numbered = (p.assign(area=[names.setdefault(a, len(names)) for a in p["area"]]) for p in rows)
+        pdf = _ordered(numbered, "area")
         last, visits = self.state.get() if self.state.exists() else (None, 0)
-        areas = pdf["area"].tolist()
+        known = list(names)
+        areas = [known[k] for k in pdf["area"]]
         prev = [last] + areas[:-1]
         entry = np.array([a != p for a, p in zip(areas, prev)], dtype=bool)
         k = int(entry.sum())
