@@ -224,7 +224,8 @@ def test_toxicity_rare_and_short_words(spark):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_sql_twins(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    for table in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     want = con.sql(queries.ORACLE[name])
     got = queries.QUERIES[name](spark, SF)
     round_ = lambda row: tuple(round(x, 6) if isinstance(x, float) else x for x in row)
