@@ -47,9 +47,9 @@ def _micros(df: DataFrame, *cols: str) -> DataFrame:
 
 # --- inputs ---------------------------------------------------------------
 
-def _readings(spark, sf_dir, spread=False):
+def _readings(spark, sf_dir, spread=False, grouped=True):
     prepare(spark)
-    return table_readings(spark, sf_dir, spread_ts=spread)
+    return table_readings(spark, sf_dir, spread_ts=spread, grouped_ts=grouped)
 
 
 def _purchases(spark, sf_dir):
@@ -226,7 +226,8 @@ def q_docs_foot_traffic(spark, sf_dir):
 
 
 def q_docs_foot_traffic_factors(spark, sf_dir):
-    return docs.foot_traffic_factor_docs(ft.foot_traffic_factors(_readings(spark, sf_dir)))
+    """By the readings' days alone, so that the sensors of all groups share their first timestamps."""
+    return docs.foot_traffic_factor_docs(ft.foot_traffic_factors(_readings(spark, sf_dir, grouped=False)))
 
 
 def q_docs_proximity(spark, sf_dir):

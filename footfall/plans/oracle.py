@@ -19,8 +19,8 @@ def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def _readings(spread: bool = False) -> str:
-    extra = " + 120 * (user_id % 3)" if spread else ""
+def _readings(spread: bool = False, grouped: bool = True) -> str:
+    extra = (" + 60 * (user_id % 5)" if grouped else "") + (" + 120 * (user_id % 3)" if spread else "")
     return f"""readings AS (
   SELECT event_id AS id, ts AS arrival, epoch_us(ts) AS arrival_us,
          CAST(1 + event_id % 4 AS INTEGER) AS zone,
@@ -28,7 +28,7 @@ def _readings(spread: bool = False) -> str:
          'M' || CAST(user_id % 20 AS VARCHAR) AS mac,
          CAST(40419373 + (event_id * 37) % 627 AS DOUBLE) / CAST(1000000 AS DOUBLE) AS latitude,
          CAST(-3705999 + (event_id * 53) % 925 AS DOUBLE) / CAST(1000000 AS DOUBLE) AS longitude,
-         CAST(epoch(date_trunc('day', ts)) AS BIGINT) + 60 * (user_id % 5){extra} AS ts
+         CAST(epoch(date_trunc('day', ts)) AS BIGINT){extra} AS ts
   FROM events)"""
 
 
@@ -74,7 +74,8 @@ LAST = "(arrival, id)"
 
 # --- foot traffic --------------------------------------------------------------
 
-RUNNING = f"""WITH {_readings()},
+def _running(grouped: bool = True) -> str:
+    return f"""WITH {_readings(grouped=grouped)},
 running AS (
   SELECT id, arrival, arrival_us, zone, sensor_uid, ts,
          first_value(ts) OVER (PARTITION BY zone, sensor_uid ORDER BY arrival, id) AS first_ts,
@@ -82,9 +83,11 @@ running AS (
   FROM readings WHERE zone IN (1, 2, 3))"""
 
 
+RUNNING = _running()
 
-def _j12_cte() -> str:
-    return RUNNING + f""",
+
+def _j12_cte(running: str = RUNNING) -> str:
+    return running + f""",
 k10 AS (SELECT zone, arrival_us // {M10} * {M10} AS ws, first_ts, count(*) AS n
         FROM running WHERE zone IN (1, 2) GROUP BY ALL),
 j12 AS (
@@ -94,8 +97,8 @@ j12 AS (
   WHERE a.zone = 1 AND b.zone = 2)"""
 
 
-def _j123_cte() -> str:
-    return _j12_cte() + f""",
+def _j123_cte(running: str = RUNNING) -> str:
+    return _j12_cte(running) + f""",
 left20 AS (
   SELECT (ws + {M10}) // {M20} * {M20} AS ws, timestamp, CAST(sum(documents) AS BIGINT) AS pairs_12
   FROM j12 GROUP BY ALL),
@@ -106,8 +109,8 @@ j123 AS (
   FROM left20 l JOIN k20 r ON l.ws = r.ws AND l.timestamp = r.first_ts)"""
 
 
-def _factors_cte() -> str:
-    return _j123_cte() + f""",
+def _factors_cte(running: str = RUNNING) -> str:
+    return _j123_cte(running) + f""",
 rng10 AS (
   SELECT zone, arrival_us // {M10} * {M10} AS jws, first_ts AS timestamp, sensor_uid,
          min(visitors) AS visitors_from, max(visitors) AS visitors_to
@@ -374,7 +377,7 @@ SELECT {_doc_id(S.INDEX_FOOT_TRAFFIC, f'ws // {US}', 'timestamp')} AS doc_id, {_
        pairs_12 AS "pairs_Zone1_Zone2", readings_zone3 AS "readings_Zone3", documents
 FROM j123""",
 
-    "docs_foot_traffic_factors": _factors_cte() + f"""
+    "docs_foot_traffic_factors": _factors_cte(_running(grouped=False)) + f"""
 SELECT {_doc_id(S.INDEX_FOOT_TRAFFIC, f'ws // {US}', 'timestamp', 'zone', f'jws // {US}', 'sensor_uid')}
        AS doc_id, {_win(M20)}, timestamp, zone, jws // {US} AS join_window_start, jwe // {US} AS join_window_end,
        sensor_uid, visitors_from, visitors_to

@@ -21,14 +21,17 @@ def _day_seconds(ts: Column) -> Column:
     return F.unix_seconds(F.date_trunc("day", ts.cast("timestamp")))
 
 
-def readings_from_events(events: DataFrame, spread_ts: bool = False) -> DataFrame:
+def readings_from_events(events: DataFrame, spread_ts: bool = False, grouped_ts: bool = True) -> DataFrame:
     """Sensor readings: zone 1..4 by event id, ten sensors per zone.
 
     ``spread_ts`` adds ``120 * (user_id % 3)`` seconds to the day-level
     timestamp, so one 30-minute window holds several timestamp keys
-    (used for proximity / traffic-jam checks).
+    (used for proximity / traffic-jam checks). Without ``grouped_ts`` the
+    timestamp is the day alone, and all sensors of a day meet in the zone joins.
     """
-    ts = _day_seconds(F.col("ts")) + F.lit(60) * (F.col("user_id") % 5)
+    ts = _day_seconds(F.col("ts"))
+    if grouped_ts:
+        ts = ts + F.lit(60) * (F.col("user_id") % 5)
     if spread_ts:
         ts = ts + F.lit(120) * (F.col("user_id") % 3)
     return events.select(
@@ -65,8 +68,8 @@ def purchases_from_events(events: DataFrame) -> DataFrame:
     )
 
 
-def table_readings(spark: SparkSession, sf_dir: str, spread_ts: bool = False) -> DataFrame:
-    return readings_from_events(read_table(spark, sf_dir, "events"), spread_ts)
+def table_readings(spark: SparkSession, sf_dir: str, spread_ts: bool = False, grouped_ts: bool = True) -> DataFrame:
+    return readings_from_events(read_table(spark, sf_dir, "events"), spread_ts, grouped_ts)
 
 
 def table_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -60,3 +60,16 @@ def test_documents_alone_expand_to_brute_force_pairs(spark):
                             join_window=SimpleNamespace(start=d.join_window_start),
                             visitors_from=d.visitors_from, visitors_to=d.visitors_to) for d in docs]
     assert expand(rows) == want
+
+
+def test_factor_documents_of_all_sensors(spark):
+    """The query's readings are clocked by the day: no pair of zones is lost to the sensors' groups."""
+    from footfall.plans.catalog import q_docs_foot_traffic_factors
+
+    want = Counter(duck(SF001).sql(PAIRS.replace(" + 60 * (user_id % 5)", "")).fetchall())
+    docs = q_docs_foot_traffic_factors(spark, SF001).collect()
+    assert len(docs) == len({d.doc_id for d in docs}) == 4941
+    rows = [SimpleNamespace(window=SimpleNamespace(start=d.window_start * 1_000_000), timestamp=d.timestamp, zone=d.zone,
+                            join_window=SimpleNamespace(start=d.join_window_start),
+                            sensor_uid=d.sensor_uid, visitors_from=d.visitors_from, visitors_to=d.visitors_to) for d in docs]
+    assert expand(rows) == want
