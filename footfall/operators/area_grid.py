@@ -15,12 +15,16 @@ the greatest position (the last match wins), or null.
   bounds picks the last match inside the row. No row is multiplied or shuffled
   back together, and there is no range condition in any join.
 * A cell under more than ``LIST`` boxes (many overlapping areas) is not held as
-  an array: its boxes stay rows, spread by salt, and its readings meet them in
-  an equi-join of their own, reduced by ``max`` per reading.
+  an array: its boxes stay rows, dealt over one salt per ``PART`` boxes, and the
+  distinct points in it meet them in an equi-join of their own, reduced by
+  ``max`` per point. Boxes below one that spans the whole cell are left out
+  there: no point of the cell can be theirs.
 
 A level's cells are broadcast only while they hold at most ``BROADCAST`` boxes
 together (counted); beyond that both sides are shuffled by cell, and AQE splits a cell
-that holds many readings.
+that holds many readings. Joins whose sides no count bounds ask for a shuffle
+by name: the planner's estimate, from the size of the areas' files, knows
+nothing of the cells that a box is cut into.
 
 Readings without coordinates are in no area. Areas with a null bound, or with
 bounds that hold nothing, match nothing; null flags count as open. Of areas
@@ -38,7 +42,7 @@ from footfall.functions.areas import ZONE1_AREAS
 
 SPAN = 4  # cells that a box may touch per direction
 LIST = 64  # boxes that a cell holds as an array
-SALTS = 16  # parts of a crowded cell
+PART = 4096  # boxes per salt of a crowded cell
 BROADCAST = 200_000  # boxes in cells, some 100 bytes each
 
 BOUNDS = ("lat_lo", "lat_hi", "lon_lo", "lon_hi")
@@ -58,7 +62,10 @@ def _cell(value: Column, level: Column | int, base: float) -> Column:
 
 
 def grid_cells(areas: DataFrame, base: float) -> DataFrame:
-    """``level, x, y, box`` for every cell that a box touches; ``base`` is the finest grid's cell size in degrees."""
+    """``level, x, y, box, spans`` for every cell that a box touches; ``base`` is the finest grid's cell size in degrees.
+
+    ``spans``: the box's bounds lie in other cells on all four sides, so every point of the cell is inside it.
+    """
     whole = areas
     for b in BOUNDS:
         whole = whole.where(F.col(b).isNotNull() & ~F.isnan(b) & (F.abs(b) < float("inf")))
@@ -68,8 +75,9 @@ def grid_cells(areas: DataFrame, base: float) -> DataFrame:
     # An extent of SPAN - 1 cells touches SPAN of them at most.
     level = F.when(extent <= (SPAN - 1) * base, 0).otherwise(F.ceil(F.log2(extent / F.lit((SPAN - 1) * base)))).cast("int")
     leveled = boxes.withColumn("level", level)
-    spans = [F.sequence(_cell(F.col(f"{d}_lo"), F.col("level"), base), _cell(F.col(f"{d}_hi"), F.col("level"), base)) for d in ("lat", "lon")]
-    return leveled.select("level", F.explode(spans[0]).alias("x"), "box", spans[1].alias("ys")).select("level", "x", F.explode("ys").alias("y"), "box")
+    ends = [_cell(F.col(b), F.col("level"), base).alias(a) for a, b in zip(("x0", "x1", "y0", "y1"), BOUNDS, strict=True)]
+    return (leveled.select("level", "box", *ends).withColumn("x", F.explode(F.sequence("x0", "x1"))).withColumn("y", F.explode(F.sequence("y0", "y1")))
+            .select("level", "x", "y", "box", F.expr("x > x0 and x < x1 and y > y0 and y < y1").alias("spans")))
 
 
 def _inside(box: Column, lat: Column, lon: Column) -> Column:
@@ -91,14 +99,11 @@ def default_base(areas: DataFrame) -> float:
 
 
 def classify_by_table(readings: DataFrame, areas: DataFrame, lat: str = "latitude", lon: str = "longitude",
-                      base: float | None = None, key: str = "id", out: str = "area") -> DataFrame:
-    """``readings`` with ``area``: the name of the last area that holds the point.
-
-    ``key`` names a unique column, used for readings in crowded cells only.
-    """
+                      base: float | None = None, out: str = "area") -> DataFrame:
+    """``readings`` with ``area``: the name of the last area that holds the point."""
     base = base or default_base(areas)
     cells = grid_cells(areas, base)
-    counts = cells.groupBy("level", "x", "y").agg(F.count(F.lit(1)).alias("n"))
+    counts = cells.groupBy("level", "x", "y").agg(F.count(F.lit(1)).alias("n"), F.max(F.when(F.col("spans"), _match(F.col("box")))).alias("top"))
     streaming = readings.isStreaming
     # A few numbers: the levels in use, the boxes that their cells hold as arrays, and how many cells are crowded.
     as_array = F.lit(True) if streaming else F.col("n") <= LIST
@@ -110,29 +115,35 @@ def classify_by_table(readings: DataFrame, areas: DataFrame, lat: str = "latitud
         own = cells.where(F.col("level") == level)
         if crowded and not streaming:
             few = counts.where((F.col("level") == level) & (F.col("n") <= LIST)).select("x", "y")
-            own = own.join(few, ["x", "y"], "left_semi")
+            own = own.join(_bounded(few, n), ["x", "y"], "left_semi")
         lists = own.groupBy(F.col("x").alias(f"_x{level}"), F.col("y").alias(f"_y{level}")).agg(F.sort_array(F.collect_list("box"), asc=False).alias("_boxes"))
-        if n <= BROADCAST:
-            lists = F.broadcast(lists)
+        lists = _bounded(lists, n)
         at = (_cell(point[0], level, base) == F.col(f"_x{level}")) & (_cell(point[1], level, base) == F.col(f"_y{level}"))
         first = F.get(F.filter("_boxes", lambda box: _inside(box, *point)), F.lit(0))
         found = F.when(first.isNotNull(), _match(first))
         held = held.join(lists, at, "left").withColumn("_found", F.greatest("_found", found)).drop("_boxes", f"_x{level}", f"_y{level}")
     if not streaming and any(crowded for _, _, crowded in levels):
-        held = _with_crowded(held, cells, counts, levels, base, point, key)
+        held = _with_crowded(held, readings, cells, counts, levels, base, point)
     return held.withColumn(out, F.col("_found.name")).select(*[c for c in readings.columns if c != out], out)
 
 
-def _with_crowded(held: DataFrame, cells: DataFrame, counts: DataFrame, levels: list, base: float, point: tuple, key: str) -> DataFrame:
-    """Matches in cells under more than ``LIST`` boxes: rows of boxes, spread by salt, and one result per reading."""
-    crowded = counts.where(F.col("n") > LIST).select("level", "x", "y")
-    boxes = (cells.join(crowded, ["level", "x", "y"], "left_semi")
-             .withColumn("salt", F.pmod(F.xxhash64("box"), F.lit(SALTS))))
-    probes = F.explode(F.array(*[F.struct(F.lit(level).alias("level"), _cell(point[0], level, base).alias("x"), _cell(point[1], level, base).alias("y"))
-                                 for level, _, n in levels if n]))
-    near = (held.select(F.col(key).alias("_key"), point[0].alias("_lat"), point[1].alias("_lon"), probes.alias("p"))
-            .select("_key", "_lat", "_lon", "p.*").join(crowded, ["level", "x", "y"], "left_semi")
-            .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
-    met = near.join(boxes, ["level", "x", "y", "salt"]).where(_inside(F.col("box"), F.col("_lat"), F.col("_lon")))
-    best = met.groupBy("_key").agg(F.max(_match(F.col("box"))).alias("_more"))
-    return held.join(best, F.col(key) == F.col("_key"), "left").withColumn("_found", F.greatest("_found", "_more")).drop("_key", "_more")
+def _bounded(side: DataFrame, n: int) -> DataFrame:
+    """A join's right side of at most ``n`` rows or boxes: broadcast up to ``BROADCAST``, otherwise shuffled whatever the planner expects."""
+    return F.broadcast(side) if n <= BROADCAST else side.hint("merge")
+
+
+def _with_crowded(held: DataFrame, readings: DataFrame, cells: DataFrame, counts: DataFrame, levels: list, base: float, point: tuple) -> DataFrame:
+    """Matches in cells under more than ``LIST`` boxes: rows of boxes, spread by salt, and one result per point."""
+    crowded = counts.where(F.col("n") > LIST).select("level", "x", "y", F.ceil(F.col("n") / PART).cast("int").alias("parts"), "top")
+    crowded = _bounded(crowded, sum(many for _, _, many in levels))
+    boxes = (cells.join(crowded, ["level", "x", "y"]).where(F.col("top").isNull() | (_match(F.col("box")) >= F.col("top")))
+             .select("level", "x", "y", F.pmod(F.xxhash64("box"), F.col("parts")).cast("int").alias("salt"), "box"))
+    probes = F.explode(F.array(*[F.struct(F.lit(level).alias("level"), _cell(F.col("_lat"), level, base).alias("x"), _cell(F.col("_lon"), level, base).alias("y"))
+                                 for level, _, many in levels if many]))
+    points = readings.select(point[0].alias("_lat"), point[1].alias("_lon")).where("_lat is not null and _lon is not null").distinct()
+    near = (points.select("_lat", "_lon", probes.alias("p")).select("_lat", "_lon", "p.*").join(crowded, ["level", "x", "y"])
+            .select("level", "x", "y", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"), "_lat", "_lon"))
+    met = near.join(boxes.hint("merge"), ["level", "x", "y", "salt"]).where(_inside(F.col("box"), F.col("_lat"), F.col("_lon")))
+    best = met.groupBy("_lat", "_lon").agg(F.max(_match(F.col("box"))).alias("_more"))
+    here = (point[0] == F.col("_lat")) & (point[1] == F.col("_lon"))
+    return held.join(best.hint("merge"), here, "left").withColumn("_found", F.greatest("_found", "_more")).drop("_lat", "_lon", "_more")

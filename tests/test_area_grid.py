@@ -73,6 +73,28 @@ def test_plan_has_no_nested_loop_and_no_shuffle_of_readings(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan and "BroadcastHashJoin" in plan
 
 
+def test_sides_beyond_the_bound_are_shuffled(spark, monkeypatch):
+    """Cells and boxes beyond ``BROADCAST`` do not pass through the driver, however small the planner takes them to be."""
+    monkeypatch.setattr(G, "LIST", 8)
+    monkeypatch.setattr(G, "PART", 16)
+    monkeypatch.setattr(G, "BROADCAST", 10)
+    rng = np.random.default_rng(5)
+    areas = _boxes(rng, 400, 40)
+    points = [(i % 7, float(a) / 8, float(b) / 8) for i, (a, b) in enumerate(rng.integers(-90, 110, (400, 2)))]  # ids repeat
+    df = spark.createDataFrame(points, "id long, latitude double, longitude double")
+    got = G.classify_by_table(df, spark.createDataFrame(areas, G.AREAS_SCHEMA))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+    want = sorted((i, lat, lon, _plain([(i, lat, lon)], areas)[i]) for i, lat, lon in points if _plain([(i, lat, lon)], areas)[i])
+    assert sorted(tuple(r) for r in got.collect() if r.area) == want and got.count() == len(points)
+
+
+def test_boxes_below_one_that_spans_the_cell_are_left_out(spark):
+    areas = [(f"a{k}", k, 0.5, 3.5, 0.5, 3.5, True, True, True, True) for k in range(3)]
+    cells = G.grid_cells(spark.createDataFrame(areas, G.AREAS_SCHEMA), 1.0).collect()
+    assert len(cells) == 3 * 16 and {(r.x, r.y) for r in cells if r.spans} == {(x, y) for x in (1, 2) for y in (1, 2)}
+
+
 def test_stream_equals_batch(spark, scratch):
     from footfall.sources.files import stream_files
 
