@@ -2,17 +2,18 @@
 
 Words are ``[^\\x20\\x09-\\x0D]+``. Unigrams and bigrams of words are hashed
 into ``BUCKETS`` buckets. The raw multinomial counts every document; the
-target multinomial counts the trusted ones: a bounded sample (``SAMPLE`` rows,
-smallest hashes of doc_id) of the documents labelled good. A document's score
-is the mean log ratio of its n-grams' smoothed probabilities, so length does
-not enter. The threshold is the ``QUANTILE`` of the trusted sample's own
-scores, less ``MARGIN`` times its distance to their median (documents outside
-the sample score a little lower): deterministic, and the same for every
+target multinomial counts the trusted ones: all documents labelled good. A
+document's score is the mean log ratio of its n-grams' smoothed probabilities,
+so length does not enter. The threshold is the ``QUANTILE`` of the trusted
+documents' own scores, less ``MARGIN`` times its distance to their median
+(other documents score a little lower): deterministic, and the same for every
 document.
 
-Both passes over the texts leave them where they lie: counts come back as one
-row per bucket and task, and the weights (``BUCKETS`` numbers) go out with the
-second pass.
+The texts are read twice. The first pass shuffles them by id, where they meet
+the trusted ids (however many; none are sent to every task), and counts; counts
+come back as one row per bucket and task. The weights (``BUCKETS`` numbers) go out
+with the second pass, whose results are staged; the threshold is found from
+histograms of the staged scores.
 
 Rows: one result per input row. Null, empty and blank texts have no words, all
 counts 0, score 0, fail the base rules and are not kept. Repeated rows repeat
@@ -29,10 +30,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from footfall.llm.common import staged
 from footfall.llm.textkit import Block, RollingHash, U, Words, blocks, grams, mix64, words
 
 BUCKETS = 1 << 14
-SAMPLE = 20_000  # labelled documents read as the trusted target
 QUANTILE = 0.002
 MARGIN = 0.5
 SHRINK = 4.0  # n-grams that every mean is padded with, at weight 0
@@ -121,15 +122,14 @@ def _score(weights: np.ndarray) -> Callable:
 _FIELDS = ("doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, score double")
 
 
-def trusted_ids(labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """Ids of labelled-good documents, at most ``sample`` (smallest hashes first)."""
-    good = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
-    return good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """Ids of all labelled-good documents, each once."""
+    return labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
 
 
 def fit(docs: DataFrame, trusted: DataFrame) -> np.ndarray:
     """Log ratio of the target's and the raw corpus's smoothed probability, per bucket."""
-    marked = docs.select("doc_id", "text").join(F.broadcast(trusted.select("doc_id", F.lit(True).alias("good"))), "doc_id", "left")
+    marked = docs.select("doc_id", "text").join(trusted.withColumn("good", F.lit(True)).hint("shuffle_hash"), "doc_id", "left")
     rows = (marked.select("text", F.coalesce("good", F.lit(False)).alias("good"))
             .mapInArrow(_count, "bucket bigint, raw bigint, target bigint")
             .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).collect())  # BUCKETS rows at most
@@ -144,16 +144,40 @@ def fit(docs: DataFrame, trusted: DataFrame) -> np.ndarray:
     return np.where(raw > 0, weights, 0.0)
 
 
-def rate(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, quantile: float = QUANTILE) -> DataFrame:
+def quantiles(scores: DataFrame, shares: tuple[float, ...]) -> list[float]:
+    """Of the column ``score`` as ``percentile`` gives them, but for 2**-26; none without rows.
+
+    A histogram of steps of 2**-10 finds the steps that hold the wanted ranks,
+    one of steps of 2**-26 in these the values: no task sees all scores.
+    """
+    def steps(rows: DataFrame, power: int) -> list:
+        step = F.floor(F.col("score") * 2.0**power)
+        return sorted(rows.groupBy(step.alias("at")).agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("low")).collect(), key=lambda r: r["at"])
+
+    coarse = steps(scores, 10)
+    ends = np.cumsum([r.n for r in coarse])
+    if not len(ends):
+        return []
+    places = [share * float(ends[-1] - 1) for share in shares]
+    ranks = sorted({int(f(p)) for p in places for f in (np.floor, np.ceil)})
+    wanted = sorted({int(np.searchsorted(ends, r, side="right")) for r in ranks})
+    fine = steps(scores.where(F.floor(F.col("score") * 2.0**10).isin([coarse[k]["at"] for k in wanted])), 26)
+    value = {}
+    for k in wanted:
+        own = [r for r in fine if r["at"] >> 16 == coarse[k]["at"]]
+        upto = ends[k] - coarse[k].n + np.cumsum([r.n for r in own])
+        value |= {r: own[int(np.searchsorted(upto, r, side="right"))].low for r in ranks if ends[k] - coarse[k].n <= r < ends[k]}
+    return [value[int(np.floor(p))] + (p - np.floor(p)) * (value[int(np.ceil(p))] - value[int(np.floor(p))]) for p in places]
+
+
+def rate(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     """Counts, ``score``, ``threshold``, ``base_failed`` and ``kept`` for every row of ``docs``."""
-    trusted = docs.sparkSession.createDataFrame(
-        [(r.doc_id,) for r in trusted_ids(labels, sample).collect()], "doc_id bigint")  # bounded by ``sample``
-    weights = fit(docs, trusted)
+    trusted = trusted_ids(labels)
     pairs = docs.select(F.col("doc_id").cast("bigint"), "text")
-    own = pairs.join(F.broadcast(trusted), "doc_id", "left_semi").mapInArrow(_score(weights), _FIELDS)
-    low, middle = own.agg(F.percentile("score", F.lit(quantile)).alias("t"), F.median("score").alias("m")).first()
-    threshold = low - MARGIN * (middle - low) if low is not None else 0.0
+    scored = staged(pairs.mapInArrow(_score(fit(docs, trusted)), _FIELDS))
+    own = staged(scored.select("doc_id", "score").join(trusted.hint("shuffle_hash"), "doc_id", "left_semi").select("score"))
+    found = quantiles(own, (quantile, 0.5))
+    threshold = found[0] - MARGIN * (found[1] - found[0]) if found else 0.0
     base = F.expr("n_words < 10 or 100 * n_repeat_words > 20 * n_words")
-    return (pairs.mapInArrow(_score(weights), _FIELDS)
-            .withColumn("threshold", F.lit(threshold)).withColumn("base_failed", base)
+    return (scored.withColumn("threshold", F.lit(threshold)).withColumn("base_failed", base)
             .withColumn("kept", ~F.col("base_failed") & (F.col("score") >= F.lit(threshold))))

@@ -10,6 +10,7 @@ import duckdb
 import numpy as np
 import pytest
 from llm.cases import ROWS, awkward, nothing
+from pyspark.sql import functions as F
 
 from footfall.llm import bpe, fingerprints, lines, mixing, near_dedup, quality, queries, repeats, secrets, sharding, textkit, toxicity
 
@@ -171,6 +172,28 @@ def test_quality_base_counts(spark, docs):
         assert r.base_failed == (len(w) < 10 or 100 * len(marked) > 20 * len(w)) and not (r.base_failed and r.kept)
 
 
+def test_quality_learns_from_every_good_label(spark):
+    """30,000 good labels: the weights are those of all of them, and no list of them goes to every task."""
+    n = 30_000
+    labels = spark.range(n).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    trusted = quality.trusted_ids(labels.union(labels))
+    assert trusted.count() == n
+    docs = spark.range(n + 500).select(F.col("id").alias("doc_id"), F.when(F.col("id") < n, "good").otherwise("other").alias("text"))
+    raw = np.array([n, 500.0])
+    share, prior = raw / raw.sum(), 0.5 * quality.BUCKETS
+    want = np.log((np.array([n, 0.0]) + prior * share) / (n + prior)) - np.log(share)
+    got = quality.fit(docs, trusted)
+    assert np.allclose(sorted(got[got != 0]), sorted(want))
+
+
+def test_quality_quantiles_are_exact(spark):
+    rng = np.random.default_rng(3)
+    for values in ([], [0.25], [-1.5, 2.0], [0.0] * 9 + [1e-9], rng.normal(0, 0.01, 5000).tolist(), rng.normal(-3, 5, 5001).tolist()):
+        df = spark.createDataFrame([(v,) for v in values], "score double")
+        shares = (0.0, 0.002, 0.5, 0.9, 1.0)
+        assert np.allclose(quality.quantiles(df, shares), np.quantile(values, shares) if values else [], rtol=0, atol=2.0**-25)
+
+
 def test_toxicity_automaton():
     a = toxicity.Automaton({"idiot": 5.0, "scum": 4.0})
     assert [a.distance(w)[0] for w in ("idiot", "idiots", "idi0t", "idot", "idioot", "scum", "scom", "id", "village", "")] == [0, 0, 1, 1, 1, 0, 2, 2, 2, 2]
