@@ -41,7 +41,7 @@ from footfall.llm.textkit import blocks
 
 _NFC = normalizers.NFC()
 
-CACHE = 1 << 19  # pre-tokens remembered per worker
+CACHE = 1 << 17  # pre-tokens remembered per worker; idle workers keep them
 _CHUNK = 1 << 16  # ids decoded at once
 
 

@@ -147,3 +147,15 @@ def test_gallop_counts_lower_entries():
     for n, m in ((0, 5), (5, 0), (1, 1), (30, 700), (400, 401)):
         short, long = (np.unique(rng.integers(0, 2000, k)) for k in (n, m))
         assert alignment.gallop(short, long).tolist() == np.searchsorted(long, short).tolist()
+
+
+def test_bpe_cache_stays_small():
+    """Idle workers keep what they remember, so 400,000 words leave a small cache behind."""
+    from footfall.llm import bpe
+
+    t = bpe.Tokenizer(bpe.default_vocabulary())
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    for k in range(10):
+        n = range(k * 40_000, (k + 1) * 40_000)
+        t.encode([" ".join("".join(letters[i // 26**p % 26] for p in range(4)) for i in n)])
+    assert len(t._known) < 250_000
